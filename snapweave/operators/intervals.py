@@ -39,6 +39,7 @@ def collapse_changes(
     start_as: str = "start_date",
     end_as: str = "end_date",
     hot_rows: int | None = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Keep the rows at which the tracked state of an entity changes, with the time it lasted.
 
@@ -46,11 +47,14 @@ def collapse_changes(
     one the last ``order`` of the entity (with ``end``: the ``end`` of its last row).  States are
     compared null-safely.  ``backfill`` columns take their first non-null value from the row on,
     which does not count as a change.
+
+    ``df`` is read twice, once for the number of rows per key (see ``split_hot`` for
+    ``hot_rows`` and ``counted``), so it should be a stored table rather than a long computation.
     """
     key, tracked, backfill = as_list(key), as_list(tracked), as_list(backfill)
     by = _order_by(df, key, order, tie)
     names = [c for c in df.columns if c != end_as and c != order]
-    cold, hot, rows = split_hot(df, key, hot_rows)
+    cold, hot, rows = split_hot(df, key, hot_rows, counted)
     result = _collapse(cold, key, by, tracked, end, backfill)
     if hot is not None:
         pieces = segment(hot, by, rows, hot_rows)
@@ -150,10 +154,12 @@ def recollapse(
     *,
     tie: str | Sequence[str] | None = None,
     hot_rows: int | None = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Merge neighbouring intervals whose tracked state became equal."""
     merged = collapse_changes(
-        df, key, start, tracked, end=end, tie=tie, start_as=start, end_as=end, hot_rows=hot_rows
+        df, key, start, tracked, end=end, tie=tie, start_as=start, end_as=end,
+        hot_rows=hot_rows, counted=counted,
     )
     return merged.select(*df.columns)
 

@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 
 
 def observe(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """The same rows, and an observation whose ``get["rows"]`` is their number once they ran."""
+    """The same rows, and an observation whose ``get["rows"]`` is their number once they ran.
+
+    A total sort or range partitioning afterwards samples its input first, which would count rows
+    twice: observe the sorted rows instead.
+    """
     seen = Observation(name)
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 

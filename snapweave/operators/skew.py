@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapweave.session import materialize
+from snapweave.session import materialize, store
 
 HOT_ROWS = 2_000_000
 """Rows of one key that a single task still sorts comfortably."""
@@ -24,6 +24,9 @@ HOT_ROWS = 2_000_000
 SMALL_ROWS = 200_000
 """Row count up to which a lookup table is broadcast."""
 
+SMALL_KEYS = 1_000_000
+"""The same for tables of a few short columns."""
+
 _MAX_LISTED_KEYS = 10_000
 _MAX_SEGMENTS = 20_000
 
@@ -52,16 +55,27 @@ def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
-def split_hot(df: DataFrame, key: Sequence[str], hot_rows: int | None = HOT_ROWS) -> Split:
+def split_hot(
+    df: DataFrame,
+    key: Sequence[str],
+    hot_rows: int | None = HOT_ROWS,
+    counted: DataFrame | None = None,
+) -> Split:
     """Part ``df`` into rows of ordinary keys and rows of keys above ``hot_rows`` rows.
 
-    Hot rows carry ``__k``, a small number standing for their key.  ``hot_rows=None`` skips the
-    count, for callers that know their keys to be bounded.
+    Hot rows carry ``__k``, a small number standing for their key.  ``counted`` may name a
+    cheaper table with the same number of rows per key.  ``hot_rows=None`` skips the count, for
+    callers that know their keys to be bounded.
     """
     if hot_rows is None:
         return Split(df, None, 0)
     spark = df.sparkSession
-    counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_rows)
+    counts = (
+        (df if counted is None else counted)
+        .groupBy(*key)
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .filter(F.col("__n") > hot_rows)
+    )
     listed = counts.limit(_MAX_LISTED_KEYS + 1).collect()
     if not listed:
         return Split(df, None, 0)
@@ -86,8 +100,9 @@ def segment(hot: DataFrame, order: Sequence[str], rows: int, segment_rows: int)
     are merged before the shuffle: range partitioning could not separate them.
     """
     pieces = max(2, min(_MAX_SEGMENTS, math.ceil(rows / max(1, segment_rows))))
-    return materialize(
+    return store(
         hot.distinct()
         .repartitionByRange(pieces, "__k", *order)
-        .withColumn("__seg", F.spark_partition_id())
+        .withColumn("__seg", F.spark_partition_id()),
+        "segments",
     )

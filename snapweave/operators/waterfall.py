@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapweave.operators.lookups import unique_lookup
-from snapweave.operators.skew import broadcast_if_small, same
+from snapweave.operators.skew import SMALL_KEYS, same
 
 
 class Rung(NamedTuple):
@@ -27,6 +27,7 @@ def waterfall_match(
     rungs: Sequence[Rung],
     id: str = "id",
     payload: Sequence[str] = (),
+    small: bool | None = None,
 ) -> DataFrame:
     """Match each distinct row of ``addresses`` with a lookup row by the first recipe that finds one.
 
@@ -34,7 +35,8 @@ def waterfall_match(
     match, and the ``payload`` columns of the matched lookup row.  Only lookup rows whose key
     occurs once take part; null parts of a key match null, except that two-part keys with a null
     are not used.  A match by one recipe does not depend on the others, so all of them are tried
-    in one join, and the lowest rung is kept.
+    in one join, and the lowest rung is kept.  The lookups are broadcast if counted as small;
+    ``small`` says so where the caller has counted already.
     """
     width = max(len(r.left) for r in rungs)
     keys = [f"__k{i}" for i in range(width)]
@@ -61,7 +63,12 @@ def waterfall_match(
         )
 
     tables = [entries(i, *recipe) for i, recipe in enumerate(recipes)]
-    lookup = broadcast_if_small(reduce(DataFrame.unionByName, tables))
+    lookup = reduce(DataFrame.unionByName, tables)
+    if small is None:
+        used = [source for source, _ in recipes]
+        small = sum(lookups[s].count() * used.count(s) for s in set(used)) <= SMALL_KEYS
+    if small:
+        lookup = F.broadcast(lookup)
 
     attempts = F.array(
         *[
@@ -74,19 +81,20 @@ def waterfall_match(
         ]
     )
     columns = addresses.columns
-    tried = addresses.select(*columns, F.explode(attempts).alias("a")).select(
-        *columns, "a.rung", F.col("a.recipe").alias("__try"),
-        *[F.col(f"a.{k}").alias(f"__try{k}") for k in keys],
+    tried = addresses.select(*columns, F.explode(attempts).alias("__a")).select(
+        *columns, F.col("__a.rung").alias("__rung"), F.col("__a.recipe").alias("__try"),
+        *[F.col(f"__a.{k}").alias(f"__try{k}") for k in keys],
     )
     condition = (tried["__try"] == lookup["__recipe"]) & same(
         tried, lookup, [(f"__try{k}", k) for k in keys]
     )
+    hit = F.when(F.col("__found").isNotNull(), F.col("__rung"))
     best = (
         tried.join(lookup, condition, "left")
         .groupBy(*columns)
         .agg(
-            F.min_by("__found", F.when(F.col("__found").isNotNull(), F.col("rung"))).alias("__found"),
-            F.min(F.when(F.col("__found").isNotNull(), F.col("rung"))).alias("rung"),
+            F.min_by("__found", hit).alias("__found"),
+            F.min(hit).alias("__rung"),
         )
     )
-    return best.select(*columns, "__found.*", "rung")
+    return best.select(*columns, "__found.*", F.col("__rung").alias("rung"))

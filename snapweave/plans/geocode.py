@@ -13,9 +13,9 @@ from snapweave.functions.text import area_label, default_settlement, join_name_t
 from snapweave.operators.fuzzy import fuzzy_match
 from snapweave.operators.intervals import recollapse
 from snapweave.operators.lookups import abbreviation_dictionary, attach, expand_abbr
-from snapweave.operators.skew import HOT_ROWS, SMALL_ROWS
+from snapweave.operators.skew import HOT_ROWS, SMALL_KEYS, SMALL_ROWS
 from snapweave.operators.waterfall import Rung, waterfall_match
-from snapweave.session import materialize
+from snapweave.session import materialize, store
 from snapweave.sources.tables import read_lookup
 
 # ---- fixed values: recipes in order of priority ------------------------------------------------
@@ -90,30 +90,22 @@ def canonical_regions(names: DataFrame, column: str, regions: DataFrame) -> Data
     A name made of digits is a region code.
     """
     listed = regions.select("code", "name", "short_name", "iso_code")
-    numeric = F.col(column).rlike(r"^\d+$")
-    spelled = fuzzy_match(
-        names.filter(~numeric),
-        column,
-        listed,
-        words=schemas.REGION_TYPE_WORDS,
-    )
-    coded = (
-        names.filter(numeric)
-        .select(F.col(column).alias("name"), F.col(column).try_cast("int").alias("__code"))
-        .distinct()
-    )
+    spelled = fuzzy_match(names, column, listed, words=schemas.REGION_TYPE_WORDS)
+    numeric = F.col("name").rlike(r"^\d+$")
     by_code = listed.groupBy(F.col("code").try_cast("int").alias("__code")).agg(
-        F.max(F.struct(*listed.columns)).alias("candidate")
+        F.max(F.struct(*listed.columns)).alias("__coded")
     )
-    return spelled.select("name", "candidate").unionByName(
-        attach(coded, by_code.dropna(subset="__code"), "__code", checked=False, small=True).select(
-            "name", "candidate"
-        )
-    ).select(
+    found = attach(
+        spelled.withColumn("__code", F.when(numeric, F.col("name").try_cast("int"))),
+        by_code.dropna(subset="__code"),
+        "__code",
+        checked=False,
+    ).withColumn("region", F.when(numeric, F.col("__coded")).otherwise(F.col("candidate")))
+    return found.select(
         F.col("name").alias("raw_region"),
-        F.col("candidate.name").alias("canonical"),
-        F.col("candidate.code").alias("region_code"),
-        F.col("candidate.iso_code").alias("region_iso_code"),
+        F.col("region.name").alias("canonical"),
+        F.col("region.code").alias("region_code"),
+        F.col("region.iso_code").alias("region_iso_code"),
     )
 
 
@@ -134,9 +126,8 @@ def _with_region(df: DataFrame, column: str, known: DataFrame, small: bool | Non
 
 
 def _typed_addresses(df: DataFrame, dictionary: DataFrame, small: bool) -> DataFrame:
-    """Distinct raw addresses with expanded types and joined names; raw columns as ``raw_*``."""
-    raw = [F.col(c).alias(f"raw_{c}") for c in schemas.ADDRESS_COLUMNS]
-    out = df.select(*schemas.ADDRESS_COLUMNS).distinct().select("*", *raw)
+    """Raw addresses with expanded types and joined names; raw columns as ``raw_*``."""
+    out = df.select("*", *[F.col(c).alias(f"raw_{c}") for c in schemas.ADDRESS_COLUMNS])
     for part in _PARTS:
         out = expand_abbr(out, f"{part}_type", dictionary, checked=False, small=small)
         out = out.withColumn(part, join_name_type(f"{part}_name", f"{part}_type"))
@@ -188,11 +179,13 @@ def _as_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def geocode_addresses(df: DataFrame, lookups: GeoLookups, rungs: Sequence[Rung] = RUNGS) -> DataFrame:
     """Every distinct raw address (``raw_*``) of ``df`` with its place, written once.
 
-    All dictionary, name and lookup work is done on distinct addresses only.
+    All dictionary, name and lookup work is done on distinct addresses, for which ``df`` is read
+    once.
     """
+    distinct = store(fix_structure(df).select(*schemas.ADDRESS_COLUMNS).distinct(), "addresses")
     dictionary = materialize(abbreviation_dictionary(lookups.abbreviations))
     small = dictionary.count() <= SMALL_ROWS
-    addresses = _typed_addresses(fix_structure(df), dictionary, small)
+    addresses = _typed_addresses(distinct, dictionary, small)
 
     cities = cities_lookup(lookups.cities)
     settlements = settlements_lookup(lookups.settlements, dictionary, small)
@@ -208,7 +201,7 @@ def geocode_addresses(df: DataFrame, lookups: GeoLookups, rungs: Sequence[Rung]
         named = _with_region(table, "region", known, few).withColumnsRenamed(
             {"region_code": "place_code", "region_iso_code": "place_iso"}
         )
-        return _as_keys(named.withColumn("place_region", F.col("region")), columns)
+        return materialize(_as_keys(named.withColumn("place_region", F.col("region")), columns))
 
     tables = {
         "s": keyed(settlements, ["region", "municipality", "settlement", "type"]),
@@ -217,7 +210,11 @@ def geocode_addresses(df: DataFrame, lookups: GeoLookups, rungs: Sequence[Rung]
     raw = [f"raw_{c}" for c in schemas.ADDRESS_COLUMNS]
     own = _with_region(addresses, "region", known, few).withColumn("own_region", F.col("region"))
     keys = [c for part in _PARTS for c in (part, f"{part}_name", f"{part}_type")]
-    matched = waterfall_match(_as_keys(own, keys), tables, rungs, payload=_PAYLOAD)
+    counted = {source: table.count() for source, table in tables.items()}
+    entries = sum(counted[source] for source, _ in {(r.source, r.right) for r in rungs})
+    matched = waterfall_match(
+        _as_keys(own, keys), tables, rungs, payload=_PAYLOAD, small=entries <= SMALL_KEYS
+    )
     from_place = F.col("geo_region").isNotNull()
     places = matched.select(
         *raw,
@@ -231,10 +228,11 @@ def geocode_addresses(df: DataFrame, lookups: GeoLookups, rungs: Sequence[Rung]
         "lat",
         "lon",
     )
-    return materialize(
+    return store(
         places.withColumn(
             "settlement", default_settlement("region", "settlement", schemas.FEDERAL_CITIES)
-        )
+        ),
+        "places",
     )
 
 
@@ -273,4 +271,5 @@ def geocode(
         "end_date",
         [*schemas.SIGNATURE_COLUMNS, *schemas.GEO_COLUMNS],
         hot_rows=hot_rows,
+        counted=df,
     )

@@ -10,9 +10,9 @@ from snapweave import schemas
 from snapweave.operators.filters import new_files
 from snapweave.operators.panel import panelize
 from snapweave.plans.aggregate import aggregate_empl, aggregate_revexp, aggregate_sme
-from snapweave.plans.extract import extract
+from snapweave.plans.extract import extract_new, read_extracted
 from snapweave.plans.geocode import GeoLookups, geocode
-from snapweave.session import scratch_path
+from snapweave.session import store
 from snapweave.sources.links import dataset_links
 
 
@@ -31,10 +31,7 @@ def registry_panel(
 
     The aggregated registry is written once, because both the facts and the geocoder read it.
     """
-    spark = sme.sparkSession
-    path = scratch_path(spark, "aggregated")
-    aggregate_sme(sme).write.parquet(path)
-    aggregated = spark.read.parquet(path)
+    aggregated = store(aggregate_sme(sme), "aggregated")
     facts = []
     if revexp is not None:
         facts.append(aggregate_revexp(revexp, aggregated))
@@ -47,13 +44,21 @@ def process(
     spark: SparkSession,
     folders: Mapping[str, str],
     lookups: GeoLookups,
+    work: str,
     *,
     codes: Sequence[str] | None = None,
     classifier: DataFrame | None = None,
 ) -> DataFrame:
-    """Archives to the panel; ``folders`` names the archive folder of each dataset at hand."""
-    tables = {
-        name: extract(spark, folder, name, codes=codes, classifier=classifier)
-        for name, folder in folders.items()
-    }
+    """Archives to the panel; ``folders`` names the archive folder of each dataset at hand.
+
+    Extracted tables gather below ``work``, so a later call reads new archives only.
+    """
+    tables = {}
+    for name, folder in folders.items():
+        target = f"{work.rstrip('/')}/extracted/{name}"
+        extract_new(
+            spark, folder, target, f"{work.rstrip('/')}/ledger/{name}", name,
+            codes=codes, classifier=classifier,
+        )
+        tables[name] = read_extracted(spark, target, name)
     return registry_panel(tables["sme"], lookups, tables.get("revexp"), tables.get("empl"))

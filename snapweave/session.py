@@ -36,6 +36,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to reliable storage and read it from there: no lineage, fixed contents."""
+    """Compute a small table once, on reliable storage: no lineage, fixed contents."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """The same for large tables, as Parquet, so that later reads take only the columns they use."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -11,8 +11,7 @@ from __future__ import annotations
 import re
 import sys
 import zipfile
-from collections.abc import Iterable, Iterator, Sequence
-from urllib.parse import unquote
+from collections.abc import Iterable, Iterator
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -30,6 +29,9 @@ WHOLE_MEMBER_BYTES = 256 << 20
 
 _MANIFEST = "path string, member string, position int, bytes long"
 _TEXTS = "path string, member string, part int, xml string"
+_TEXT_COLUMNS = ["path", "member", "part", "xml"]
+_BATCH_CHARACTERS = 8 << 20
+_BATCH_ROWS = 2_000
 
 
 def list_archives(spark: SparkSession, folder: str) -> DataFrame:
@@ -44,11 +46,14 @@ def list_archives(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _open(path: str) -> zipfile.ZipFile:
-    if "://" in path or path.startswith("file:"):
-        uri = re.sub(r"^file:/+", "file:///", path)
-        system, inner = fs.FileSystem.from_uri(uri)
-        return zipfile.ZipFile(system.open_input_file(unquote(inner)))
-    return zipfile.ZipFile(fs.LocalFileSystem().open_input_file(path))
+    """Open an archive by the path Spark gives, in which nothing is escaped."""
+    remote = re.match(r"(?!file:)([a-z][a-z0-9+.-]*://[^/]+)/(.*)", path, re.S)
+    if remote:
+        system, root = fs.FileSystem.from_uri(f"{remote.group(1)}/")
+        inner = f"{root.rstrip('/')}/{remote.group(2)}"
+    else:
+        system, inner = fs.LocalFileSystem(), re.sub(r"^file:/*", "/", path)
+    return zipfile.ZipFile(system.open_input_file(inner))
 
 
 def manifest(archives: DataFrame, contains: str = "xml") -> DataFrame:
@@ -62,14 +67,9 @@ def manifest(archives: DataFrame, contains: str = "xml") -> DataFrame:
             for path in batch["path"]:
                 with _open(path) as archive:
                     named = [i for i in archive.infolist() if contains in i.filename]
-                yield pd.DataFrame(
-                    {
-                        "path": path,
-                        "member": [i.filename for i in named],
-                        "position": range(len(named)),
-                        "bytes": [i.file_size for i in named],
-                    }
-                )
+                listed = [(path, i.filename, n, i.file_size) for n, i in enumerate(named)]
+                if listed:
+                    yield pd.DataFrame(listed, columns=["path", "member", "position", "bytes"])
 
     return archives.select("path").mapInPandas(members, _MANIFEST)
 
@@ -132,40 +132,32 @@ def member_texts(
         total = members.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
         tasks = max(members.sparkSession.sparkContext.defaultParallelism, -(-total // partition_bytes))
 
+    def read(archive: zipfile.ZipFile, row) -> Iterator[str]:
+        if row.bytes > whole_member_bytes:
+            yield from _records(archive, row.member, record)
+        else:
+            yield decode(archive.read(row.member))
+
+    def listed(batch: pd.DataFrame) -> Iterator[tuple[str, str, int, str]]:
+        for path, rows in batch.groupby("path", sort=False):
+            with _open(path) as archive:
+                for row in rows.itertuples():
+                    try:
+                        for part, text in enumerate(read(archive, row)):
+                            yield path, row.member, part, text
+                    except (ElementTree.ParseError, zipfile.BadZipFile):
+                        yield path, row.member, 0, ""
+
     def texts(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
         for batch in batches:
-            for path, rows in batch.groupby("path", sort=False):
-                with _open(path) as archive:
-                    for row in rows.itertuples():
-                        yield from _read(archive, path, row)
-
-    def _read(archive, path, row) -> Iterator[pd.DataFrame]:
-        if row.bytes <= whole_member_bytes:
-            try:
-                text = decode(archive.read(row.member))
-            except zipfile.BadZipFile:
-                text = ""
-            yield _frame(path, row.member, [(0, text)])
-            return
-        held: list[tuple[int, str]] = []
-        try:
-            for i, text in enumerate(_records(archive, row.member, record)):
-                held.append((i, text))
-                if len(held) == 1000:
-                    yield _frame(path, row.member, held)
-                    held = []
-        except (ElementTree.ParseError, zipfile.BadZipFile):
-            held = [(0, "")]
-        yield _frame(path, row.member, held)
-
-    def _frame(path: str, member: str, parts: Sequence[tuple[int, str]]) -> pd.DataFrame:
-        return pd.DataFrame(
-            {
-                "path": path,
-                "member": member,
-                "part": [i for i, _ in parts],
-                "xml": [text for _, text in parts],
-            }
-        )
+            for row in listed(batch):
+                held.append(row)
+                size += len(row[3])
+                if size >= _BATCH_CHARACTERS or len(held) >= _BATCH_ROWS:
+                    yield pd.DataFrame(held, columns=_TEXT_COLUMNS)
+                    held, size = [], 0
+        if held:
+            yield pd.DataFrame(held, columns=_TEXT_COLUMNS)
 
     return members.repartition(int(tasks), "path", "member").mapInPandas(texts, _TEXTS)

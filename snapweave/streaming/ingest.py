@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_FILE = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def ingest_files(
     spark: SparkSession,
@@ -60,6 +62,7 @@ def ingest_batches(
 
     files = (
         spark.readStream.format("binaryFile")
+        .schema(_FILE)
         .option("pathGlobFilter", pattern)
         .load(source)
         .select("path")

@@ -21,7 +21,7 @@ from snapweave.operators.corrections import latest_per
 from snapweave.operators.metrics import observe
 from snapweave.operators.waterfall import Rung, waterfall_match
 from snapweave.plans import aggregate, extract, geocode, registry
-from snapweave.session import scratch_path
+from snapweave.session import scratch_path, store
 from snapweave.sources import archives, links, sinks, tables
 from snapweave.streaming.ingest import ingest_files
 
@@ -1082,9 +1082,7 @@ def aggregate_registry(spark, folder):
 
 
 def _aggregated(spark, folder):
-    path = scratch_path(spark, "aggregated")
-    sinks.write_parquet(aggregate_registry(spark, folder), path)
-    return spark.read.parquet(path)
+    return store(aggregate_registry(spark, folder), "aggregated")
 
 
 @query(f"WITH {_BASE_SQL}, {_geo_sql()}, {_GEOCODED_SQL} SELECT * FROM geocoded")
