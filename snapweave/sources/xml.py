@@ -54,8 +54,7 @@ def _value(record: Column, path: str) -> Column:
         value, repeated = value.getField(step), True
     if not repeated:
         return value
-    present = F.filter(value, lambda v: v.isNotNull())
-    return F.when(F.size(present) > 0, F.array_join(present, ","))
+    return F.when(F.array_max(value).isNotNull(), F.array_join(value, ","))
 
 
 def parse_records(
@@ -79,14 +78,19 @@ def parse_records(
         ]
     )
     kept = [c for c in texts.columns if c != xml]
-    parsed = texts.select(*kept, F.from_xml(xml, root, _OPTIONS).alias("__doc"))
-    broken = F.col("__doc").isNull() | F.col(f"__doc.{_CORRUPT}").isNotNull()
-    rows = parsed.filter(~broken).select(
+    document = F.from_xml(xml, root, _OPTIONS)
+    parsed = texts.select(*kept, document.alias("__doc"))
+    # an outer explode: a filter on the document itself would be moved down and parse it again
+    documents = parsed.select(
         *kept,
         *[F.col(f"__doc.{_field(a)}").alias(c) for a, c in attributes.items()],
-        F.explode(F.col(f"__doc.{record}")).alias("__record"),
+        F.when(F.col(f"__doc.{_CORRUPT}").isNull(), F.col(f"__doc.{record}")).alias("__records"),
     )
-    return rows, parsed.filter(broken).select(*kept)
+    rows = documents.select(
+        *kept, *attributes.values(), F.explode_outer("__records").alias("__record")
+    ).filter("__record IS NOT NULL")
+    broken = F.col(xml).isNull() | document.getField(_CORRUPT).isNotNull()
+    return rows, texts.filter(broken).select(*kept)
 
 
 def record_value(elements: Mapping[str, str], column: str) -> Column:

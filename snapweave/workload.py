@@ -608,6 +608,12 @@ _ORDER_MAP = {
 _ORDER_FILE = {"@ИдФайл": "file_id", "@КолДок": "doc_cnt"}
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """A small file is read by one task; work on its rows is worth more."""
+    tasks = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= tasks else df.repartition(tasks)
+
+
 def _order_xml(spark, folder, broken: bool = False):
     """Each order as a small XML file with two records; orders under way are cut off if ``broken``."""
     number = F.col("o_orderkey").cast("string")
@@ -620,7 +626,7 @@ def _order_xml(spark, folder, broken: bool = False):
     )
     second = F.concat(F.lit('<Документ Номер="'), number, F.lit('-2"/>'))
     tail = F.when(F.lit(broken) & (F.col("o_orderstatus") == "P"), "</Фай").otherwise("</Файл>")
-    return table(spark, folder, "orders").select(
+    return _spread(table(spark, folder, "orders")).select(
         F.col("o_orderkey").alias("source"),
         F.concat(F.lit('<Файл ИдФайл="F'), number, F.lit('" КолДок="2">'), record, second, tail).alias("xml"),
     )
