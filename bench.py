@@ -19,14 +19,14 @@ HEADLINE = [
     "filter_entities",
     "code_filter",
     "expand_abbr",
-    "waterfall",
+    "waterfall_match",
     "fuzzy_match",
     "explode_years",
     "panelize",
     "xml_flatten",
     "archive_scan",
     "incremental_ingest",
-    "page_links",
+    "links",
     "yearly_facts",
     "aggregate_registry",
     "geocode_chain",

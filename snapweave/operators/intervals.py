@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from snapweave.operators.skew import HOT_ROWS, as_list, same, segment, split_hot
@@ -27,6 +28,16 @@ def _next_filled(column: str, window_parts: Sequence[str], order: Sequence[str])
     return F.last(column, ignorenulls=True).over(backwards)
 
 
+def _differs(tracked: Sequence[str], ordered: WindowSpec) -> Column:
+    """Whether any tracked column differs from the previous row.
+
+    Column by column: a struct of them would be built before the shuffle and double its volume.
+    """
+    return reduce(
+        lambda a, b: a | b, [~F.col(c).eqNullSafe(F.lag(c).over(ordered)) for c in tracked]
+    )
+
+
 def collapse_changes(
     df: DataFrame,
     key: str | Sequence[str],
@@ -73,12 +84,15 @@ def _collapse(df, key, by, tracked, end, backfill) -> DataFrame:
     order = by[0]
     entity = Window.partitionBy(*key)
     forward = entity.orderBy(*by)
-    last_end = F.max(order) if end is None else F.max_by(end, F.struct(*by))
-    state = F.struct(*tracked)
-    changed = (F.row_number().over(forward) == 1) | ~state.eqNullSafe(F.lag(state).over(forward))
+    if end is None:
+        last_end = F.max(order).over(entity)
+    else:
+        whole = forward.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        last_end = F.last(end).over(whole)
+    changed = (F.row_number().over(forward) == 1) | _differs(tracked, forward)
     filled = {f"__filled_{i}": _next_filled(c, key, by) for i, c in enumerate(backfill)}
     return (
-        df.withColumns({**filled, "__changed": changed, "__last": last_end.over(entity)})
+        df.withColumns({**filled, "__changed": changed, "__last": last_end})
         .filter("__changed")
         .withColumn("__until", F.coalesce(F.lead(order).over(forward), "__last"))
         .drop("__changed", "__last")
@@ -121,7 +135,7 @@ def _collapse_segments(df, by, tracked, end, backfill) -> DataFrame:
 
     opening = F.col("__before").isNull() | ~state.eqNullSafe(F.col("__before.__state"))
     changed = F.when(F.row_number().over(within) == 1, opening).otherwise(
-        ~state.eqNullSafe(F.lag(state).over(within))
+        _differs(tracked, within)
     )
     filled = {
         f"__filled_{i}": F.coalesce(_next_filled(c, piece, by), F.col(f"__fill_{i}"))

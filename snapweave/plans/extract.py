@@ -50,21 +50,23 @@ def extract_archives(
     classifier: DataFrame | None = None,
     elements: Mapping[str, str] | None = None,
     provenance: bool = True,
-    members: tuple[int, int] | None = None,
+    members: slice | None = None,
     **sizes,
 ) -> tuple[DataFrame, DataFrame]:
     """Typed rows of the listed archives with their ``archive``, and the rejected members.
 
     Codes apply to the registry only, as do the file's id and record count.  ``elements``
-    narrows the map to other columns (then as text), ``members`` takes a stretch of each
-    archive's members, from and up to a position.
+    narrows the map to other columns (then as text), ``members`` takes a slice of each archive's
+    members by position.
     """
     schemas.check_dataset(dataset)
     listed = manifest(archives)
     if members is not None:
-        listed = listed.filter(
-            (F.col("position") >= members[0]) & (F.col("position") < members[1])
-        )
+        start, step = members.start or 0, members.step or 1
+        ahead = F.col("position") - start
+        listed = listed.filter((ahead >= 0) & (ahead % step == 0))
+        if members.stop is not None:
+            listed = listed.filter(F.col("position") < members.stop)
     registry = dataset == "sme"
     rows, rejects = read_texts(
         member_texts(listed, schemas.RECORD_TAG, **sizes),

@@ -31,10 +31,13 @@ SQL: dict[str, str] = {}
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a function under its name, without the ``q_`` that keeps it off an operator's."""
+
     def register(function: Query) -> Query:
-        QUERIES[function.__name__] = function
+        name = function.__name__.removeprefix("q_")
+        QUERIES[name] = function
         if sql is not None:
-            SQL[function.__name__] = sql
+            SQL[name] = sql
         return function
 
     return register
@@ -358,7 +361,7 @@ _ADDRESSED = """
     LEFT JOIN r3 ON r3.fine IS NOT DISTINCT FROM a.fine
     """
 )
-def waterfall(spark, folder):
+def q_waterfall_match(spark, folder):
     def place(prefix, id):
         balance = F.col(f"{prefix}_acctbal")
         return [
@@ -662,7 +665,8 @@ def xml_rejects(spark, folder):
     UNION ALL SELECT o_orderkey || '-2', NULL FROM orders
     """
 )
-def narrow_extract(spark, folder):
+def snapshot_sample(spark, folder):
+    """A narrower element map than the full extract, without provenance."""
     narrow = {path: c for path, c in _ORDER_MAP.items() if c in ("number", "day")}
     return extract.read_texts(_order_xml(spark, folder), narrow)[0].drop("source")
 
@@ -757,7 +761,7 @@ def incremental_ingest(spark, folder):
     FROM pages
     """
 )
-def page_links(spark, folder):
+def q_links(spark, folder):
     return links.extract_links(table(spark, folder, "pages"))
 
 

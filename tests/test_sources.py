@@ -186,8 +186,10 @@ def test_oversized_members_come_record_by_record(spark, rows, zips):
 
 def test_member_stretch_and_other_elements(spark, rows, zips):
     paths = archives.list_archives(spark, zips)
-    first, _ = extract.extract_archives(paths, "sme", members=(0, 1))
+    first, _ = extract.extract_archives(paths, "sme", members=slice(0, 1))
     assert rows(first, "file_id") == [("F1",), ("F1",), ("F3",)]
+    second, _ = extract.extract_archives(paths, "sme", members=slice(1, None, 2))
+    assert rows(second, "file_id") == [("F2",)]
     narrow, _ = extract.extract_archives(
         paths, "sme", elements={"ИПВклМСП/@ИННФЛ": "ind_tin", "СвОКВЭД/СвОКВЭДОсн/@КодОКВЭД": "activity_code_main"},
         provenance=False,
