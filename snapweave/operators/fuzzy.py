@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from snapweave.functions.similarity import levenshtein_score, weighted_scores
 from snapweave.operators.lookups import attach
 from snapweave.operators.skew import SMALL_ROWS
+from snapweave.session import materialize
 
 _CHUNK = 64
 _SPREAD = 16
@@ -45,19 +46,20 @@ def fuzzy_match(
     was near enough.  ``scorer`` is "weighted" or "levenshtein".
 
     Candidates are met in chunks: a name row holds one chunk at a time, so neither side is
-    collected and no table of pairs arises.
+    collected and no table of pairs arises.  The distinct names are stored, so ``df`` is read once.
     """
     if scorer not in ("weighted", "levenshtein"):
         raise ValueError(f"unknown scorer {scorer!r}")
-    fields = [c for c in candidates.columns]
-    entry = F.struct(*fields)
-    listed = candidates.select(
-        F.col(order).cast("long").alias("__order"),
-        F.lower(full).alias("__full"),
-        F.lower(short).alias("__short"),
-        entry.alias("candidate"),
+    entry = F.struct(*candidates.columns)
+    listed = materialize(
+        candidates.select(
+            F.col(order).cast("long").alias("__order"),
+            F.lower(full).alias("__full"),
+            F.lower(short).alias("__short"),
+            entry.alias("candidate"),
+        )
     )
-    names = df.select(F.col(name).alias("name")).dropna().distinct()
+    names = materialize(df.select(F.col(name).alias("name")).dropna().distinct())
     keyed = names.withColumns({"__full": F.lower("name"), "__short": F.lower("name")})
     by_full = listed.filter("__full IS NOT NULL").groupBy("__full").agg(
         F.max_by("candidate", "__order").alias("__by_full")
@@ -65,7 +67,7 @@ def fuzzy_match(
     by_short = listed.filter("__short IS NOT NULL").groupBy("__short").agg(
         F.max_by("candidate", "__order").alias("__by_short")
     )
-    total = candidates.count()
+    total = listed.count()
     small = total <= SMALL_ROWS
     exact = attach(keyed, by_full, "__full", checked=False, small=small)
     exact = attach(exact, by_short, "__short", checked=False, small=small)

@@ -42,50 +42,45 @@ def waterfall_match(
     keys = [f"__k{i}" for i in range(width)]
     recipes = list(dict.fromkeys((r.source, r.right) for r in rungs))
 
-    def padded(columns):
-        cells = [F.col(c).cast("string") for c in columns]
-        return cells + [F.lit(None).cast("string")] * (width - len(cells))
+    def attempt(columns: Sequence[str], **numbers: int) -> str:
+        """A key with its numbers, padded to the longest recipe."""
+        cells = [f"CAST(`{c}` AS STRING)" for c in columns]
+        cells += ["CAST(NULL AS STRING)"] * (width - len(cells))
+        fields = [f"'__{n}', {v}" for n, v in numbers.items()]
+        return f"named_struct({', '.join(fields + [f"'{k}', {c}" for k, c in zip(keys, cells)])})"
 
-    def entries(number, source, columns):
-        usable = unique_lookup(
-            lookups[source].select(*dict.fromkeys([*columns, id, *payload])),
-            list(columns),
-            drop_null=len(columns) == 2,
-        )
-        return usable.select(
-            F.lit(number).alias("__recipe"),
-            *[cell.alias(k) for cell, k in zip(padded(columns), keys)],
-            F.struct(
-                F.col(id).cast("string").alias("geo_id"),
-                F.lit(source).alias("source"),
-                *payload,
-            ).alias("__found"),
+    def entries(source: str) -> DataFrame:
+        """Every row of a lookup under the key of each recipe that uses it."""
+        keyed = []
+        for number, (name, columns) in enumerate(recipes):
+            if name == source:
+                key = attempt(columns, recipe=number)
+                whole = " AND ".join(f"`{c}` IS NOT NULL" for c in columns)
+                keyed.append(f"CASE WHEN {whole} THEN {key} END" if len(columns) == 2 else key)
+        carried = "".join(f", '{c}', `{c}`" for c in payload)
+        return lookups[source].selectExpr(
+            f"inline(array_compact(array({', '.join(keyed)})))",
+            f"named_struct('geo_id', CAST(`{id}` AS STRING), 'source', '{source}'{carried}) AS __found",
         )
 
-    tables = [entries(i, *recipe) for i, recipe in enumerate(recipes)]
-    lookup = reduce(DataFrame.unionByName, tables)
+    sources = list(dict.fromkeys(source for source, _ in recipes))
+    every = reduce(DataFrame.unionByName, [entries(source) for source in sources])
+    lookup = unique_lookup(every, ["__recipe", *keys])
     if small is None:
         used = [source for source, _ in recipes]
-        small = sum(lookups[s].count() * used.count(s) for s in set(used)) <= SMALL_KEYS
+        small = sum(lookups[s].count() * used.count(s) for s in sources) <= SMALL_KEYS
     if small:
         lookup = F.broadcast(lookup)
 
-    attempts = F.array(
-        *[
-            F.struct(
-                F.lit(i + 1).alias("rung"),
-                F.lit(recipes.index((r.source, r.right))).alias("recipe"),
-                *[cell.alias(k) for cell, k in zip(padded(r.left), keys)],
-            )
-            for i, r in enumerate(rungs)
-        ]
-    )
+    attempts = [
+        attempt(r.left, rung=i + 1, try_recipe=recipes.index((r.source, r.right)))
+        for i, r in enumerate(rungs)
+    ]
     columns = addresses.columns
-    tried = addresses.select(*columns, F.explode(attempts).alias("__a")).select(
-        *columns, F.col("__a.rung").alias("__rung"), F.col("__a.recipe").alias("__try"),
-        *[F.col(f"__a.{k}").alias(f"__try{k}") for k in keys],
-    )
-    condition = (tried["__try"] == lookup["__recipe"]) & same(
+    tried = addresses.selectExpr(
+        *[f"`{c}`" for c in columns], f"inline(array({', '.join(attempts)}))"
+    ).withColumnsRenamed({k: f"__try{k}" for k in keys})
+    condition = (tried["__try_recipe"] == lookup["__recipe"]) & same(
         tried, lookup, [(f"__try{k}", k) for k in keys]
     )
     hit = F.when(F.col("__found").isNotNull(), F.col("__rung"))

@@ -100,6 +100,7 @@ def canonical_regions(names: DataFrame, column: str, regions: DataFrame) -> Data
         by_code.dropna(subset="__code"),
         "__code",
         checked=False,
+        small=regions.count() <= SMALL_ROWS,
     ).withColumn("region", F.when(numeric, F.col("__coded")).otherwise(F.col("candidate")))
     return found.select(
         F.col("name").alias("raw_region"),
