@@ -20,25 +20,47 @@ from snapweave.sources.tables import read_lookup
 
 # ---- fixed values: recipes in order of priority ------------------------------------------------
 
-_PARTS = ("region", "district", "city", "settlement")
-_PLACE, _NAME = ("region", "municipality", "settlement"), "settlement_name"
 RUNGS = (
-    Rung("s", ("region", "district", _NAME, "settlement_type"), (*_PLACE, "type")),
-    Rung("s", ("region", "district_name", _NAME, "settlement_type"), (*_PLACE, "type")),
-    Rung("s", ("region", "city", _NAME, "settlement_type"), (*_PLACE, "type")),
-    Rung("s", ("region", "city_name", _NAME, "settlement_type"), (*_PLACE, "type")),
-    Rung("s", ("region", "district", _NAME), _PLACE),
-    Rung("s", ("region", "district_name", _NAME), _PLACE),
-    Rung("s", ("region", "city", _NAME), _PLACE),
-    Rung("s", ("region", "city_name", _NAME), _PLACE),
-    Rung("s", ("region", _NAME, "settlement_type"), ("region", "settlement", "type")),
-    Rung("s", ("region", _NAME), ("region", "settlement")),
-    Rung("c", ("region", "district_name", "city_name", _NAME), ("region", "area", "city", "settlement")),
+    Rung(
+        "s",
+        ("region", "district", "settlement_name", "settlement_type"),
+        ("region", "municipality", "settlement", "type"),
+    ),
+    Rung(
+        "s",
+        ("region", "district_name", "settlement_name", "settlement_type"),
+        ("region", "municipality", "settlement", "type"),
+    ),
+    Rung(
+        "s",
+        ("region", "city", "settlement_name", "settlement_type"),
+        ("region", "municipality", "settlement", "type"),
+    ),
+    Rung(
+        "s",
+        ("region", "city_name", "settlement_name", "settlement_type"),
+        ("region", "municipality", "settlement", "type"),
+    ),
+    Rung("s", ("region", "district", "settlement_name"), ("region", "municipality", "settlement")),
+    Rung("s", ("region", "district_name", "settlement_name"), ("region", "municipality", "settlement")),
+    Rung("s", ("region", "city", "settlement_name"), ("region", "municipality", "settlement")),
+    Rung("s", ("region", "city_name", "settlement_name"), ("region", "municipality", "settlement")),
+    Rung("s", ("region", "settlement_name", "settlement_type"), ("region", "settlement", "type")),
+    Rung("s", ("region", "settlement_name"), ("region", "settlement")),
+    Rung(
+        "c",
+        ("region", "district_name", "city_name", "settlement_name"),
+        ("region", "area", "city", "settlement"),
+    ),
     Rung("c", ("region", "district_name", "city_name"), ("region", "area", "city")),
     Rung("c", ("region", "city_name"), ("region", "city")),
     Rung("c", ("region", "city_name"), ("region", "area")),
 )
 
+# ---- end of fixed values -----------------------------------------------------------------------
+
+_PARTS = ("region", "district", "city", "settlement")
+
 # columns of a lookup row that go to the rows it matches
 _PAYLOAD = [
     "geo_region", "place_region", "place_code", "place_iso",

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from snapweave import schemas
 from snapweave.operators.filters import new_files
 from snapweave.operators.panel import panelize
+from snapweave.operators.skew import HOT_ROWS
 from snapweave.plans.aggregate import aggregate_empl, aggregate_revexp, aggregate_sme
 from snapweave.plans.extract import extract_new, read_extracted
 from snapweave.plans.geocode import GeoLookups, geocode
@@ -26,18 +27,20 @@ def registry_panel(
     lookups: GeoLookups,
     revexp: DataFrame | None = None,
     empl: DataFrame | None = None,
+    *,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Extracted tables to the panel: aggregate, geocode, panelize.
 
     The aggregated registry is written once, because both the facts and the geocoder read it.
     """
-    aggregated = store(aggregate_sme(sme), "aggregated")
+    aggregated = store(aggregate_sme(sme, hot_rows=hot_rows), "aggregated")
     facts = []
     if revexp is not None:
         facts.append(aggregate_revexp(revexp, aggregated))
     if empl is not None:
         facts.append(aggregate_empl(empl, aggregated))
-    return panelize(geocode(aggregated, lookups), facts)
+    return panelize(geocode(aggregated, lookups, hot_rows=hot_rows), facts)
 
 
 def process(

@@ -21,6 +21,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from snapweave.session import materialize
+
 # executors need not have this package installed
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -125,9 +127,11 @@ def member_texts(
 ) -> DataFrame:
     """Content of the listed members: path, member, part, xml.
 
-    Members are dealt to tasks by size, whatever archive they are in.  One above
+    The list of members is stored and dealt to tasks in order, so that a large archive is read by
+    many tasks while a task still writes to few archives' partitions.  A member above
     ``whole_member_bytes`` comes as one row per record instead of one row.
     """
+    members = materialize(members)
     if tasks is None:
         total = members.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
         tasks = max(members.sparkSession.sparkContext.defaultParallelism, -(-total // partition_bytes))
@@ -160,4 +164,4 @@ def member_texts(
         if held:
             yield pd.DataFrame(held, columns=_TEXT_COLUMNS)
 
-    return members.repartition(int(tasks), "path", "member").mapInPandas(texts, _TEXTS)
+    return members.repartitionByRange(int(tasks), "path", "member").mapInPandas(texts, _TEXTS)

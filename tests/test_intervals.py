@@ -109,6 +109,13 @@ def test_hot_keys_are_found_exactly(spark):
     assert hot.select("__k").distinct().count() == 1
 
 
+def test_more_hot_keys_than_can_be_listed(spark, rows, monkeypatch):
+    monkeypatch.setattr("snapweave.operators.skew._MAX_LISTED_KEYS", 1)
+    df = random_snapshots(spark, 2)
+    plain = collapse_changes(df, "tin", "day", ["a", "b"], backfill=["note"], hot_rows=None)
+    assert rows(collapse_changes(df, "tin", "day", ["a", "b"], backfill=["note"], hot_rows=3)) == rows(plain)
+
+
 def test_hot_key_is_spread_over_tasks(spark):
     from snapweave.operators.skew import segment
 
