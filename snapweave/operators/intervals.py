@@ -82,17 +82,12 @@ def collapse_changes(
 
 def _collapse(df, key, by, tracked, end, backfill) -> DataFrame:
     order = by[0]
-    entity = Window.partitionBy(*key)
-    forward = entity.orderBy(*by)
-    if end is None:
-        last_end = F.max(order).over(entity)
-    else:
-        whole = forward.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        last_end = F.last(end).over(whole)
+    forward = Window.partitionBy(*key).orderBy(*by)
+    whole = forward.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     changed = (F.row_number().over(forward) == 1) | _differs(tracked, forward)
     filled = {f"__filled_{i}": _next_filled(c, key, by) for i, c in enumerate(backfill)}
     return (
-        df.withColumns({**filled, "__changed": changed, "__last": last_end})
+        df.withColumns({**filled, "__changed": changed, "__last": F.last(end or order).over(whole)})
         .filter("__changed")
         .withColumn("__until", F.coalesce(F.lead(order).over(forward), "__last"))
         .drop("__changed", "__last")
@@ -111,22 +106,20 @@ def _collapse_segments(df, by, tracked, end, backfill) -> DataFrame:
         .orderBy(F.col("__seg").desc())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    last_end = F.max(order) if end is None else F.max_by(end, at)
 
     summary = df.groupBy(*piece).agg(
         F.max_by(state, at).alias("__state"),
-        last_end.alias("__end"),
+        F.max_by(end or order, at).alias("__end"),
         *[
             F.min_by(c, F.when(F.col(c).isNotNull(), at)).alias(f"__fill_{i}")
             for i, c in enumerate(backfill)
         ],
     )
     whole = Window.partitionBy("__k")
-    last = F.max("__end") if end is None else F.max_by("__end", "__seg")
     around = summary.select(
         *piece,
         F.lag(F.struct("__state")).over(across).alias("__before"),
-        last.over(whole).alias("__last"),
+        F.max_by("__end", "__seg").over(whole).alias("__last"),
         *[
             F.last(f"__fill_{i}", ignorenulls=True).over(behind).alias(f"__fill_{i}")
             for i in range(len(backfill))
