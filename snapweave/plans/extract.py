@@ -110,11 +110,13 @@ def extract_new(
     codes: Sequence[str] | None = None,
     classifier: DataFrame | None = None,
     clear: bool = False,
+    files_per_batch: int | None = None,
 ) -> int | None:
     """Extract the archives not processed before into ``target``; returns how many there were.
 
     One Parquet partition per archive; a repeated batch replaces the partitions it wrote.
-    ``clear`` empties the target first.  A folder without archives gives None.
+    ``files_per_batch`` archives are finished before the ledger moves on (by default all that are
+    there).  ``clear`` empties the target first.  A folder without archives gives None.
     """
     schemas.check_dataset(dataset)
     if list_archives(spark, folder).isEmpty():
@@ -134,7 +136,9 @@ def extract_new(
             .parquet(target)
         )
 
-    return ingest_batches(spark, folder, ledger, process, pattern="*.zip")
+    return ingest_batches(
+        spark, folder, ledger, process, pattern="*.zip", files_per_batch=files_per_batch
+    )
 
 
 def read_extracted(spark: SparkSession, target: str, dataset: str) -> DataFrame:

@@ -51,6 +51,7 @@ def process(
     *,
     codes: Sequence[str] | None = None,
     classifier: DataFrame | None = None,
+    files_per_batch: int | None = None,
 ) -> DataFrame:
     """Archives to the panel; ``folders`` names the archive folder of each dataset at hand.
 
@@ -61,7 +62,7 @@ def process(
         target = f"{work.rstrip('/')}/extracted/{name}"
         extract_new(
             spark, folder, target, f"{work.rstrip('/')}/ledger/{name}", name,
-            codes=codes, classifier=classifier,
+            codes=codes, classifier=classifier, files_per_batch=files_per_batch,
         )
         tables[name] = read_extracted(spark, target, name)
     return registry_panel(tables["sme"], lookups, tables.get("revexp"), tables.get("empl"))

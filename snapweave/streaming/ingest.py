@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 _FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
+def _limited(reader: DataStreamReader, files_per_batch: int | None) -> DataStreamReader:
+    return reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader
+
+
 def ingest_files(
     spark: SparkSession,
     source: str,
@@ -21,15 +26,17 @@ def ingest_files(
     schema: T.StructType | None = None,
     transform: Callable[[DataFrame], DataFrame] | None = None,
     partition_by: str | None = None,
+    files_per_batch: int | None = None,
     **options,
 ) -> int:
     """Append the rows of files not seen before to the Parquet table ``target``.
 
     ``ledger`` is the stream's checkpoint folder: it remembers the files, so a run that was cut
-    short goes on where it stopped and a repeated run finds nothing to do.  Returns the number of
-    rows read in this run.
+    short goes on where it stopped and a repeated run finds nothing to do.  ``files_per_batch``
+    sets how much is done between two entries of the ledger.  Returns the number of rows read in
+    this run.
     """
-    reader = spark.readStream.format(format).options(**options)
+    reader = _limited(spark.readStream.format(format).options(**options), files_per_batch)
     rows = (reader.schema(schema) if schema is not None else reader).load(source)
     rows = transform(rows) if transform else rows
     writer = rows.writeStream.format("parquet").option("checkpointLocation", ledger)
@@ -47,6 +54,7 @@ def ingest_batches(
     process: Callable[[DataFrame], None],
     *,
     pattern: str,
+    files_per_batch: int | None = None,
 ) -> int:
     """Hand the paths of files not seen before to ``process``; returns how many there were.
 
@@ -60,13 +68,8 @@ def ingest_batches(
         process(paths)
         handled.append(paths.count())
 
-    files = (
-        spark.readStream.format("binaryFile")
-        .schema(_FILE)
-        .option("pathGlobFilter", pattern)
-        .load(source)
-        .select("path")
-    )
+    listing = spark.readStream.format("binaryFile").schema(_FILE).option("pathGlobFilter", pattern)
+    files = _limited(listing, files_per_batch).load(source).select("path")
     query = (
         files.writeStream.foreachBatch(batch)
         .option("checkpointLocation", ledger)

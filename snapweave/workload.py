@@ -136,6 +136,37 @@ def backfill_first(spark, folder):
     return intervals.backfill_first(events, "reading", "user_id", "ts").drop("ts")
 
 
+@query(
+    _changes_sql(
+        "(SELECT event_type, ts, CAST(floor(value / 10) AS INTEGER) AS band FROM events)",
+        ["band"], "event_type",
+    )
+)
+def collapse_hot_keys(spark, folder):
+    """Five keys hold all rows, each too many for one task."""
+    events = table(spark, folder, "events").select(
+        "event_type", "ts", F.floor(F.col("value") / 10).cast("int").alias("band")
+    )
+    return intervals.collapse_changes(
+        events, "event_type", "ts", ["band"], start_as="start_ts", end_as="end_ts", hot_rows=1000
+    )
+
+
+@query(
+    """
+    SELECT event_id, event_type,
+           first_value(reading IGNORE NULLS) OVER (PARTITION BY event_type ORDER BY ts
+             ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS reading
+    FROM (SELECT *, CASE WHEN value > 20 THEN user_id END AS reading FROM events)
+    """
+)
+def backfill_hot_keys(spark, folder):
+    events = table(spark, folder, "events").select(
+        "event_id", "event_type", "ts", F.when(F.col("value") > 20, F.col("user_id")).alias("reading")
+    )
+    return intervals.backfill_first(events, "reading", "event_type", "ts", hot_rows=1000).drop("ts")
+
+
 # ---- corrections, membership, exclusion, identifiers, codes ------------------------------------
 
 
@@ -273,6 +304,11 @@ _DICTIONARY = """
 """
 
 
+@query(f"WITH {_DICTIONARY} SELECT name, name_full FROM dictionary")
+def abbreviation_dictionary(spark, folder):
+    return lookups.abbreviation_dictionary(_abbreviations(spark, folder))
+
+
 def _short_nation():
     number = F.col("c_nationkey") % 6
     return (
@@ -742,6 +778,27 @@ def csv_roundtrip(spark, folder):
     return tables.read_csv(spark, target, customers.schema)
 
 
+@query(
+    """
+    SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders
+    UNION ALL
+    SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) FROM orders WHERE o_orderstatus = 'F'
+    """
+)
+def sorted_export(spark, folder):
+    """A sorted table by year that is replaced once and then added to."""
+    orders = table(spark, folder, "orders").select(
+        "o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year"), "o_orderstatus"
+    )
+    target = scratch_path(spark, "orders")
+    places = {"partition_by": ["year"], "sort_by": ["o_orderkey"]}
+    closed = orders.filter("o_orderstatus = 'F'").drop("o_orderstatus")
+    sinks.write_parquet(closed, target, **places)
+    sinks.write_parquet(orders.drop("o_orderstatus"), target, **places)
+    sinks.write_parquet(closed, target, clear=False, **places)
+    return spark.read.parquet(target)
+
+
 @query("SELECT event_id, user_id, event_type, value FROM events")
 def incremental_ingest(spark, folder):
     """Events arrive in two rounds of files; each run of the ingest takes only what is new."""
@@ -963,6 +1020,37 @@ def _geo_lookups(spark, folder) -> geocode.GeoLookups:
     )
 
 
+@query(
+    f"""
+    WITH nr AS (SELECT * FROM nation JOIN region ON n_regionkey = r_regionkey),
+    regions AS ({_select(_REGION_ROWS, 'nr')}),
+    named AS (SELECT c_custkey, CASE c_mktsegment WHEN 'BUILDING' THEN lower(n_name)
+                       WHEN 'MACHINERY' THEN lower(n_name || ' ' || r_name)
+                       WHEN 'FURNITURE' THEN CAST(c_nationkey + 4 AS VARCHAR)
+                       WHEN 'HOUSEHOLD' THEN lpad(CAST(c_nationkey AS VARCHAR), 3, '0') END AS spelled
+              FROM customer JOIN nr ON n_nationkey = c_nationkey)
+    SELECT c_custkey, k.name AS region, k.code AS region_code, k.iso_code AS region_iso_code
+    FROM named LEFT JOIN regions k ON lower(spelled) IN (lower(k.name), lower(k.short_name))
+      OR TRY_CAST(spelled AS INTEGER) = CAST(k.code AS INTEGER)
+    """
+)
+def normalize_regions(spark, folder):
+    """Region names as they come, by full name, short name or number."""
+    nations = _nation_region(spark, folder)
+    spelled = (
+        F.when(F.col("c_mktsegment") == "BUILDING", F.lower("n_name"))
+        .when(F.col("c_mktsegment") == "MACHINERY", F.lower(F.concat_ws(" ", "n_name", "r_name")))
+        .when(F.col("c_mktsegment") == "FURNITURE", (F.col("c_nationkey") + 4).cast("string"))
+        .when(F.col("c_mktsegment") == "HOUSEHOLD", F.lpad(F.col("c_nationkey").cast("string"), 3, "0"))
+    )
+    customers = (
+        table(spark, folder, "customer")
+        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+        .select("c_custkey", spelled.alias("region"))
+    )
+    return geocode.normalize_regions(customers, "region", _shaped(nations, _REGION_ROWS))
+
+
 _UPPER = [*schemas.NAME_COLUMNS, *schemas.ADDRESS_COLUMNS]
 _AGGREGATED = [c for c in schemas.SME_AGGREGATED.names if c not in ("start_date", "end_date")]
 

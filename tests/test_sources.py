@@ -241,7 +241,7 @@ def test_extract_new(spark, tmp_path):
     for i in range(5, 10):
         write_zip(source / f"s{i}.zip", a_xml=registry_xml(f"F{i}", ["47", "10"]))
     write_zip(source / "empty.zip", a_txt="no")
-    assert run() == 6
+    assert run(files_per_batch=2) == 6
     assert run() == 0
     gathered = extract.read_extracted(spark, target, "sme")
     assert gathered.count() == 15 and gathered.columns == schemas.SME.names
