@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -46,13 +45,15 @@ def fuzzy_match(
     was near enough.  ``scorer`` is "weighted" or "levenshtein".
 
     Candidates are met in chunks: a name row holds one chunk at a time, so neither side is
-    collected and no table of pairs arises.  The distinct names are stored, so ``df`` is read once.
+    collected and no table of pairs arises.  With "levenshtein" a name meets only chunks of lengths
+    that can still score above the threshold; the weighted score allows no such bound.  The
+    distinct names are stored, so ``df`` is read once.
     """
     if scorer not in ("weighted", "levenshtein"):
         raise ValueError(f"unknown scorer {scorer!r}")
     entry = F.struct(*candidates.columns)
     listed = materialize(
-        candidates.select(
+        candidates.distinct().select(
             F.col(order).cast("long").alias("__order"),
             F.lower(full).alias("__full"),
             F.lower(short).alias("__short"),
@@ -72,21 +73,13 @@ def fuzzy_match(
     exact = attach(keyed, by_full, "__full", checked=False, small=small)
     exact = attach(exact, by_short, "__short", checked=False, small=small)
 
-    chunks = max(1, math.ceil(total / _CHUNK))
-    lists = (
-        listed.filter("__short IS NOT NULL")
-        .groupBy(F.pmod(F.xxhash64("__order", "__short"), F.lit(chunks)).alias("__chunk"))
-        .agg(F.collect_list(F.struct("__order", "__short", "candidate")).alias("__list"))
-        .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(_SPREAD - 1))))
-    )
     open_names = (
         exact.filter("__by_full IS NULL AND __by_short IS NULL")
         .select("name", strip_words(F.lower("name"), words).alias("__text"))
         .filter(F.length("__text") > 0)
-        .withColumn("__salt", F.pmod(F.xxhash64("name"), F.lit(_SPREAD)).cast("int"))
-        .withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))))
     )
-    met = open_names.join(lists, ["__chunk", "__salt"])
+    by_length = scorer == "levenshtein" and threshold > 0
+    met = _meet(open_names, listed.filter("__short IS NOT NULL"), threshold if by_length else None)
     if scorer == "weighted":
         scores = weighted_scores("__text", F.col("__list.__short"))
         met = met.withColumn("__scores", scores)
@@ -123,3 +116,31 @@ def fuzzy_match(
         F.when(how.isin("full", "short"), 100.0).otherwise(F.col("__score")).alias("score"),
         F.coalesce("__by_full", "__by_short", "__near").alias("candidate"),
     )
+
+
+def _meet(names: DataFrame, listed: DataFrame, threshold: float | None) -> DataFrame:
+    """Each name with every chunk of candidates (``__list``) it has to be compared with.
+
+    Chunks belong to a band: a length of candidates when there is a ``threshold`` on the share of
+    equal characters, which bounds the lengths a name can reach; otherwise there is one band.
+    Names are salted, so that a band is met by many tasks.
+    """
+    if threshold is None:
+        band, reach = F.lit(0), F.array(F.lit(0))
+    else:
+        band, own = F.length("__short"), F.length("__text")
+        reach = F.sequence(
+            F.floor(own * (threshold / 100)).cast("int"), F.ceil(own * (100 / threshold)).cast("int")
+        )
+    banded = listed.withColumn("__band", band)
+    sizes = banded.groupBy("__band").agg(F.ceil(F.count(F.lit(1)) / _CHUNK).alias("__chunks"))
+    chunks = (
+        banded.join(sizes, "__band")
+        .groupBy("__band", F.pmod(F.xxhash64("candidate"), F.col("__chunks")).alias("__chunk"))
+        .agg(F.collect_list(F.struct("__order", "__short", "candidate")).alias("__list"))
+        .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(_SPREAD - 1))))
+    )
+    salted = names.withColumns(
+        {"__salt": F.pmod(F.xxhash64("name"), F.lit(_SPREAD)).cast("int"), "__band": F.explode(reach)}
+    )
+    return salted.join(chunks, ["__band", "__salt"])

@@ -99,33 +99,38 @@ def test_fuzzy_match(spark, scorer):
     }
 
 
-def test_fuzzy_match_meets_every_chunk(spark):
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        before, row = row, [i + 1]
+        for j, y in enumerate(b):
+            row.append(min(before[j + 1] + 1, row[j] + 1, before[j] + (x != y)))
+    return row[-1]
+
+
+@pytest.mark.parametrize("scorer, threshold", [("levenshtein", 50), ("levenshtein", 80), ("levenshtein", 0), ("weighted", 70)])
+def test_fuzzy_match_meets_every_candidate(spark, scorer, threshold):
     rng = random.Random(3)
-    words = sorted({"".join(rng.choices("abcdef", k=8)) for _ in range(300)})
-    candidates = spark.createDataFrame(list(enumerate(words)), "code int, name string").withColumn(
+    words = sorted({"".join(rng.choices("abc", k=rng.randrange(3, 13))) for _ in range(200)})
+    names = sorted({"".join(rng.choices("abcx", k=rng.randrange(1, 15))) for _ in range(60)} - set(words))
+    candidates = spark.createDataFrame(list(enumerate(words)) * 3, "code int, name string").withColumn(
         "short_name", F.col("name")
     )
-    names = sorted({w[:3] + "x" + w[4:] for w in words[::10]})
-    got = {
-        r["name"]: (r["code"], r["score"])
-        for r in fuzzy.fuzzy_match(
-            spark.createDataFrame([(n,) for n in names], "n string"), "n", candidates,
-            scorer="levenshtein", threshold=60,
-        ).select("name", "candidate.code", "score").collect()
-    }
+    found = fuzzy.fuzzy_match(
+        spark.createDataFrame([(n,) for n in names], "n string"), "n", candidates,
+        scorer=scorer, threshold=threshold,
+    )
+    got = {r["name"]: (r["code"], r["score"]) for r in found.select("name", "candidate.code", "score").collect()}
 
-    def edits(a, b):
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a):
-            before, row = row, [i + 1]
-            for j, y in enumerate(b):
-                row.append(min(before[j + 1] + 1, row[j] + 1, before[j] + (x != y)))
-        return row[-1]
+    def score(a, b):
+        if scorer == "weighted":
+            return similarity.weighted_ratio(a, b)
+        return 100 * (1 - edits(a, b) / max(len(a), len(b)))
 
+    assert set(got) == set(names)
     for n in names:
-        scores = [(100 * (1 - edits(n, w) / max(len(n), len(w))), -i) for i, w in enumerate(words)]
-        best, place = max(scores)
-        assert got[n] == ((-place, pytest.approx(best)) if best > 60 else (None, None))
+        best, place = max((score(n, w), -i) for i, w in enumerate(words))
+        assert got[n] == ((-place, pytest.approx(best)) if best > threshold else (None, None))
 
 
 def test_unknown_scorer(spark):
