@@ -304,9 +304,24 @@ _DICTIONARY = """
 """
 
 
-@query(f"WITH {_DICTIONARY} SELECT name, name_full FROM dictionary")
+@query(
+    """
+    WITH abbr AS (SELECT p_partkey, CASE WHEN p_size < 25 THEN p_brand || '.' ELSE p_brand END AS name,
+                         p_name AS name_full FROM part),
+    forms AS (SELECT 0 AS form, p_partkey, name, name_full FROM abbr
+              UNION ALL SELECT 1, p_partkey, name_full, name_full FROM abbr
+              UNION ALL SELECT 2, p_partkey, name || '.', name_full FROM abbr WHERE name NOT LIKE '%.')
+    SELECT upper(name) AS name, upper(name_full) AS name_full FROM forms
+    QUALIFY row_number() OVER (PARTITION BY upper(name) ORDER BY form, p_partkey) = 1
+    """
+)
 def abbreviation_dictionary(spark, folder):
-    return lookups.abbreviation_dictionary(_abbreviations(spark, folder))
+    parts = table(spark, folder, "part").select(
+        F.col("p_partkey").alias("type_id"),
+        F.when(F.col("p_size") < 25, F.concat("p_brand", F.lit("."))).otherwise(F.col("p_brand")).alias("name"),
+        F.col("p_name").alias("name_full"),
+    )
+    return lookups.abbreviation_dictionary(parts)
 
 
 def _short_nation():
