@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapweave.operators.skew import as_list, broadcast_if_small, same
+from snapweave.session import materialize
 
 
 def exclude_patterns(
@@ -81,5 +82,5 @@ def filter_by_codes(
     """Rows whose code is one of those meant by ``codes``; no codes, no filter."""
     if not [c for c in codes or () if c.strip()]:
         return df
-    allowed = broadcast_if_small(expand_codes(classifier, codes, group, code))
+    allowed = broadcast_if_small(materialize(expand_codes(classifier, codes, group, code)))
     return df.join(allowed, same(df, allowed, [(column, "code")]), "left_semi")

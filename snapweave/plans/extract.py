@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from snapweave import schemas
 from snapweave.operators.filters import expand_codes
 from snapweave.operators.skew import broadcast_if_small, same
+from snapweave.session import materialize
 from snapweave.sources import xml
 from snapweave.sources.archives import list_archives, manifest, member_texts
 from snapweave.sources.sinks import write_parquet
@@ -34,7 +35,7 @@ def read_texts(
     """
     rows, rejects = xml.parse_records(texts, record, elements, file_attributes, xml_column)
     if code_column and [c for c in codes or () if c.strip()]:
-        allowed = broadcast_if_small(expand_codes(classifier, codes))
+        allowed = broadcast_if_small(materialize(expand_codes(classifier, codes)))
         coded = rows.withColumn("__code", xml.record_value(elements, code_column))
         rows = coded.join(allowed, same(coded, allowed, [("__code", "code")]), "left_semi").drop(
             "__code"
