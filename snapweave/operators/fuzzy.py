@@ -54,7 +54,7 @@ def fuzzy_match(
     entry = F.struct(*candidates.columns)
     listed = materialize(
         candidates.distinct().select(
-            F.col(order).cast("long").alias("__order"),
+            F.col(order).try_cast("long").alias("__order"),
             F.lower(full).alias("__full"),
             F.lower(short).alias("__short"),
             entry.alias("candidate"),

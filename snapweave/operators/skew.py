@@ -27,7 +27,7 @@ SMALL_ROWS = 200_000
 SMALL_KEYS = 1_000_000
 """The same for tables of a few short columns."""
 
-_MAX_LISTED_KEYS = 10_000
+_MAX_LISTED_KEYS = 100_000
 _MAX_SEGMENTS = 4_000  # range partitioning keeps a sample of 100 rows per piece on the driver
 
 

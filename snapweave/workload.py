@@ -5,12 +5,12 @@ A query takes (spark, folder) and returns a DataFrame over the whole tables of t
 
 from __future__ import annotations
 
-import io
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -746,20 +746,15 @@ def _zip_rows(rows: DataFrame, target: str) -> None:
     """Write the texts as members of ZIP files, one archive per task, plus one member of no interest."""
 
     def write(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
-
-        held, count = io.BytesIO(), 0
-        with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as archive:
+        system, path = fs.FileSystem.from_uri(target)
+        name = f"{path}/data-{TaskContext.get().partitionId()}.zip"
+        count = 0
+        with system.open_output_stream(name) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
             for batch in batches:
                 for row in batch.itertuples():
                     archive.writestr(f"part-{row.source}.xml", row.xml.encode("utf-8"))
                     count += 1
             archive.writestr("readme.txt", "not data")
-        if count:
-            system, path = fs.FileSystem.from_uri(target)
-            name = f"{path}/data-{TaskContext.get().partitionId()}.zip"
-            with system.open_output_stream(name) as out:
-                out.write(held.getvalue())
         yield pd.DataFrame({"n": [count]})
 
     system, path = fs.FileSystem.from_uri(target)
@@ -775,7 +770,7 @@ def _uri(path: str) -> str:
 def archive_scan(spark, folder):
     target = _uri(scratch_path(spark, "archives"))
     texts = _order_xml(spark, folder)
-    _zip_rows(texts.repartition(32, "source"), target)
+    _zip_rows(texts.repartition(max(16, texts.count() // 10_000), "source"), target)
     members = archives.manifest(archives.list_archives(spark, target))
     rows, _ = extract.read_texts(
         archives.member_texts(members, schemas.RECORD_TAG), _ORDER_MAP, file_attributes=_ORDER_FILE
