@@ -2,7 +2,7 @@
 
 Ordered operators (previous row, next row) need all rows of a key side by side, which puts a key
 with a third of a table into one task.  ``split_hot`` finds such keys with one pre-aggregated
-count; ``segment`` cuts their rows into range partitions of the order, so that each piece is
+count of their rows; ``segment`` cuts their rows into range partitions of the order, so that each piece is
 worked on by itself and only one summary row per piece has to be looked at together.
 """
 
@@ -28,6 +28,7 @@ SMALL_KEYS = 1_000_000
 """The same for tables of a few short columns."""
 
 _MAX_LISTED_KEYS = 100_000
+_COUNTED_ROWS = 20_000  # rows of a hot key that are enough to tell it by
 _MAX_SEGMENTS = 4_000  # range partitioning keeps a sample of 100 rows per piece on the driver
 
 
@@ -63,17 +64,21 @@ def split_hot(
 ) -> Split:
     """Part ``df`` into rows of ordinary keys and rows of keys above ``hot_rows`` rows.
 
-    Hot rows carry ``__k``, a small number standing for their key.  ``counted`` may name a
+    Hot rows carry ``__k``, a small number standing for their key.  For a high ``hot_rows`` the
+    count is an estimate from a share of the rows, which keeps its shuffle small; it only decides
+    how rows are laid out, and every row is in one part or the other.  ``counted`` may name a
     cheaper table with the same number of rows per key.  ``hot_rows=None`` skips the count, for
     callers that know their keys to be bounded.
     """
     if hot_rows is None:
         return Split(df, None, 0)
     spark = df.sparkSession
+    share = min(1.0, _COUNTED_ROWS / max(1, hot_rows))
+    seen = (df if counted is None else counted).select(*key)
     counts = (
-        (df if counted is None else counted)
+        (seen.sample(share, seed=0) if share < 1 else seen)
         .groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("__n"))
+        .agg((F.count(F.lit(1)) / share).cast("long").alias("__n"))
         .filter(F.col("__n") > hot_rows)
     )
     listed = counts.limit(_MAX_LISTED_KEYS + 1).collect()

@@ -116,6 +116,16 @@ def test_more_hot_keys_than_can_be_listed(spark, rows, monkeypatch):
     assert rows(collapse_changes(df, "tin", "day", ["a", "b"], backfill=["note"], hot_rows=3)) == rows(plain)
 
 
+def test_hot_keys_are_found_from_a_share_of_rows(spark, monkeypatch):
+    monkeypatch.setattr("snapweave.operators.skew._COUNTED_ROWS", 2_000)
+    df = spark.range(100_000).select(
+        F.when(F.col("id") < 40_000, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id"
+    )
+    cold, hot, n = split_hot(df, ["k"], 20_000)
+    assert (cold.count(), hot.count()) == (60_000, 40_000)
+    assert 30_000 < n < 50_000
+
+
 def test_hot_key_is_spread_over_tasks(spark):
     from snapweave.operators.skew import segment
 
