@@ -170,16 +170,18 @@ def _matches(text: Column, rule: Rule, number: int) -> Column:
     return F.when(text.rlike(rule.pattern), let(parts, walk)).otherwise(F.array().cast(spans))
 
 
-def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """``docs`` with ``secret_spans``: an array of (start, rule, end), sorted; ``rule`` indexes ``rules``.
+def find_secrets(
+    docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", name: str = "secret_spans"
+) -> DataFrame:
+    """``docs`` with a column ``name``: an array of (start, rule, end), sorted; ``rule`` indexes ``rules``.
 
     Offsets are code points of the whole text, ``end`` is exclusive, a span is the whole match.
     Matches of one rule do not overlap, those of different rules may.  Null and empty texts have
     no spans.  Rows are judged one by one, so repeated rows get the same spans.  All columns of
-    ``docs`` are kept; a column named ``secret_spans`` is replaced.  ``docs`` is read twice, once
+    ``docs`` are kept, one called ``name`` is replaced.  ``docs`` is read twice, once
     for the index and once to verify.
     """
-    docs = docs.drop("secret_spans")
+    docs = docs.drop(name)
     queries = {n: q for n, rule in enumerate(rules) if (q := trigram_query(rule.pattern)) is not None}
     vocabulary = sorted({t for q in queries.values() for alternative in q for t in alternative})
     whole = F.coalesce(F.col(text), F.lit(""))
@@ -198,7 +200,7 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "
         else _matches(whole, rule, n)
         for n, rule in enumerate(rules)
     ]
-    return searched.withColumn("secret_spans", F.sort_array(F.concat(none, *spans))).drop("__key", "__rules")
+    return searched.withColumn(name, F.sort_array(F.concat(none, *spans))).drop("__key", "__rules")
 
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
@@ -221,11 +223,11 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text")
         walked = F.aggregate(row.spans, start, step)
         return let(walked, lambda w: F.concat(w.out, F.substring(row.text, w.pos + 1, F.length(row.text))))
 
-    row = F.struct(F.col(text).alias("text"), F.col("secret_spans").alias("spans"))
+    row = F.struct(F.col(text).alias("text"), F.col("__spans").alias("spans"))
     return (
-        find_secrets(docs, rules, text)
-        .withColumn(text, F.when(F.size("secret_spans") > 0, let(row, masked)).otherwise(F.col(text)))
-        .drop("secret_spans")
+        find_secrets(docs, rules, text, "__spans")
+        .withColumn(text, F.when(F.size("__spans") > 0, let(row, masked)).otherwise(F.col(text)))
+        .drop("__spans")
     )
 
 

@@ -5,9 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from snapweave.llm import chunks, language, merkle, mixing, packing, secrets, separators, simhash, vafile
 from snapweave.llm import quality as quality_rules
-from snapweave.llm import secrets
 from snapweave.llm.common import read
+from snapweave.session import store
+
+
+def op1_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return vafile.search(read(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op2_merkle_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """The pages as an archive, held against a replica with altered and lost records."""
+    archive = store(merkle.as_records(read(spark, folder, "pages")), "archive")
+    altered = F.concat(F.lit("warc").cast("binary"), F.substring("record", 5, (1 << 31) - 1))
+    replica = archive.filter("page_id is null or page_id % 997 != 11").withColumn(
+        "record", F.when(F.col("page_id") % 499 == 7, altered).otherwise(F.col("record"))
+    )
+    return merkle.audit(merkle.build(archive), merkle.build(replica))
 
 
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
@@ -17,6 +32,10 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality(docs, ratios)
 
 
+def op4_chunk_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return chunks.repeats(read(spark, folder, "documents"))
+
+
 def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text")
     spans = F.col("secret_spans")
@@ -35,9 +54,85 @@ def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    found = language.identify(docs.select("doc_id", "text"), language.train(docs))
+    return found.select(
+        "doc_id",
+        language.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("predicted.lang_pred").alias("lang_pred"),
+        F.col("predicted.score").alias("score"),
+        F.col("predicted.bits").alias("bits"),
+    )
+
+
+def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return separators.count_tokens(separators.write_flat(read(spark, folder, "documents")))
+
+
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(read(spark, folder, "documents"))
+
+
+def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(read(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        simhash.fingerprint_hex(F.col("fingerprint")).alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
+def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    sized = docs.select("doc_id", "source", mixing.count_words(F.col("text")).alias("size"))
+    return mixing.mix(sized).select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
+    )
+
+
 QUERIES = {
+    "op1_exact_top_k": op1_exact_top_k,
+    "op2_merkle_audit": op2_merkle_audit,
     "op3_quality_rules": op3_quality_rules,
+    "op4_chunk_dedup": op4_chunk_dedup,
     "op5_secret_scan": op5_secret_scan,
+    "op6_language_id": op6_language_id,
+    "op7_token_counts": op7_token_counts,
+    "op8_packing": op8_packing,
+    "op9_simhash": op9_simhash,
+    "op10_mixing": op10_mixing,
 }
 
-SQL: dict[str, str] = {}
+SQL = {
+    "op1_exact_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS x FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        ), distinct_v AS (SELECT DISTINCT vec_id, x FROM v),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.x, c.x)::BIGINT AS score
+            FROM distinct_v q JOIN distinct_v c ON c.vec_id <> q.vec_id AND len(c.x) = len(q.x)
+            WHERE q.vec_id % 50 = 0
+        )
+        SELECT query_id, (row_number() OVER w)::INTEGER AS rank, vec_id, score FROM scored
+        WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5
+    """,
+    "op2_merkle_audit": """
+        WITH sized AS (
+            SELECT page_id, 'part-' || (page_id // 2048)::BIGINT || '.warc' AS file,
+                   strlen('WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10)
+                       || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Length: '
+                       || strlen(coalesce(html, ''))) + 4 + strlen(coalesce(html, '')) + 4 AS length
+            FROM pages
+        ), placed AS (
+            SELECT *, (sum(length) OVER (PARTITION BY file ORDER BY page_id) - length)::BIGINT AS "offset" FROM sized
+        )
+        SELECT file, "offset", length::BIGINT AS length,
+               CASE WHEN page_id % 997 = 11 THEN 'missing' ELSE 'changed' END AS status
+        FROM placed WHERE page_id % 997 = 11 OR page_id % 499 = 7
+    """,
+}
+"""Of the others, op3 to op10, SQL has no such hashes, tokenizers, models or draws, or not at this
+size; their tests hold them against plain Python."""
