@@ -95,7 +95,7 @@ def pack(docs: DataFrame, vocabulary: str = WORD_BPE, text: str = "text", doc_id
     def packed(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True])
         places = first_fit_decreasing(rows["length"].tolist())
-        rows["sequence_id"] = (rows["__group"] << 32) + [b for b, _ in places]
+        rows["sequence_id"] = rows["__group"] * (1 << 32) + [b for b, _ in places]
         rows["offset"] = [o for _, o in places]
         return rows.drop(columns="__group")
 
