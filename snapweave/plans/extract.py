@@ -5,19 +5,43 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from snapweave import schemas
 from snapweave.operators.filters import expand_codes
 from snapweave.operators.skew import broadcast_if_small, same
-from snapweave.session import materialize
+from snapweave.session import materialize, remove, store
 from snapweave.sources import xml
 from snapweave.sources.archives import list_archives, manifest, member_texts
-from snapweave.sources.sinks import write_parquet
 from snapweave.streaming.ingest import ingest_batches
 
 
+def _records(
+    documents: DataFrame,
+    elements: Mapping[str, str],
+    record: str,
+    file_attributes: Mapping[str, str] | None,
+    code_column: str | None,
+    codes: Sequence[str] | None,
+    classifier: DataFrame | None,
+    xml_column: str,
+) -> DataFrame:
+    """Flat rows of text columns, and the damaged documents, marked ``__rejected``.
+
+    Codes are compared before the wide row is built.
+    """
+    rows = xml.parse_records(documents, record, elements, file_attributes, xml_column)
+    if code_column and [c for c in codes or () if c.strip()]:
+        allowed = expand_codes(classifier, codes).distinct().withColumn("__allowed", F.lit(True))
+        allowed = broadcast_if_small(materialize(allowed))
+        coded = rows.withColumn("__code", xml.record_value(elements, code_column))
+        kept = coded.join(allowed, same(coded, allowed, [("__code", "code")]), "left")
+        rows = kept.filter("__allowed OR __rejected").drop("__code", "code", "__allowed")
+    return xml.flatten_records(rows, elements)
+
+
 def read_texts(
     texts: DataFrame,
     elements: Mapping[str, str],
@@ -29,60 +53,93 @@ def read_texts(
     classifier: DataFrame | None = None,
     xml_column: str = "xml",
 ) -> tuple[DataFrame, DataFrame]:
-    """Flat rows of text columns from XML texts, and the texts that are not well-formed.
-
-    Codes are compared before the wide row is built.
-    """
-    rows, rejects = xml.parse_records(texts, record, elements, file_attributes, xml_column)
-    if code_column and [c for c in codes or () if c.strip()]:
-        allowed = broadcast_if_small(materialize(expand_codes(classifier, codes)))
-        coded = rows.withColumn("__code", xml.record_value(elements, code_column))
-        rows = coded.join(allowed, same(coded, allowed, [("__code", "code")]), "left_semi").drop(
-            "__code"
-        )
-    return xml.flatten_records(rows, elements), rejects
-
-
-def extract_archives(
+    """Flat rows of text columns from XML texts, and the texts that are not well-formed."""
+    documents = xml.split_texts(texts, record, xml_column)
+    found = _records(
+        documents, elements, record, file_attributes, code_column, codes, classifier, xml_column
+    )
+    kept = [c for c in texts.columns if c != xml_column]
+    return found.filter("NOT __rejected").drop("__rejected"), found.filter("__rejected").select(*kept)
+
+
+def _slice(listed: DataFrame, members: slice | int) -> DataFrame:
+    """Members at the positions Python would take from each archive's list."""
+    n = F.count(F.when(F.col("position") >= 0, 1)).over(Window.partitionBy("path"))
+    at = F.col("position")
+    if isinstance(members, int):
+        taken = at == (members if members >= 0 else n + members)
+    else:
+        step = 1 if members.step is None else members.step
+        if step == 0:
+            raise ValueError("slice step cannot be zero")
+        low, high = (F.lit(0), n) if step > 0 else (F.lit(-1), n - 1)
+
+        def bound(value: int | None, default: Column) -> Column:
+            if value is None:
+                return default
+            counted = F.lit(value) if value >= 0 else n + value
+            return F.least(F.greatest(counted, low), high)
+
+        start = bound(members.start, F.lit(0) if step > 0 else n - 1)
+        stop = bound(members.stop, n if step > 0 else F.lit(-1))
+        inside = (at >= start) & (at < stop) if step > 0 else (at <= start) & (at > stop)
+        taken = inside & (F.abs(at - start) % abs(step) == 0)
+    return listed.withColumn("__taken", taken | (at < 0)).filter("__taken").drop("__taken")
+
+
+def _extracted(
     archives: DataFrame,
     dataset: str,
-    *,
     codes: Sequence[str] | None = None,
     classifier: DataFrame | None = None,
     elements: Mapping[str, str] | None = None,
     provenance: bool = True,
-    members: slice | None = None,
+    members: slice | int | None = None,
     **sizes,
-) -> tuple[DataFrame, DataFrame]:
-    """Typed rows of the listed archives with their ``archive``, and the rejected members.
-
-    Codes apply to the registry only, as do the file's id and record count.  ``elements``
-    narrows the map to other columns (then as text), ``members`` takes a slice of each archive's
-    members by position.
-    """
+) -> DataFrame:
+    """Typed rows with path, member and ``archive``, and one row, marked ``__rejected``, per reject."""
     schemas.check_dataset(dataset)
     listed = manifest(archives)
     if members is not None:
-        start, step = members.start or 0, members.step or 1
-        ahead = F.col("position") - start
-        listed = listed.filter((ahead >= 0) & (ahead % step == 0))
-        if members.stop is not None:
-            listed = listed.filter(F.col("position") < members.stop)
+        listed = _slice(listed, members)
     registry = dataset == "sme"
-    rows, rejects = read_texts(
+    rows = _records(
         member_texts(listed, schemas.RECORD_TAG, **sizes),
         elements or schemas.ELEMENTS[dataset],
-        file_attributes=schemas.FILE_ATTRIBUTES if registry and provenance else None,
-        code_column="activity_code_main" if registry else None,
-        codes=codes,
-        classifier=classifier,
-    )
-    named = rows.withColumn("archive", F.substring_index("path", "/", -1)).drop(
-        "path", "member", "part"
+        schemas.RECORD_TAG,
+        schemas.FILE_ATTRIBUTES if registry and provenance else None,
+        "activity_code_main" if registry else None,
+        codes,
+        classifier,
+        "xml",
     )
+    named = rows.withColumn("archive", F.substring_index("path", "/", -1)).drop("part")
     if elements is None and (provenance or not registry):
         named = xml.typed(named, schemas.EXTRACTED[dataset], schemas.INPUT_DATE_FORMAT)
-    return named, rejects.select("path", "member").distinct()
+    return named
+
+
+def extract_archives(
+    archives: DataFrame,
+    dataset: str,
+    *,
+    codes: Sequence[str] | None = None,
+    classifier: DataFrame | None = None,
+    elements: Mapping[str, str] | None = None,
+    provenance: bool = True,
+    members: slice | int | None = None,
+    **sizes,
+) -> tuple[DataFrame, DataFrame]:
+    """Typed rows of the listed archives with their ``archive``, and what was rejected.
+
+    Codes apply to the registry only, as do the file's id and record count.  ``elements``
+    narrows the map to other columns (then as text), ``members`` takes a member or a slice of each
+    archive's members, as Python does.  Rejects are damaged members (path, member), and archives
+    that cannot be opened (without member).
+    """
+    found = _extracted(archives, dataset, codes, classifier, elements, provenance, members, **sizes)
+    rows = found.filter("NOT __rejected").drop("path", "member", "__rejected")
+    return rows, found.filter("__rejected").select("path", "member").distinct()
 
 
 def extract(
@@ -112,42 +169,54 @@ def extract_new(
     classifier: DataFrame | None = None,
     clear: bool = False,
     files_per_batch: int | None = None,
+    rejects: str | None = None,
 ) -> int | None:
     """Extract the archives not processed before into ``target``; returns how many there were.
 
-    One Parquet partition per archive; a repeated batch replaces the partitions it wrote.
-    ``files_per_batch`` archives are finished before the ledger moves on (by default all that are
-    there).  ``clear`` empties the target first.  A folder without archives gives None.
+    Archives are told apart by name, whatever their age.  One Parquet partition per archive; a
+    repeated batch replaces the partitions it wrote.  ``files_per_batch`` archives are finished
+    before the ledger moves on (by default all that are there).  Damaged members and archives are
+    kept in the table ``rejects`` (path, member), by default beside the target.  ``clear`` starts
+    over: target, rejects and ledger are emptied first.  A folder without archives gives None.
     """
     schemas.check_dataset(dataset)
+    refused = rejects or f"{target.rstrip('/')}_rejects"
     if list_archives(spark, folder).isEmpty():
         return None
     if clear:
-        empty = spark.createDataFrame([], schemas.EXTRACTED[dataset]).withColumn(
-            "archive", F.lit("")
-        )
-        write_parquet(empty, target, partition_by=["archive"])
+        for path in (target, refused, ledger):
+            remove(spark, path)
+
+    def write(rows: DataFrame, path: str) -> None:
+        placed = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        placed.partitionBy("archive").parquet(path)
 
     def process(archives: DataFrame) -> None:
-        rows, _ = extract_archives(archives, dataset, codes=codes, classifier=classifier)
-        (
-            rows.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("archive")
-            .parquet(target)
-        )
+        found = store(_extracted(archives, dataset, codes, classifier), "extracted")
+        write(found.filter("NOT __rejected").drop("path", "member", "__rejected"), target)
+        write(found.filter("__rejected").select("path", "member", "archive"), refused)
 
     return ingest_batches(
         spark, folder, ledger, process, pattern="*.zip", files_per_batch=files_per_batch
     )
 
 
-def read_extracted(spark: SparkSession, target: str, dataset: str) -> DataFrame:
-    """What ``extract_new`` has gathered so far."""
-    schema = schemas.EXTRACTED[schemas.check_dataset(dataset)]
+def read_rejects(spark: SparkSession, target: str, rejects: str | None = None) -> DataFrame:
+    """Members (path, member) that ``extract_new`` refused so far; archives have no member."""
+    schema = "path string, member string, archive string"
+    return _read(spark, rejects or f"{target.rstrip('/')}_rejects", schema).select("path", "member")
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     try:
-        return spark.read.schema(schema).parquet(target).select(*schema.names)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
+
+
+def read_extracted(spark: SparkSession, target: str, dataset: str) -> DataFrame:
+    """What ``extract_new`` has gathered so far."""
+    schema = schemas.EXTRACTED[schemas.check_dataset(dataset)]
+    return _read(spark, target, schema).select(*schema.names)

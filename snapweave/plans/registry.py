@@ -63,6 +63,7 @@ def process(
         extract_new(
             spark, folder, target, f"{work.rstrip('/')}/ledger/{name}", name,
             codes=codes, classifier=classifier, files_per_batch=files_per_batch,
+            rejects=f"{work.rstrip('/')}/rejects/{name}",
         )
         tables[name] = read_extracted(spark, target, name)
     return registry_panel(tables["sme"], lookups, tables.get("revexp"), tables.get("empl"))

@@ -35,6 +35,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that the library wrote, wherever Spark can write; no matter if it is missing."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute a small table once, on reliable storage: no lineage, fixed contents."""
     checkpoint_dir(df.sparkSession)

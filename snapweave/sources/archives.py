@@ -8,26 +8,27 @@ knows will do.
 
 from __future__ import annotations
 
+import io
 import re
 import sys
 import zipfile
 from collections.abc import Iterable, Iterator
-from xml.etree import ElementTree
+from functools import partial
 
 import pandas as pd
 from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from snapweave.session import materialize
+from snapweave.sources import documents
 
 # executors need not have this package installed
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 PARTITION_BYTES = 64 << 20
-WHOLE_MEMBER_BYTES = 256 << 20
 
 _MANIFEST = "path string, member string, position int, bytes long"
 _TEXTS = "path string, member string, part int, xml string"
@@ -47,6 +48,23 @@ def list_archives(spark: SparkSession, folder: str) -> DataFrame:
     return files.select("path")
 
 
+class _Seekable(io.BufferedIOBase):
+    """A pyarrow file whose seeks fail as Python's do, as the ZIP reader expects of short files."""
+
+    def __init__(self, file):
+        self._file = file
+        self.read, self.tell, self.close = file.read, file.tell, file.close
+
+    def seekable(self) -> bool:
+        return True
+
+    def seek(self, offset: int, whence: int = 0) -> int:
+        try:
+            return self._file.seek(offset, whence)
+        except ValueError as error:
+            raise OSError(str(error)) from error
+
+
 def _open(path: str) -> zipfile.ZipFile:
     """Open an archive by the path Spark gives, in which nothing is escaped."""
     remote = re.match(r"(?!file:)([a-z][a-z0-9+.-]*://[^/]+)/(.*)", path, re.S)
@@ -55,20 +73,25 @@ def _open(path: str) -> zipfile.ZipFile:
         inner = f"{root.rstrip('/')}/{remote.group(2)}"
     else:
         system, inner = fs.LocalFileSystem(), re.sub(r"^file:/*", "/", path)
-    return zipfile.ZipFile(system.open_input_file(inner))
+    return zipfile.ZipFile(_Seekable(system.open_input_file(inner)))
 
 
 def manifest(archives: DataFrame, contains: str = "xml") -> DataFrame:
     """Members of the archives whose name contains ``xml``: path, member, position, bytes.
 
-    ``position`` counts them within their archive, to take single ones or a stretch.
+    ``position`` counts them within their archive, to take single ones or a stretch.  A file that
+    is no archive is one row without member, at position -1.
     """
 
     def members(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path in batch["path"]:
-                with _open(path) as archive:
-                    named = [i for i in archive.infolist() if contains in i.filename]
+                try:
+                    with _open(path) as archive:
+                        named = [i for i in archive.infolist() if contains in i.filename]
+                except zipfile.BadZipFile:
+                    yield pd.DataFrame([(path, None, -1, 0)], columns=["path", "member", "position", "bytes"])
+                    continue
                 listed = [(path, i.filename, n, i.file_size) for n, i in enumerate(named)]
                 if listed:
                     yield pd.DataFrame(listed, columns=["path", "member", "position", "bytes"])
@@ -76,92 +99,50 @@ def manifest(archives: DataFrame, contains: str = "xml") -> DataFrame:
     return archives.select("path").mapInPandas(members, _MANIFEST)
 
 
-def decode(content: bytes) -> str:
-    """Text of an XML file, by its byte order mark or declared encoding."""
-    for mark, name in ((b"\xef\xbb\xbf", "utf-8-sig"), (b"\xff\xfe", "utf-16"), (b"\xfe\xff", "utf-16")):
-        if content.startswith(mark):
-            return content.decode(name, errors="replace")
-    declared = re.match(rb"\s*<\?xml[^>]*encoding\s*=\s*[\"']([\w.-]+)", content[:200])
-    encoding = declared.group(1).decode("ascii") if declared else "utf-8"
-    try:
-        return content.decode(encoding, errors="replace")
-    except LookupError:
-        return content.decode("utf-8", errors="replace")
-
-
-def _below_root(stream) -> Iterator[tuple[ElementTree.Element, ElementTree.Element]]:
-    """The root and each of its children in turn, forgetting a child once it was used."""
-    root, depth = None, 0
-    for event, element in ElementTree.iterparse(stream, events=("start", "end")):
-        depth += 1 if event == "start" else -1
-        if root is None:
-            root = element
-        elif event == "end" and depth == 1:
-            yield root, element
-            root.remove(element)
-
-
-def _records(archive: zipfile.ZipFile, member: str, record: str) -> Iterator[str]:
-    """Each record of an oversized member as a document of its own below the root's attributes.
-
-    The member is read through once before, because a malformed file must not yield anything.
-    """
-    with archive.open(member) as stream:
-        for _ in _below_root(stream):
-            pass
-    with archive.open(member) as stream:
-        for root, child in _below_root(stream):
-            if child.tag == record:
-                single = ElementTree.Element(root.tag, dict(root.attrib))
-                single.append(child)
-                yield ElementTree.tostring(single, encoding="unicode")
-
-
 def member_texts(
     members: DataFrame,
     record: str,
     *,
     partition_bytes: int = PARTITION_BYTES,
-    whole_member_bytes: int = WHOLE_MEMBER_BYTES,
-    tasks: int | None = None,
+    document_bytes: int = documents.DOCUMENT_BYTES,
 ) -> DataFrame:
-    """Content of the listed members: path, member, part, xml.
+    """Records of the listed members, as documents: path, member, part, xml.
 
-    The list of members is stored and dealt to tasks in order, so that a large archive is read by
-    many tasks while a task still writes to few archives' partitions.  A member above
-    ``whole_member_bytes`` comes as one row per record instead of one row.
+    The list of members is stored and dealt to tasks by size, neighbours together, so that a large
+    archive is read by many tasks while a task still writes to few archives' partitions.  A damaged
+    member, and an archive that cannot be opened, is one row without xml.
     """
     members = materialize(members)
-    if tasks is None:
-        total = members.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
-        tasks = max(members.sparkSession.sparkContext.defaultParallelism, -(-total // partition_bytes))
-
-    def read(archive: zipfile.ZipFile, row) -> Iterator[str]:
-        if row.bytes > whole_member_bytes:
-            yield from _records(archive, row.member, record)
-        else:
-            yield decode(archive.read(row.member))
+    total = members.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    tasks = max(members.sparkSession.sparkContext.defaultParallelism, -(-total // partition_bytes))
+    share = max(1, -(-total // tasks))
+    before = Window.partitionBy("path").orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
+    dealt = members.withColumn("slot", F.floor(F.sum("bytes").over(before) / share))
 
     def listed(batch: pd.DataFrame) -> Iterator[tuple[str, str, int, str]]:
         for path, rows in batch.groupby("path", sort=False):
+            if rows["member"].isna().all():
+                yield path, None, 0, None
+                continue
             with _open(path) as archive:
-                for row in rows.itertuples():
+                for member in rows["member"].dropna():
                     try:
-                        for part, text in enumerate(read(archive, row)):
-                            yield path, row.member, part, text
-                    except (ElementTree.ParseError, zipfile.BadZipFile):
-                        yield path, row.member, 0, ""
+                        cut = documents.documents(partial(archive.open, member), record, document_bytes)
+                        for part, text in enumerate(cut):
+                            yield path, member, part, text
+                    except documents.DAMAGED:
+                        yield path, member, 0, None
 
     def texts(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size = [], 0
         for batch in batches:
             for row in listed(batch):
                 held.append(row)
-                size += len(row[3])
+                size += len(row[3] or "")
                 if size >= _BATCH_CHARACTERS or len(held) >= _BATCH_ROWS:
                     yield pd.DataFrame(held, columns=_TEXT_COLUMNS)
                     held, size = [], 0
         if held:
             yield pd.DataFrame(held, columns=_TEXT_COLUMNS)
 
-    return members.repartitionByRange(int(tasks), "path", "member").mapInPandas(texts, _TEXTS)
+    return dealt.repartition(int(tasks), "path", "slot").drop("slot").mapInPandas(texts, _TEXTS)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from io import BytesIO
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from snapweave.sources import documents
+
 _CORRUPT = "_corrupt_record"
 _OPTIONS = {
     "mode": "PERMISSIVE",
@@ -57,17 +61,43 @@ def _value(record: Column, path: str) -> Column:
     return F.when(F.array_max(value).isNotNull(), F.array_join(value, ","))
 
 
+def split_texts(texts: DataFrame, record: str, xml: str = "xml") -> DataFrame:
+    """Replace each text by documents that hold its records; null for a text that is not well-formed.
+
+    Texts without records go.
+    """
+
+    @F.pandas_udf(T.StructType([T.StructField("good", T.BooleanType()), T.StructField("parts", T.ArrayType(T.StringType()))]))
+    def split(column: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in column:
+            found = []
+            for text in batch:
+                try:
+                    data = (text or "").encode("utf-8")
+                    found.append((True, list(documents.documents(lambda data=data: BytesIO(data), record, encoding="utf-8"))))
+                except documents.DAMAGED:
+                    found.append((False, None))
+            yield pd.DataFrame(found, columns=["good", "parts"])
+
+    none = F.array(F.lit(None).cast("string"))
+    kept = [c for c in texts.columns if c != xml]
+    parted = texts.withColumn("__split", split(F.col(xml)))
+    parts = F.when(F.col("__split.good"), F.col("__split.parts")).otherwise(none)
+    return parted.select(*kept, F.explode(parts).alias(xml))
+
+
 def parse_records(
     texts: DataFrame,
     record: str,
     elements: Mapping[str, str],
     file_attributes: Mapping[str, str] | None = None,
     xml: str = "xml",
-) -> tuple[DataFrame, DataFrame]:
-    """One row per ``record`` element below the root, and the texts that are not well-formed.
+) -> DataFrame:
+    """One row per ``record`` below the root, and one, marked ``__rejected``, per text that is damaged.
 
-    Rows keep the other columns of ``texts``.  ``record`` holds the parsed element until
-    ``flatten_records`` picks the mapped columns, so that a filter in between sees no wide rows.
+    Texts are documents as ``split_texts`` gives them.  Rows keep the other columns of ``texts``.
+    ``__record`` holds the parsed element until ``flatten_records`` picks the mapped columns, so
+    that a filter in between sees no wide rows.
     """
     attributes = dict(file_attributes or {})
     root = T.StructType(
@@ -78,19 +108,18 @@ def parse_records(
         ]
     )
     kept = [c for c in texts.columns if c != xml]
-    document = F.from_xml(xml, root, _OPTIONS)
-    parsed = texts.select(*kept, document.alias("__doc"))
+    parsed = texts.select(*kept, F.from_xml(xml, root, _OPTIONS).alias("__doc"))
     # an outer explode: a filter on the document itself would be moved down and parse it again
-    documents = parsed.select(
+    whole = F.col("__doc").isNotNull() & F.col(f"__doc.{_CORRUPT}").isNull()
+    found = parsed.select(
         *kept,
         *[F.col(f"__doc.{_field(a)}").alias(c) for a, c in attributes.items()],
-        F.when(F.col(f"__doc.{_CORRUPT}").isNull(), F.col(f"__doc.{record}")).alias("__records"),
+        F.when(whole, F.col(f"__doc.{record}")).alias("__records"),
+        (~whole).alias("__rejected"),
     )
-    rows = documents.select(
-        *kept, *attributes.values(), F.explode_outer("__records").alias("__record")
-    ).filter("__record IS NOT NULL")
-    broken = F.col(xml).isNull() | document.getField(_CORRUPT).isNotNull()
-    return rows, texts.filter(broken).select(*kept)
+    return found.select(
+        *kept, *attributes.values(), "__rejected", F.explode_outer("__records").alias("__record")
+    ).filter("__record IS NOT NULL OR __rejected")
 
 
 def record_value(elements: Mapping[str, str], column: str) -> Column:

@@ -2,17 +2,48 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable
+from threading import Event
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamReader
+from pyspark.sql.streaming import DataStreamReader, StreamingQueryListener
 
 _FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
+_ANY_AGE = "36500d"
+_REPORT_SECONDS = 300
+
+
+class _RowCount(StreamingQueryListener):
+    """Rows read by each run of a query, from all its progress reports.
+
+    The reports a query keeps itself are only the last ones.
+    """
+
+    def __init__(self) -> None:
+        self.rows: dict[str, int] = defaultdict(int)
+        self.ended: dict[str, Event] = defaultdict(Event)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.rows[str(event.progress.runId)] += event.progress.numInputRows
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended[str(event.runId)].set()
+
+
 def _limited(reader: DataStreamReader, files_per_batch: int | None) -> DataStreamReader:
+    """Files count as new by the ledger alone, not by their age, which Spark would also look at."""
+    reader = reader.option("maxFileAge", _ANY_AGE)
     return reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader
 
 
@@ -42,9 +73,17 @@ def ingest_files(
     writer = rows.writeStream.format("parquet").option("checkpointLocation", ledger)
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    query = writer.trigger(availableNow=True).start(target)
-    query.awaitTermination()
-    return sum(p["numInputRows"] for p in query.recentProgress)
+    count = _RowCount()
+    spark.streams.addListener(count)
+    try:
+        query = writer.trigger(availableNow=True).start(target)
+        query.awaitTermination()
+        run = str(query.runId)
+        if not count.ended[run].wait(_REPORT_SECONDS):
+            raise TimeoutError("the ingest ended, but its count of rows was not reported")
+        return count.rows[run]
+    finally:
+        spark.streams.removeListener(count)
 
 
 def ingest_batches(
@@ -58,8 +97,8 @@ def ingest_batches(
 ) -> int:
     """Hand the paths of files not seen before to ``process``; returns how many there were.
 
-    A batch that failed is handed over again, so ``process`` should replace what it wrote for
-    the same files.
+    Files are told apart by name.  A batch that failed is handed over again, so ``process`` should
+    replace what it wrote for the same files.
     """
     handled: list[int] = []
 
@@ -69,6 +108,7 @@ def ingest_batches(
         handled.append(paths.count())
 
     listing = spark.readStream.format("binaryFile").schema(_FILE).option("pathGlobFilter", pattern)
+    listing = listing.option("fileNameOnly", True)
     files = _limited(listing, files_per_batch).load(source).select("path")
     query = (
         files.writeStream.foreachBatch(batch)

@@ -1,4 +1,6 @@
 import datetime as dt
+import io
+import os
 import zipfile
 from decimal import Decimal
 
@@ -9,7 +11,7 @@ from pyspark.sql import types as T
 from snapweave import schemas
 from snapweave.plans import extract
 from snapweave.plans.registry import new_links
-from snapweave.sources import archives, links, sinks, tables, xml
+from snapweave.sources import archives, documents, links, sinks, tables, xml
 from snapweave.streaming.ingest import ingest_files, pending
 
 RECORD = (
@@ -174,13 +176,12 @@ def test_extract_codes(spark, rows, zips):
     assert kept("C") == ["10.1"]
 
 
-def test_oversized_members_come_record_by_record(spark, rows, zips):
+def test_small_documents_give_the_same_rows(spark, rows, zips):
     whole = extract.extract(spark, zips, "sme")
-    split = extract.extract(spark, zips, "sme", whole_member_bytes=0, tasks=3)
+    split = extract.extract(spark, zips, "sme", document_bytes=1, partition_bytes=1)
     assert rows(split) == rows(whole)
-    texts = archives.member_texts(
-        archives.manifest(archives.list_archives(spark, zips)), schemas.RECORD_TAG, whole_member_bytes=0
-    )
+    listed = archives.manifest(archives.list_archives(spark, zips))
+    texts = archives.member_texts(listed, schemas.RECORD_TAG, document_bytes=1)
     assert rows(texts, "member", "part") == [("a.xml", 0), ("a.xml", 1), ("b.xml", 0), ("bad.xml", 0), ("c.xml", 0)]
 
 
@@ -197,13 +198,72 @@ def test_member_stretch_and_other_elements(spark, rows, zips):
     assert set(narrow.columns) == {"ind_tin", "activity_code_main", "archive"}
 
 
-def test_decode():
-    text = "<Ф/>"
-    assert archives.decode(text.encode()) == text
-    assert archives.decode(text.encode("utf-8-sig")) == text
-    assert archives.decode(text.encode("utf-16")) == text
-    declared = '<?xml version="1.0" encoding="windows-1251"?><Ф/>'
-    assert archives.decode(declared.encode("cp1251")) == declared
+@pytest.mark.parametrize(
+    "taken", [slice(-2, None), slice(None, -1), slice(None, None, 3), slice(None, None, -2), slice(5, 1, -2),
+              slice(-3, 100), slice(4, 2), slice(-100, 2), slice(9, None, -1), 0, -1, 2, 7, -8],
+)
+def test_member_slices(spark, tmp_path, taken):
+    for n in (0, 1, 6):
+        write_zip(tmp_path / f"z{n}.zip", **{f"m{i}_xml": registry_xml(f"{n}-{i}", ["1"]) for i in range(n)})
+    expected = []
+    for n in (0, 1, 6):
+        positions = list(range(n))
+        held = positions[taken] if isinstance(taken, slice) else [i for i in positions if i == (taken if taken >= 0 else n + taken)]
+        expected += [f"{n}-{i}" for i in held]
+    got, _ = extract.extract_archives(archives.list_archives(spark, str(tmp_path)), "sme", members=taken)
+    assert sorted(r.file_id for r in got.collect()) == sorted(expected)
+
+
+def cut(data, size=1 << 20, record="Документ"):
+    return list(documents.documents(lambda: io.BytesIO(data), record, size))
+
+
+def test_encodings():
+    text = '<Ф Я="ё"><Документ К="ю"/></Ф>'
+    assert cut(text.encode()) == cut(text.encode("utf-8-sig")) == cut(text.encode("utf-16")) == [text]
+    assert cut(('<?xml version="1.0" encoding="windows-1251"?>' + text).encode("cp1251")) == [text]
+
+
+def test_records_at_any_depth_and_as_written():
+    text = """<Ф a=">"><!-- <Документ К="no"/> --><Г><Документ К='1>"'><А/>т&amp;<![CDATA[</Документ>]]></Документ ></Г>
+    <Документ><Документ/></Документ><ДокументИное/></Ф>"""
+    whole = ["""<Документ К='1>"'><А/>т&amp;<![CDATA[</Документ>]]></Документ >""", "<Документ/>", "<Документ><Документ/></Документ>"]
+    assert cut(text.encode()) == ['<Ф a=">">' + "".join(whole) + "</Ф>"]
+    assert cut(text.encode(), 1) == [f'<Ф a=">">{w}</Ф>' for w in whole]
+    assert cut(b"<a/>") == [] and cut("<Документ/>".encode()) == ["<Документ><Документ/></Документ>"]
+
+
+def test_a_default_namespace_hides_records():
+    assert cut('<Ф xmlns="urn:x"><Документ/></Ф>'.encode()) == []
+
+
+def test_records_across_blocks(monkeypatch):
+    monkeypatch.setattr(documents, "_BLOCK", 7)
+    text = '<Ф К="1">' + "".join(f'<Документ Н="{i}"><Б/></Документ> <В/>' for i in range(50)) + "</Ф>"
+    got = "".join(cut(text.encode("utf-8"), 100))
+    assert [f'Н="{i}"' in got for i in range(50)] == [True] * 50
+    assert cut(("<?xml version='1.0' encoding='utf-16'?>" + text).encode("utf-16"), 1 << 20) == cut(text.encode(), 1 << 20)
+
+
+@pytest.mark.parametrize("damage", [b"tail", b"<b/>", b"\xff", b"<", b""])
+def test_damage_anywhere_refuses_the_whole_file(damage):
+    good = "<Ф><Документ/></Ф>".encode()
+    with pytest.raises(documents.DAMAGED):
+        cut(good + damage if damage else good[:-1])
+
+
+def test_damaged_archives_are_rejects(spark, rows, tmp_path):
+    write_zip(tmp_path / "good.zip", a_xml=registry_xml("F1", ["1"]), b_xml=registry_xml("F2", ["1"]) + b"x")
+    (tmp_path / "no.zip").write_bytes(b"not an archive")
+    with zipfile.ZipFile(tmp_path / "torn.zip", "w", zipfile.ZIP_DEFLATED) as archive:
+        archive.writestr("c.xml", registry_xml("F3", ["1"] * 500))
+    data = bytearray((tmp_path / "torn.zip").read_bytes())
+    data[80:120] = b"\xff" * 40
+    (tmp_path / "torn.zip").write_bytes(data)
+    good, bad = extract.extract_archives(archives.list_archives(spark, str(tmp_path)), "sme")
+    assert rows(good, "file_id") == [("F1",)]
+    found = bad.selectExpr("substring_index(path, '/', -1) AS archive", "member")
+    assert rows(found) == [("good.zip", "b.xml"), ("no.zip", None), ("torn.zip", "c.xml")]
 
 
 def test_unknown_dataset(spark, zips):
@@ -245,9 +305,16 @@ def test_extract_new(spark, tmp_path):
     assert run() == 0
     gathered = extract.read_extracted(spark, target, "sme")
     assert gathered.count() == 15 and gathered.columns == schemas.SME.names
-    write_zip(source / "s10.zip", a_xml=registry_xml("F10", ["47"]))
-    assert run(clear=True) == 1
-    assert extract.read_extracted(spark, target, "sme").count() == 1
+    write_zip(source / "old.zip", a_xml=registry_xml("F10", ["47"]), b_xml=b"<cut")
+    (source / "none.zip").write_bytes(b"no archive")
+    os.utime(source / "old.zip", (1, 1_000_000_000))
+    assert run() == 2
+    assert extract.read_extracted(spark, target, "sme").count() == 16
+    refused = extract.read_rejects(spark, target)
+    assert sorted((r.path.rpartition("/")[2], r.member) for r in refused.collect()) == [("none.zip", None), ("old.zip", "b.xml")]
+    assert run(clear=True) == 13
+    assert extract.read_extracted(spark, target, "sme").count() == 16
+    assert extract.read_rejects(spark, target).count() == 2
 
 
 def test_nothing_extracted_yet(spark, tmp_path):
@@ -271,6 +338,19 @@ def test_ingest_files_once(spark, rows, tmp_path):
     assert rows(spark.read.parquet(target), "id") == [(i,) for i in sorted(range(14), key=lambda i: repr((i,)))]
 
 
+def test_ingest_counts_every_batch_and_takes_old_files(spark, tmp_path):
+    inbox, target, ledger = (str(tmp_path / n) for n in ("inbox", "target", "ledger"))
+    for i in range(110):
+        (tmp_path / "inbox").mkdir(exist_ok=True)
+        (tmp_path / "inbox" / f"f{i}.csv").write_text(f"{i}\n{i}\n")
+    options = {"format": "csv", "schema": T.StructType([T.StructField("id", T.LongType())])}
+    assert ingest_files(spark, inbox, target, ledger, files_per_batch=1, **options) == 220
+    (tmp_path / "inbox" / "late.csv").write_text("7\n")
+    os.utime(tmp_path / "inbox" / "late.csv", (1, 1_000_000_000))
+    assert ingest_files(spark, inbox, target, ledger, **options) == 1
+    assert spark.read.parquet(target).count() == 221
+
+
 def test_pending(spark, rows):
     files = spark.createDataFrame([("a",), ("b",)], "path string")
     seen = spark.createDataFrame([("a",), ("a",)], "path string")
