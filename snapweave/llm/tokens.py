@@ -9,10 +9,13 @@ from tokenizers import Tokenizer
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 ID_BYTES = 4
-CACHED_WORDS = 600_000
+CACHED_WORDS = 1_200_000
 """Words whose ids a worker remembers, about 200 bytes each."""
 
 _MARKS = ".,;:!?"
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+#: Byte-level vocabularies spell a byte as the sign of that number if it prints, else from 256 on.
+_BYTE_SIGNS = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in set(_PRINTED))}
 
 
 class WordEncoder:
@@ -24,25 +27,42 @@ class WordEncoder:
 
     def __init__(self, path: str = WORD_BPE, cached: int = CACHED_WORDS):
         self._tokenizer = Tokenizer.from_file(path)
+        self._model = self._tokenizer.model
         self._cached = cached
         self._known: dict[bytes, bytes] = {}
 
-    def _learn(self, word: bytes) -> bytes:
-        text = word.decode("utf-8", "surrogatepass")
-        stem = text.rstrip(_MARKS)
-        if stem.isalpha() and max(stem) < "Ā" and (stem != text or stem != stem.lower()):
-            # letters, then marks: two separate words for the vocabulary, which knows no capitals
-            ids = b"".join(self._of(part.encode()) for part in (stem.lower(), text[len(stem) :]) if part)
-        else:
-            found = self._tokenizer.encode(text, add_special_tokens=False).ids
-            ids = struct.pack(f"<{len(found)}I", *found)
+    def _letters(self, word: str, raw: bytes) -> bytes:
+        """Ids of one run of lower-case letters, which the vocabulary takes as a whole."""
+        found = self._known.get(raw)
+        if found is None:
+            spelled = word if word.isascii() else raw.decode("latin-1").translate(_BYTE_SIGNS)
+            ids = [token.id for token in self._model.tokenize(spelled)]
+            found = self._remember(raw, struct.pack(f"<{len(ids)}I", *ids))
+        return found
+
+    def _whole(self, text: str) -> bytes:
+        ids = self._tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _remember(self, word: bytes, ids: bytes) -> bytes:
         if len(self._known) >= self._cached:
             self._known.clear()
         self._known[word] = ids
         return ids
 
-    def _of(self, word: bytes) -> bytes:
-        return self._known.get(word) or self._learn(word)
+    def _learn(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "surrogatepass")
+        stem = text.rstrip(_MARKS)
+        if not stem.isalpha() or not stem.isascii() and max(stem) >= "Ā":
+            return self._remember(word, self._whole(text))
+        # letters, then marks: two separate words for the vocabulary, which knows no capitals
+        low = stem.lower()
+        ids = self._letters(low, low.encode())
+        marks = text[len(stem) :]
+        if marks:
+            raw = marks.encode()
+            ids += self._known.get(raw) or self._remember(raw, self._whole(marks))
+        return self._remember(word, ids)
 
     def encode(self, text: str | None) -> bytes:
         known, learn = self._known.get, self._learn
