@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,10 +11,9 @@ from pyspark.sql import functions as F
 from snapweave.functions.similarity import levenshtein_score, weighted_scores
 from snapweave.operators.lookups import attach
 from snapweave.operators.skew import SMALL_ROWS
-from snapweave.session import materialize
+from snapweave.session import store, store_counted
 
 _CHUNK = 64
-_SPREAD = 16
 
 
 def strip_words(column, words: Sequence[str]):
@@ -25,10 +25,48 @@ def strip_words(column, words: Sequence[str]):
     return F.trim(F.regexp_replace(F.regexp_replace(column, pattern, " "), r"\s+", " "))
 
 
+class Candidates(NamedTuple):
+    """Candidates as ``fuzzy_match`` uses them, stored: all of them, and by full and short name."""
+
+    listed: DataFrame
+    by_full: DataFrame
+    by_short: DataFrame
+    total: int
+
+
+def prepare_candidates(
+    candidates: DataFrame, full: str = "name", short: str = "short_name", order: str = "code"
+) -> Candidates:
+    """Store a list of candidates for any number of ``fuzzy_match`` calls.
+
+    ``order`` may be numbers or text: numbers come first, by value, then text, then nulls.
+    """
+    number = F.col(order).try_cast("double")
+    rank = F.struct(
+        F.col(order).isNull().alias("none"), number.isNull().alias("text"), number.alias("number"),
+        F.col(order).cast("string").alias("spelled"),
+    )
+    listed, total = store_counted(
+        candidates.distinct().select(
+            rank.alias("__order"),
+            F.lower(full).alias("__full"),
+            F.lower(short).alias("__short"),
+            F.struct(*candidates.columns).alias("candidate"),
+        ),
+        "candidates",
+    )
+
+    def by(key: str) -> DataFrame:
+        last = F.max_by("candidate", "__order").alias(f"__by{key[1:]}")
+        return store(listed.filter(F.col(key).isNotNull()).groupBy(key).agg(last), "candidates_by_name")
+
+    return Candidates(listed, by("__full"), by("__short"), total)
+
+
 def fuzzy_match(
     df: DataFrame,
     name: str,
-    candidates: DataFrame,
+    candidates: DataFrame | Candidates,
     *,
     full: str = "name",
     short: str = "short_name",
@@ -39,39 +77,25 @@ def fuzzy_match(
 ) -> DataFrame:
     """For each distinct name the candidate it means: ``name``, ``how``, ``score``, ``candidate``.
 
-    Tried in turn: the same full name, the same short name (both in any case), then the short
-    name with the best score above ``threshold`` once type ``words`` are removed; the smallest
-    ``order`` (a number) wins among equals.  ``how`` is full, short, fuzzy, or null if nothing
-    was near enough.  ``scorer`` is "weighted" or "levenshtein".
+    Tried in turn: the same full name, the same short name (both in any case; the last in ``order``
+    of those that share it), then the short name with the best score above ``threshold`` once type
+    ``words`` are removed; the first in ``order`` wins among equals.  ``how`` is full, short, fuzzy,
+    or null if nothing was near enough.  ``scorer`` is "weighted" or "levenshtein".
 
     Candidates are met in chunks: a name row holds one chunk at a time, so neither side is
     collected and no table of pairs arises.  With "levenshtein" a name meets only chunks of lengths
     that can still score above the threshold; the weighted score allows no such bound.  The
-    distinct names are stored, so ``df`` is read once.
+    distinct names are stored, so ``df`` is read once; ``prepare_candidates`` does the candidates'
+    part beforehand.
     """
     if scorer not in ("weighted", "levenshtein"):
         raise ValueError(f"unknown scorer {scorer!r}")
-    entry = F.struct(*candidates.columns)
-    listed = materialize(
-        candidates.distinct().select(
-            F.col(order).try_cast("long").alias("__order"),
-            F.lower(full).alias("__full"),
-            F.lower(short).alias("__short"),
-            entry.alias("candidate"),
-        )
-    )
-    names = materialize(df.select(F.col(name).alias("name")).dropna().distinct())
+    made = candidates if isinstance(candidates, Candidates) else prepare_candidates(candidates, full, short, order)
+    names = store(df.select(F.col(name).alias("name")).dropna().distinct(), "names")
     keyed = names.withColumns({"__full": F.lower("name"), "__short": F.lower("name")})
-    by_full = listed.filter("__full IS NOT NULL").groupBy("__full").agg(
-        F.max_by("candidate", "__order").alias("__by_full")
-    )
-    by_short = listed.filter("__short IS NOT NULL").groupBy("__short").agg(
-        F.max_by("candidate", "__order").alias("__by_short")
-    )
-    total = listed.count()
-    small = total <= SMALL_ROWS
-    exact = attach(keyed, by_full, "__full", checked=False, small=small)
-    exact = attach(exact, by_short, "__short", checked=False, small=small)
+    small = made.total <= SMALL_ROWS
+    exact = attach(keyed, made.by_full, "__full", checked=False, small=small)
+    exact = attach(exact, made.by_short, "__short", checked=False, small=small)
 
     open_names = (
         exact.filter("__by_full IS NULL AND __by_short IS NULL")
@@ -79,29 +103,31 @@ def fuzzy_match(
         .filter(F.length("__text") > 0)
     )
     by_length = scorer == "levenshtein" and threshold > 0
-    met = _meet(open_names, listed.filter("__short IS NOT NULL"), threshold if by_length else None)
+    met = _meet(
+        open_names, made.listed.filter("__short IS NOT NULL"), threshold if by_length else None, made.total, small
+    )
     if scorer == "weighted":
         scores = weighted_scores("__text", F.col("__list.__short"))
         met = met.withColumn("__scores", scores)
         ranked = F.zip_with(
             "__scores", "__list",
-            lambda s, c: F.struct(s.alias("score"), (-c["__order"]).alias("o"), c["candidate"].alias("candidate")),
+            lambda s, c: F.struct((-s).alias("far"), c["__order"].alias("o"), c["candidate"].alias("candidate")),
         )
     else:
         ranked = F.transform(
             "__list",
             lambda c: F.struct(
-                levenshtein_score(F.col("__text"), c["__short"]).alias("score"),
-                (-c["__order"]).alias("o"),
+                (-levenshtein_score(F.col("__text"), c["__short"])).alias("far"),
+                c["__order"].alias("o"),
                 c["candidate"].alias("candidate"),
             ),
         )
     best = (
-        met.select("name", F.array_max(ranked).alias("b"))
+        met.select("name", F.array_min(ranked).alias("b"))
         .groupBy("name")
-        .agg(F.max("b").alias("b"))
-        .filter(F.col("b.score") > threshold)
-        .select(F.col("name").alias("__name"), F.col("b.score").alias("__score"),
+        .agg(F.min("b").alias("b"))
+        .filter(F.col("b.far") < -threshold)
+        .select(F.col("name").alias("__name"), (-F.col("b.far")).alias("__score"),
                 F.col("b.candidate").alias("__near"))
     )
     result = exact.join(best, exact["name"] == best["__name"], "left")
@@ -118,12 +144,15 @@ def fuzzy_match(
     )
 
 
-def _meet(names: DataFrame, listed: DataFrame, threshold: float | None) -> DataFrame:
+def _meet(
+    names: DataFrame, listed: DataFrame, threshold: float | None, total: int, small: bool
+) -> DataFrame:
     """Each name with every chunk of candidates (``__list``) it has to be compared with.
 
     Chunks belong to a band: a length of candidates when there is a ``threshold`` on the share of
     equal characters, which bounds the lengths a name can reach; otherwise there is one band.
-    Names are salted, so that a band is met by many tasks.
+    Candidates that were counted as small are broadcast, and names stay where they are.  Otherwise
+    names are salted, so that a band is met by as many tasks as shuffles have.
     """
     if threshold is None:
         band, reach = F.lit(0), F.array(F.lit(0))
@@ -132,15 +161,17 @@ def _meet(names: DataFrame, listed: DataFrame, threshold: float | None) -> DataF
         reach = F.sequence(
             F.floor(own * (threshold / 100)).cast("int"), F.ceil(own * (100 / threshold)).cast("int")
         )
-    banded = listed.withColumn("__band", band)
-    sizes = banded.groupBy("__band").agg(F.ceil(F.count(F.lit(1)) / _CHUNK).alias("__chunks"))
+    # a chunk holds about _CHUNK candidates where all are of one length, fewer where they are spread
+    chunk = F.pmod(F.xxhash64("candidate"), F.lit(max(1, -(-total // _CHUNK))))
     chunks = (
-        banded.join(sizes, "__band")
-        .groupBy("__band", F.pmod(F.xxhash64("candidate"), F.col("__chunks")).alias("__chunk"))
+        listed.groupBy(band.alias("__band"), chunk.alias("__chunk"))
         .agg(F.collect_list(F.struct("__order", "__short", "candidate")).alias("__list"))
-        .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(_SPREAD - 1))))
-    )
-    salted = names.withColumns(
-        {"__salt": F.pmod(F.xxhash64("name"), F.lit(_SPREAD)).cast("int"), "__band": F.explode(reach)}
+        .select("__band", "__list")
     )
-    return salted.join(chunks, ["__band", "__salt"])
+    reaching = names.withColumn("__band", F.explode(reach))
+    if small:
+        return reaching.join(F.broadcast(chunks), "__band")
+    spread = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salted = reaching.withColumn("__salt", F.pmod(F.xxhash64("name"), F.lit(spread)).cast("int"))
+    every_salt = F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))
+    return salted.join(chunks.withColumn("__salt", every_salt), ["__band", "__salt"])

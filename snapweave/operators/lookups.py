@@ -21,18 +21,14 @@ def first_per(df: DataFrame, key: str | Sequence[str], ordinal: str | Sequence[s
 def unique_lookup(df: DataFrame, keys: str | Sequence[str], drop_null: bool = False) -> DataFrame:
     """Rows whose key occurs exactly once; all rows of a repeated key go.
 
-    ``drop_null`` also drops keys with a null part.
+    ``drop_null`` also drops keys with a null part.  Keys are counted by themselves, which takes a
+    hash table of keys instead of a sort of whole rows; ``df`` is read twice.
     """
     keys = as_list(keys)
-    rest = [c for c in df.columns if c not in keys]
     if drop_null:
         df = df.dropna(subset=keys)
-    once = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__n"), *[F.first(c).alias(c) for c in rest])
-        .filter("__n = 1")
-    )
-    return once.select(*df.columns)
+    once = df.groupBy(*[F.col(k).alias(f"__once_{k}") for k in keys]).count().filter("count = 1")
+    return df.join(once, same(df, once, [(k, f"__once_{k}") for k in keys]), "left_semi")
 
 
 def assert_many_to_one(right: DataFrame, keys: str | Sequence[str]) -> DataFrame:

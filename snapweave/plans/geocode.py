@@ -4,18 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapweave import schemas
 from snapweave.functions.text import area_label, default_settlement, join_name_type, text_key
-from snapweave.operators.fuzzy import fuzzy_match
+from snapweave.operators.fuzzy import Candidates, fuzzy_match, prepare_candidates
 from snapweave.operators.intervals import recollapse
 from snapweave.operators.lookups import abbreviation_dictionary, attach, expand_abbr
-from snapweave.operators.skew import HOT_ROWS, SMALL_KEYS, SMALL_ROWS
-from snapweave.operators.waterfall import Rung, waterfall_match
-from snapweave.session import materialize, store
+from snapweave.operators.skew import HOT_ROWS, SMALL_ROWS
+from snapweave.operators.waterfall import Entries, Rung, prepare, waterfall_match
+from snapweave.session import store, store_counted
 from snapweave.sources.tables import read_lookup
 
 # ---- fixed values: recipes in order of priority ------------------------------------------------
@@ -106,23 +107,35 @@ def fix_structure(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.lit(None).cast("string") for c in missing}) if missing else df
 
 
-def canonical_regions(names: DataFrame, column: str, regions: DataFrame) -> DataFrame:
-    """Each distinct region name with the region it means: name, canonical name and codes.
+class Regions(NamedTuple):
+    """The list of regions as names are compared with it, stored: by spelling and by number."""
 
-    A name made of digits is a region code.
-    """
+    spelled: Candidates
+    by_code: DataFrame
+
+
+def prepare_regions(regions: DataFrame) -> Regions:
     listed = regions.select("code", "name", "short_name", "iso_code")
-    spelled = fuzzy_match(names, column, listed, words=schemas.REGION_TYPE_WORDS)
-    numeric = F.col("name").rlike(r"^\d+$")
     by_code = listed.groupBy(F.col("code").try_cast("int").alias("__code")).agg(
         F.max(F.struct(*listed.columns)).alias("__coded")
     )
+    return Regions(prepare_candidates(listed), store(by_code.dropna(subset="__code"), "regions_by_code"))
+
+
+def canonical_regions(names: DataFrame, column: str, regions: DataFrame | Regions) -> DataFrame:
+    """Each distinct region name with the region it means: name, canonical name and codes.
+
+    A name made of digits is a region code.
+    """
+    made = regions if isinstance(regions, Regions) else prepare_regions(regions)
+    spelled = fuzzy_match(names, column, made.spelled, words=schemas.REGION_TYPE_WORDS)
+    numeric = F.col("name").rlike(r"^\d+$")
     found = attach(
         spelled.withColumn("__code", F.when(numeric, F.col("name").try_cast("int"))),
-        by_code.dropna(subset="__code"),
+        made.by_code,
         "__code",
         checked=False,
-        small=regions.count() <= SMALL_ROWS,
+        small=made.spelled.total <= SMALL_ROWS,
     ).withColumn("region", F.when(numeric, F.col("__coded")).otherwise(F.col("candidate")))
     return found.select(
         F.col("name").alias("raw_region"),
@@ -199,45 +212,59 @@ def _as_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: text_key(c) for c in columns})
 
 
-def geocode_addresses(df: DataFrame, lookups: GeoLookups, rungs: Sequence[Rung] = RUNGS) -> DataFrame:
-    """Every distinct raw address (``raw_*``) of ``df`` with its place, written once.
+@dataclass(frozen=True)
+class PreparedLookups:
+    """Lookup tables shaped, keyed and stored, to be used by any number of ``geocode`` calls."""
 
-    All dictionary, name and lookup work is done on distinct addresses, for which ``df`` is read
-    once.
-    """
-    distinct = store(fix_structure(df).select(*schemas.ADDRESS_COLUMNS).distinct(), "addresses")
-    dictionary = materialize(abbreviation_dictionary(lookups.abbreviations))
-    small = dictionary.count() <= SMALL_ROWS
-    addresses = _typed_addresses(distinct, dictionary, small)
+    dictionary: DataFrame
+    few_types: bool
+    regions: Regions
+    entries: Entries
+    rungs: tuple[Rung, ...]
 
-    cities = cities_lookup(lookups.cities)
-    settlements = settlements_lookup(lookups.settlements, dictionary, small)
 
-    names = addresses.select("region").unionByName(cities.select("region")).unionByName(
-        settlements.select("region")
-    )
-    known = materialize(canonical_regions(names.distinct(), "region", lookups.regions))
-    few = known.count() <= SMALL_ROWS
+def prepare_lookups(lookups: GeoLookups, rungs: Sequence[Rung] = RUNGS) -> PreparedLookups:
+    """Do all the work on lookup tables that does not depend on the addresses."""
+    dictionary, types = store_counted(abbreviation_dictionary(lookups.abbreviations), "dictionary")
+    few_types = types <= SMALL_ROWS
+    cities = cities_lookup(lookups.cities)
+    settlements = settlements_lookup(lookups.settlements, dictionary, few_types)
+    regions = prepare_regions(lookups.regions)
+    names = cities.select("region").unionByName(settlements.select("region"))
+    known, spellings = store_counted(canonical_regions(names, "region", regions), "lookup_regions")
+    few = spellings <= SMALL_ROWS
 
     def keyed(table: DataFrame, columns: Sequence[str]) -> DataFrame:
         """The lookup with canonical names in its keys, and those of the place beside them."""
         named = _with_region(table, "region", known, few).withColumnsRenamed(
             {"region_code": "place_code", "region_iso_code": "place_iso"}
         )
-        return materialize(_as_keys(named.withColumn("place_region", F.col("region")), columns))
+        return _as_keys(named.withColumn("place_region", F.col("region")), columns)
 
     tables = {
         "s": keyed(settlements, ["region", "municipality", "settlement", "type"]),
         "c": keyed(cities, ["region", "area", "city", "settlement"]),
     }
+    return PreparedLookups(dictionary, few_types, regions, prepare(tables, rungs, payload=_PAYLOAD), tuple(rungs))
+
+
+def geocode_addresses(df: DataFrame, lookups: PreparedLookups) -> DataFrame:
+    """Every distinct raw address (``raw_*``) of ``df`` with its place, written once.
+
+    All dictionary, name and lookup work is done on distinct addresses, for which ``df`` is read
+    once.
+    """
+    distinct = store(fix_structure(df).select(*schemas.ADDRESS_COLUMNS).distinct(), "addresses")
+    addresses = _typed_addresses(distinct, lookups.dictionary, lookups.few_types)
+    known, spellings = store_counted(
+        canonical_regions(addresses.select("region"), "region", lookups.regions), "regions"
+    )
+    few = spellings <= SMALL_ROWS
+
     raw = [f"raw_{c}" for c in schemas.ADDRESS_COLUMNS]
     own = _with_region(addresses, "region", known, few).withColumn("own_region", F.col("region"))
     keys = [c for part in _PARTS for c in (part, f"{part}_name", f"{part}_type")]
-    counted = {source: table.count() for source, table in tables.items()}
-    entries = sum(counted[source] for source, _ in {(r.source, r.right) for r in rungs})
-    matched = waterfall_match(
-        _as_keys(own, keys), tables, rungs, payload=_PAYLOAD, small=entries <= SMALL_KEYS
-    )
+    matched = waterfall_match(_as_keys(own, keys), lookups.entries, lookups.rungs)
     from_place = F.col("geo_region").isNotNull()
     places = matched.select(
         *raw,
@@ -250,6 +277,7 @@ def geocode_addresses(df: DataFrame, lookups: GeoLookups, rungs: Sequence[Rung]
         "oktmo",
         "lat",
         "lon",
+        "rung",
     )
     return store(
         places.withColumn(
@@ -261,7 +289,7 @@ def geocode_addresses(df: DataFrame, lookups: GeoLookups, rungs: Sequence[Rung]
 
 def geocode(
     df: DataFrame,
-    lookups: GeoLookups,
+    lookups: GeoLookups | PreparedLookups,
     *,
     mode: str | None = None,
     rungs: Sequence[Rung] = RUNGS,
@@ -270,12 +298,15 @@ def geocode(
     """Replace raw address columns by place columns.
 
     Tables of the aggregate stage (``chain``) get the final columns, and intervals that no longer
-    differ are merged.  Any other table keeps its columns and rows (``standalone``).
+    differ are merged.  Any other table keeps its rows and columns (``standalone``), but for the
+    address columns and those that are named like a place column.  Lookups from
+    ``prepare_lookups`` bring their own ``rungs``.
     """
     check_structure(df.columns)
     mode = mode or detect_mode(df.columns)
     table = fix_structure(df)
-    places = geocode_addresses(df, lookups, rungs)
+    made = lookups if isinstance(lookups, PreparedLookups) else prepare_lookups(lookups, rungs)
+    places = geocode_addresses(df, made).drop("rung")
     raw = schemas.ADDRESS_COLUMNS
     kept = [c for c in df.columns if c not in raw and c not in schemas.GEO_COLUMNS]
     located = attach(

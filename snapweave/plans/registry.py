@@ -15,6 +15,7 @@ from snapweave.plans.extract import extract_new, read_extracted
 from snapweave.plans.geocode import GeoLookups, geocode
 from snapweave.session import store
 from snapweave.sources.links import dataset_links
+from snapweave.sources.sinks import write_parquet
 
 
 def new_links(pages: DataFrame, held: DataFrame, expected: Mapping[int, str] | None = None) -> DataFrame:
@@ -22,6 +23,15 @@ def new_links(pages: DataFrame, held: DataFrame, expected: Mapping[int, str] | N
     return new_files(dataset_links(pages, expected or schemas.DATASET_PAGE_ROWS), held)
 
 
+def _facts(aggregated: DataFrame, revexp: DataFrame | None, empl: DataFrame | None) -> dict[str, DataFrame]:
+    facts = {}
+    if revexp is not None:
+        facts["revexp"] = aggregate_revexp(revexp, aggregated)
+    if empl is not None:
+        facts["empl"] = aggregate_empl(empl, aggregated)
+    return facts
+
+
 def registry_panel(
     sme: DataFrame,
     lookups: GeoLookups,
@@ -35,12 +45,9 @@ def registry_panel(
     The aggregated registry is written once, because both the facts and the geocoder read it.
     """
     aggregated = store(aggregate_sme(sme, hot_rows=hot_rows), "aggregated")
-    facts = []
-    if revexp is not None:
-        facts.append(aggregate_revexp(revexp, aggregated))
-    if empl is not None:
-        facts.append(aggregate_empl(empl, aggregated))
-    return panelize(geocode(aggregated, lookups, hot_rows=hot_rows), facts)
+    facts = _facts(aggregated, revexp, empl)
+    geocoded = geocode(aggregated, lookups, hot_rows=hot_rows)
+    return panelize(geocoded, list(facts.values()), few_per_key=True)
 
 
 def process(
@@ -52,18 +59,34 @@ def process(
     codes: Sequence[str] | None = None,
     classifier: DataFrame | None = None,
     files_per_batch: int | None = None,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Archives to the panel; ``folders`` names the archive folder of each dataset at hand.
 
-    Extracted tables gather below ``work``, so a later call reads new archives only.
+    Extracted tables gather below ``work``, so a later call reads new archives only.  Every other
+    stage is replaced by its new result: ``aggregated/<dataset>``, ``geocoded``, and ``panel`` by
+    year; ``rejects/<dataset>`` lists what could not be read.
     """
+    root = work.rstrip("/")
     tables = {}
     for name, folder in folders.items():
-        target = f"{work.rstrip('/')}/extracted/{name}"
+        target = f"{root}/extracted/{name}"
         extract_new(
-            spark, folder, target, f"{work.rstrip('/')}/ledger/{name}", name,
+            spark, folder, target, f"{root}/ledger/{name}", name,
             codes=codes, classifier=classifier, files_per_batch=files_per_batch,
-            rejects=f"{work.rstrip('/')}/rejects/{name}",
+            rejects=f"{root}/rejects/{name}",
         )
         tables[name] = read_extracted(spark, target, name)
-    return registry_panel(tables["sme"], lookups, tables.get("revexp"), tables.get("empl"))
+
+    def staged(df: DataFrame, name: str) -> DataFrame:
+        write_parquet(df, f"{root}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{root}/{name}")
+
+    aggregated = staged(aggregate_sme(tables["sme"], hot_rows=hot_rows), "aggregated/sme")
+    facts = _facts(aggregated, tables.get("revexp"), tables.get("empl"))
+    facts = [staged(df, f"aggregated/{name}") for name, df in facts.items()]
+    geocoded = staged(geocode(aggregated, lookups, hot_rows=hot_rows), "geocoded")
+    panel = panelize(geocoded, facts, few_per_key=True)
+    write_parquet(panel, f"{root}/panel", partition_by=["year"])
+    # the partition column comes last from the folder
+    return spark.read.schema(panel.schema).parquet(f"{root}/panel").select(*panel.columns)

@@ -1,19 +1,22 @@
 """Where intermediate tables may live.
 
 Everything that has to outlive an executor goes to the folder the cluster names in
-``spark.checkpoint.dir``.  Only a local session without that setting gets a folder of its own.
+``spark.checkpoint.dir``.  Only a session whose executors are threads of the driver, and which
+names no folder, gets one of its own.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The session's shared folder; a local session without one gets a fresh temporary folder."""
+    """The session's shared folder; a session in one process gets a fresh one if it names none."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     current = sc.getCheckpointDir()
@@ -23,7 +26,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return named
     if current is not None:
         return current
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     own = tempfile.mkdtemp(prefix="snapweave-")
     sc.setCheckpointDir(own)
@@ -47,6 +50,13 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def store_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``store``, and the number of rows, counted while they are written."""
+    seen = Observation(name)
+    stored = store(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
+    return stored, seen.get["rows"]
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """The same for large tables, as Parquet, so that later reads take only the columns they use."""
     path = scratch_path(df.sparkSession, name)

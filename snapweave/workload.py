@@ -7,11 +7,12 @@ from __future__ import annotations
 
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from snapweave import schemas
@@ -939,10 +940,13 @@ _SME = {
     "region_code": "CAST(c_nationkey AS TINYINT)",
     "region_name": "CASE WHEN c_acctbal > -500 THEN CASE WHEN o_orderstatus = 'F' THEN n_name ELSE lower(n_name) END END",
     "region_type": "CASE WHEN c_mktsegment <> 'MACHINERY' THEN 'r' || CAST(n_regionkey AS STRING) || '.' END",
-    "district_name": "CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING') THEN 'd' || CAST(c_custkey % 4 AS STRING) END",
+    "district_name": """CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING') THEN 'd' || CAST(c_custkey % 4 AS STRING)
+                        WHEN c_mktsegment IN ('FURNITURE', 'HOUSEHOLD') AND c_custkey % 3 = 0
+                        THEN 'd' || CAST(c_nationkey % 4 AS STRING) END""",
     "district_type": "CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 'R1' WHEN c_mktsegment = 'BUILDING' THEN 'ZZ' END",
-    "city_name": "CASE WHEN c_mktsegment IN ('FURNITURE', 'HOUSEHOLD') THEN 'C' || CAST(c_nationkey AS STRING) END",
-    "city_type": "CAST(NULL AS STRING)",
+    "city_name": """CASE WHEN c_mktsegment = 'FURNITURE' AND c_custkey % 5 = 1 THEN 'D' || CAST(c_nationkey % 4 AS STRING)
+                    WHEN c_mktsegment IN ('FURNITURE', 'HOUSEHOLD') THEN 'C' || CAST(c_nationkey AS STRING) END""",
+    "city_type": "CASE WHEN c_mktsegment = 'HOUSEHOLD' AND c_custkey % 2 = 0 THEN 'R2' END",
     "settlement_name": "CASE WHEN c_mktsegment <> 'FURNITURE' THEN 'v' || CAST(c_custkey % 5 AS STRING) END",
     "settlement_type": "CASE WHEN o_orderpriority < '5' THEN 'R' || CAST(c_custkey % 3 AS STRING) END",
     "activity_code_main": "o_orderstatus",
@@ -1122,6 +1126,7 @@ def _geo_sql() -> str:
         for i, r in enumerate(rungs)
     )
     first = " ".join(f"WHEN u{i}.id IS NOT NULL THEN '{r.source}' || u{i}.id" for i, r in enumerate(rungs))
+    numbers = " ".join(f"WHEN u{i}.id IS NOT NULL THEN {i + 1}" for i in range(len(rungs)))
     types = ", ".join(f"{expand.format(f'a.{p}_type')} AS {p}_full" for p in parts)
     names = ", ".join(
         f"""CASE WHEN {p}_name IS NOT NULL THEN trim({p}_name || coalesce(' ' || {p}_full, '')) END AS {p}_joined"""
@@ -1158,7 +1163,7 @@ def _geo_sql() -> str:
     joined AS (SELECT *, {names} FROM expanded),
     keyed AS (SELECT n, {known.format('region_joined', 'k.name')} AS own_region,
                      upper({known.format('region_joined', 'k.name')}) AS region, {keyed} FROM joined j),
-    found AS (SELECT n, own_region, CASE {first} END AS place FROM keyed a {joins}),
+    found AS (SELECT n, own_region, CASE {first} END AS place, CASE {numbers} END AS rung FROM keyed a {joins}),
     located AS (
       SELECT r.* EXCLUDE (region_code, {', '.join(schemas.ADDRESS_COLUMNS)}), k.iso_code AS region_iso_code,
              k.code AS region_code, k.name AS region, p.area, p.settlement, p.settlement_type, p.oktmo, p.lat, p.lon
@@ -1198,7 +1203,20 @@ def geocode_chain(spark, folder):
     return geocode.geocode(_aggregated(spark, folder), _geo_lookups(spark, folder))
 
 
-_STANDALONE = ["c_custkey", "c_acctbal"]
+@query(
+    f"""
+    WITH {_BASE_SQL}, {_geo_sql()}
+    SELECT rung, count(*) AS addresses
+    FROM (SELECT DISTINCT {', '.join(schemas.ADDRESS_COLUMNS)}, rung FROM rows_ r JOIN found f ON f.n = r.n)
+    GROUP BY rung
+    """
+)
+def rung_counts(spark, folder):
+    """How many distinct addresses each recipe finds; null for those that none does."""
+    made = geocode.prepare_lookups(_geo_lookups(spark, folder))
+    places = geocode.geocode_addresses(_aggregated(spark, folder), made)
+    return places.groupBy("rung").agg(F.count(F.lit(1)).alias("addresses"))
+
 
 
 @query(
@@ -1238,8 +1256,7 @@ def _facts_sql(name: str, columns: dict[str, str], measures: list[str]) -> str:
     """
 
 
-@query(
-    f"""
+_PANEL_SQL = f"""
     WITH {_BASE_SQL.replace("WHERE NOT (region_name ILIKE '%nation_24%')", "WHERE region_name IS NOT NULL")},
     {_geo_sql()}, {_GEOCODED_SQL},
     {_facts_sql("revexp", _REVEXP, ["revenue", "expenditure"])},
@@ -1249,8 +1266,10 @@ def _facts_sql(name: str, columns: dict[str, str], measures: list[str]) -> str:
     FROM years y
     LEFT JOIN revexp r ON r.tin = y.tin AND r.year = y.year
     LEFT JOIN empl e ON e.tin = y.tin AND e.year = y.year
-    """
-)
+"""
+
+
+@query(_PANEL_SQL)
 def registry_panel(spark, folder):
     """Snapshots, facts and lookups to the geocoded panel."""
     orders = table(spark, folder, "orders")
@@ -1261,3 +1280,259 @@ def registry_panel(spark, folder):
         _shaped(orders, _EMPL),
     )
     return built.withColumns({c: F.col(c).cast("double") for c in ("revenue", "expenditure")})
+
+
+# ---- composites: archives in, stored tables out ------------------------------------------------------
+
+
+def _element(name: str, paths: dict[str, str], dates: set[str]) -> Column:
+    """An XML element from a map of paths below it to columns; nulls have no attribute."""
+    own = {p[1:]: c for p, c in paths.items() if p.startswith("@")}
+    below: dict[str, dict[str, str]] = {}
+    for path, column in paths.items():
+        if not path.startswith("@"):
+            step, _, rest = path.partition("/")
+            below.setdefault(step, {})[rest] = column
+
+    def attribute(key: str, column: str) -> Column:
+        value = F.date_format(column, "dd.MM.yyyy") if column in dates else F.col(column).cast("string")
+        return F.coalesce(F.concat(F.lit(f' {key}="'), value, F.lit('"')), F.lit(""))
+
+    parts = [attribute(k, c) for k, c in own.items()]
+    children = [_element(step, inner, dates) for step, inner in below.items()]
+    return F.concat(F.lit(f"<{name}"), *parts, F.lit(">"), *children, F.lit(f"</{name}>"))
+
+
+def _archived(rows: DataFrame, dataset: str, by: str, target: str, broken: Column | None = None) -> str:
+    """Write rows as archives of the dataset's XML, the rows of one ``by`` value as one member."""
+    dates = {f.name for f in schemas.EXTRACTED[dataset].fields if f.dataType.typeName() == "date"}
+    record = _element(schemas.RECORD_TAG, schemas.ELEMENTS[dataset], dates)
+    end = F.when(broken, "</Фай").otherwise("</Файл>") if broken is not None else F.lit("</Файл>")
+    texts = rows.groupBy(F.col(by).alias("source"), end.alias("end")).agg(
+        F.array_join(F.collect_list(record), "").alias("records")
+    )
+    uri = _uri(target)
+    _zip_rows(_spread(texts.select("source", F.concat(F.lit("<Файл>"), "records", "end").alias("xml"))), uri)
+    return uri
+
+
+def _fact_rows(spark, folder) -> DataFrame:
+    return table(spark, folder, "orders").selectExpr("*", *[f"{e} AS `{c}`" for c, e in _REVEXP.items()])
+
+
+_FACT_ROWS = f"""
+    SELECT org_tin, CAST(revenue AS DOUBLE) AS revenue, CAST(expenditure AS DOUBLE) AS expenditure,
+           data_date, doc_date FROM ({_select({**_REVEXP, 'o_custkey': 'o_custkey'}, 'orders')})
+"""
+
+
+def _plain_money(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("double") for c in ("revenue", "expenditure")})
+
+
+@query(_FACT_ROWS)
+def extract_incremental(spark, folder):
+    """Archives arrive in two rounds, the second with older files; a run takes only what is new."""
+    facts = _fact_rows(spark, folder)
+    inbox, target, ledger = (scratch_path(spark, n) for n in ("inbox", "extracted", "ledger"))
+    early = F.col("o_custkey") % 3 == 0
+    for number, part in enumerate((facts.filter(early), facts.filter(~early))):
+        fresh = _archived(part, "revexp", "o_custkey", scratch_path(spark, "round"))
+        system, source = fs.FileSystem.from_uri(fresh)
+        _, there = fs.FileSystem.from_uri(_uri(inbox))
+        system.create_dir(there, recursive=True)
+        for found in system.get_file_info(fs.FileSelector(source)):
+            place = f"{there}/round{number}-{found.base_name}"
+            system.copy_file(found.path, place)
+            if number:
+                _make_older(spark, place)
+        extract.extract_new(spark, inbox, target, ledger, "revexp")
+    if extract.extract_new(spark, inbox, target, ledger, "revexp") != 0:
+        raise AssertionError("an archive was taken twice")
+    return _plain_money(extract.read_extracted(spark, target, "revexp"))
+
+
+def _make_older(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).setTimes(where, 1_000_000_000_000, -1)
+
+
+@query("SELECT DISTINCT 'part-' || o_custkey || '.xml' AS member FROM orders WHERE o_custkey % 7 = 2")
+def extract_rejects(spark, folder):
+    """Members that are cut off are kept as rejects, and give no rows."""
+    facts = _fact_rows(spark, folder)
+    inbox, target, ledger = (scratch_path(spark, n) for n in ("inbox", "extracted", "ledger"))
+    _archived(facts, "revexp", "o_custkey", inbox, F.col("o_custkey") % 7 == 2)
+    extract.extract_new(spark, inbox, target, ledger, "revexp")
+    return extract.read_rejects(spark, target).select("member")
+
+
+_TAKEN = {"[-2:]": slice(-2, None), "[:-1]": slice(None, -1), "[::3]": slice(None, None, 3), "[-1]": -1}
+
+
+@query(
+    """
+    WITH m AS (SELECT o_custkey, row_number() OVER (ORDER BY 'part-' || o_custkey || '.xml') - 1 AS spot, count(*) OVER () AS n
+               FROM (SELECT DISTINCT o_custkey FROM orders))
+    SELECT '[-2:]' AS taken, o_custkey FROM m WHERE spot >= n - 2
+    UNION ALL SELECT '[:-1]', o_custkey FROM m WHERE spot < n - 1
+    UNION ALL SELECT '[::3]', o_custkey FROM m WHERE spot % 3 = 0
+    UNION ALL SELECT '[-1]', o_custkey FROM m WHERE spot = n - 1
+    """
+)
+def member_slices(spark, folder):
+    """Members of one archive by Python's slices."""
+    facts = _fact_rows(spark, folder)
+    uri = _uri(scratch_path(spark, "sliced"))
+    record = _element(schemas.RECORD_TAG, schemas.ELEMENTS["revexp"], {"data_date", "doc_date"})
+    texts = facts.groupBy(F.col("o_custkey").alias("source")).agg(F.max(record).alias("record"))
+    texts = texts.select("source", F.concat(F.lit("<Файл>"), "record", F.lit("</Файл>")).alias("xml"))
+    named = F.concat(F.lit("part-"), F.col("source"), F.lit(".xml"))
+    # an archive is one file, written by one task: a record of each customer
+    _zip_rows(texts.repartitionByRange(1, named).sortWithinPartitions(named), uri)
+    paths = archives.list_archives(spark, uri)
+    got = None
+    for name, members in _TAKEN.items():
+        rows, _ = extract.extract_archives(paths, "revexp", members=members)
+        part = rows.select(F.lit(name).alias("taken"), F.col("org_tin").cast("long").alias("o_custkey"))
+        got = part if got is None else got.unionAll(part)
+    return got
+
+
+@query(_PANEL_SQL)
+def process_registry(spark, folder):
+    """Archives of all three datasets to the panel, with every stage written."""
+    facts = table(spark, folder, "orders")
+    keyed = _snapshots(spark, folder).withColumn("__by", F.coalesce("ind_tin", "org_tin"))
+    parts = {
+        "sme": (keyed, "__by"),
+        "revexp": (_shaped(facts, _REVEXP), "org_tin"),
+        "empl": (_shaped(facts, _EMPL), "org_tin"),
+    }
+    folders = {
+        name: _archived(rows, name, by, scratch_path(spark, name)) for name, (rows, by) in parts.items()
+    }
+    work = scratch_path(spark, "work")
+    registry.process(spark, folders, _geo_lookups(spark, folder), work)
+    built = spark.read.parquet(f"{work}/panel")
+    return built.withColumns({c: F.col(c).cast("double") for c in ("revenue", "expenditure")})
+
+
+@query(
+    """
+    SELECT page_id, url || '.old' AS link FROM pages
+    UNION ALL SELECT page_id, url || '.zip' FROM pages WHERE NOT contains(url, '/en/')
+    """
+)
+def new_links(spark, folder):
+    """Links of description tables whose files are not held yet; names are made unique by page."""
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    expected = schemas.DATASET_PAGE_ROWS
+    unique = F.concat(F.col("url"), F.lit("/f"), F.col("page_id").cast("string"))
+    escaped = F.replace(unique, F.lit("&"), F.lit("&amp;"))
+    page = F.concat(
+        F.lit(f"<table class='x border_table'><tr><td>8<td>{expected[8]}<td><a href='"), escaped,
+        F.lit(f".zip'>a</a><tr><td>16<td>{expected[16]}<td><a data-href='no' href='"), escaped,
+        F.lit(".old'>b</a><!-- <a href='no'> --></table>"),
+    )
+    shown = pages.select("page_id", page.alias("html"))
+    name = F.concat(F.lit("/held/f"), F.col("page_id").cast("string"), F.lit(".zip"))
+    held = pages.filter(F.contains("url", F.lit("/en/"))).select(name.alias("path"))
+    found = registry.new_links(shown, held)
+    plain = F.regexp_replace("link", r"/f\d+\.", ".")
+    return found.select("page_id", plain.alias("link"))
+
+
+@query(
+    """
+    SELECT 'parts' AS source, c_custkey, c_name FROM customer
+    UNION ALL SELECT 'folder', c_custkey, c_name FROM customer WHERE c_custkey % 2 = 0
+    """
+)
+def csv_paths(spark, folder):
+    """A path ending in .csv is read whole, of a folder the data-*.csv files, a missing path is empty."""
+    customers = table(spark, folder, "customer").select("c_custkey", "c_name")
+    whole, held = scratch_path(spark, "whole") + ".csv", scratch_path(spark, "held")
+    sinks.write_csv(customers, whole)
+    for name, part in (("data-1.csv", "c_custkey % 4 = 0"), ("data-2.csv", "c_custkey % 4 = 2"), ("other.csv", "c_custkey % 2 = 1")):
+        sinks.write_csv(customers.filter(part), f"{held}/{name}")
+    schema = customers.schema
+    # a folder of files: the parts of each export under the names that the reader looks for
+    system, root = fs.FileSystem.from_uri(_uri(held))
+    for name in ("data-1.csv", "data-2.csv", "other.csv"):
+        for n, part in enumerate(system.get_file_info(fs.FileSelector(f"{root}/{name}"))):
+            if part.extension == "csv":
+                system.move(part.path, f"{root}/{name.removesuffix('.csv')}-{n}.csv")
+        system.delete_dir(f"{root}/{name}")
+    read = {"parts": whole, "folder": held, "missing": scratch_path(spark, "missing")}
+    tagged = [
+        tables.read_csv(spark, path, schema).select(F.lit(name).alias("source"), "*") for name, path in read.items()
+    ]
+    return reduce(DataFrame.unionAll, tagged)
+
+
+@query(
+    """
+    SELECT s_suppkey::VARCHAR AS id, s_name AS name, NULL::VARCHAR AS extra FROM supplier WHERE s_suppkey % 2 = 0
+    UNION ALL SELECT s_suppkey::VARCHAR, s_name, 'x' || s_nationkey FROM supplier WHERE s_suppkey % 2 = 1
+    """
+)
+def lookup_files(spark, folder):
+    """A base and an additional lookup file below each other, by column name, as text."""
+    suppliers = table(spark, folder, "supplier")
+    base, more = scratch_path(spark, "base") + ".csv", scratch_path(spark, "more") + ".csv"
+    named = suppliers.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.concat(F.lit("x"), F.col("s_nationkey").cast("string")).alias("extra"))
+    sinks.write_csv(named.filter("id % 2 = 0").drop("extra"), base)
+    sinks.write_csv(named.filter("id % 2 = 1").select("extra", "name", "id"), more)
+    return tables.read_lookup(spark, [base, more]).select("id", "name", "extra")
+
+
+@query(
+    """
+    SELECT 'unique key' AS check_, count(*) = count(DISTINCT c_custkey) AS holds FROM customer
+    UNION ALL SELECT 'unique segment', count(*) = count(DISTINCT c_mktsegment) FROM customer
+    UNION ALL SELECT 'one nation a key', count(*) = count(DISTINCT n_nationkey) FROM nation
+    UNION ALL SELECT 'one nation a region', count(*) = count(DISTINCT n_regionkey) FROM nation
+    UNION ALL SELECT 'address table', true UNION ALL SELECT 'no address table', false
+    """
+)
+def key_checks(spark, folder):
+    """The guards, as rows: unique ids, lookups with one row a key, tables with address columns."""
+    customers, nations = table(spark, folder, "customer"), table(spark, folder, "nation")
+
+    def passes(guard: Callable[[], object]) -> bool:
+        try:
+            guard()
+        except ValueError:
+            return False
+        return True
+
+    found = [
+        ("unique key", lookups.is_unique(customers, "c_custkey")),
+        ("unique segment", lookups.is_unique(customers, "c_mktsegment")),
+        ("one nation a key", passes(lambda: lookups.assert_many_to_one(nations, "n_nationkey"))),
+        ("one nation a region", passes(lambda: lookups.assert_many_to_one(nations, "n_regionkey"))),
+        ("address table", passes(lambda: geocode.check_structure(_snapshots(spark, folder).columns))),
+        ("no address table", passes(lambda: geocode.check_structure(customers.columns))),
+    ]
+    return spark.createDataFrame(found, "check_ string, holds boolean")
+
+
+@query(
+    """
+    SELECT o_orderkey, row_number() OVER (ORDER BY o_custkey, o_orderdate, o_orderkey) - 1 AS place FROM orders
+    """
+)
+def sorted_places(spark, folder):
+    """Rows in order: the place of each row in the files of a sorted export, file after file."""
+    orders = table(spark, folder, "orders").select("o_custkey", "o_orderdate", "o_orderkey")
+    target = scratch_path(spark, "sorted")
+    sinks.write_parquet(orders, target, sort_by=["o_custkey", "o_orderdate", "o_orderkey"])
+    written = spark.read.parquet(target).withColumns(
+        {"file": F.col("_metadata.file_name"), "at": F.col("_metadata.row_index")}
+    )
+    # part files are numbered in the order of their rows
+    sizes = written.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    return written.join(F.broadcast(starts), "file").select("o_orderkey", (F.col("start") + F.col("at")).alias("place"))

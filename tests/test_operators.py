@@ -8,7 +8,7 @@ from snapweave.functions import similarity, text
 from snapweave.operators import filters, fuzzy, lookups, panel
 from snapweave.operators.corrections import latest_per
 from snapweave.operators.metrics import observe, order
-from snapweave.operators.waterfall import Rung, waterfall_match
+from snapweave.operators.waterfall import Rung, prepare, waterfall_match
 
 
 # ---- text ------------------------------------------------------------------------------------
@@ -307,6 +307,30 @@ def test_waterfall_equals_one_after_another(spark, seed, small):
     assert all(r.geo_id is None or r.z == lookup[r.geo_id] for r in got)
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_waterfall_keys_of_other_types(spark, small):
+    from decimal import Decimal
+
+    kinds = {"int": 10, "long": 10, "double": 10.0, "decimal(9,2)": Decimal("10.00"), "string": "10"}
+    for left, value in kinds.items():
+        for right, other in kinds.items():
+            got = waterfall_match(
+                spark.createDataFrame([(value,), (None,)], f"a {left}"),
+                {"s": spark.createDataFrame([("hit", other)], f"id string, x {right}")},
+                [Rung("s", ("a",), ("x",))],
+                small=small,
+            )
+            assert sorted(r.geo_id or "" for r in got.collect()) == ["", "hit"]
+
+
+def test_small_waterfall_neither_sorts_nor_moves_addresses(spark):
+    entries = prepare({"s": spark.createDataFrame([("i", "x")], "id string, x string")}, [Rung("s", ("a",), ("x",))], small=True)
+    got = waterfall_match(spark.createDataFrame([("x",)], "a string"), entries, [Rung("s", ("a",), ("x",))])
+    assert [(r.a, r.geo_id, r.rung) for r in got.collect()] == [("x", "i", 1)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "Exchange hash" not in plan
+
+
 def test_waterfall_without_any_match(spark):
     got = waterfall_match(
         spark.createDataFrame([("q", "q", "q")], "a string, b string, c string"),
@@ -340,6 +364,8 @@ def test_panel_with_facts(spark, rows):
         ("a", 2018, None, None), ("a", 2019, 5, 3), ("a", 2019, 6, 3), ("b", 2019, None, 4),
         ("d", 2019, None, None), ("d", 2020, None, None),
     ]
+    gathered = panel.panelize(spans(spark), [revenue, staff], few_per_key=True)
+    assert gathered.columns == got.columns and rows(gathered) == rows(got)
     single = panel.panelize(spans(spark), [revenue, staff], one_per_year=True)
     assert ("a", 2019, 6, 3) in rows(single, "tin", "year", "revenue", "staff") and single.count() == 5
     assert panel.panelize(spans(spark)).columns == ["tin", "start_date", "end_date", "year"]

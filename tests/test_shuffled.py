@@ -16,8 +16,7 @@ pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test table
 def nothing_is_small(spark, monkeypatch):
     for module in (fuzzy, geocode):
         monkeypatch.setattr(module, "SMALL_ROWS", -1)
-    for module in (waterfall, geocode):
-        monkeypatch.setattr(module, "SMALL_KEYS", -1)
+    monkeypatch.setattr(waterfall, "SMALL_KEYS", -1)
     monkeypatch.setattr(skew.broadcast_if_small, "__defaults__", (-1,))
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

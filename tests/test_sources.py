@@ -379,6 +379,31 @@ def test_dataset_links(spark):
     ]
 
 
+@pytest.mark.parametrize(
+    "change",
+    [
+        lambda p: '<table class="border_table-nav"><tr><td>8</td><td>x</td><td></td></tr></table>' + p,
+        lambda p: p.replace("<td>t</td>", "<td><table><tr><td>8</td><td>z</td><td></td></tr></table></td>"),
+        lambda p: p.replace("(URL) на предыдущие", "&#40;URL&#41; на предыдущие"),
+        lambda p: "<!-- <table class=border_table><tr><td>1</td></tr></table> -->" + p,
+        lambda p: p.replace("<a target=_blank href=", '<!-- <a href="http://h/old.zip"> --><a data-href="no" href='),
+        lambda p: p.replace("</td>", "").replace("</tr>", ""),
+    ],
+)
+def test_dataset_links_on_ordinary_html(spark, change):
+    df = spark.createDataFrame([(change(dataset_page()),)], "html string")
+    got = [r.link for r in links.dataset_links(df, schemas.DATASET_PAGE_ROWS).collect()]
+    assert got == ["http://h/one.zip?a=1&b=2", "http://h/two.zip", "http://h/three.zip"]
+
+
+def test_links_are_those_of_anchors(spark):
+    html = """<a data-href="no" title='href="no"' HREF = one>1</a><!-- <a href="no"> --><area href="no">
+    <a
+    href='two'>2</a><abbr href="no"><a href="x&amp;y">3</a>"""
+    df = spark.createDataFrame([(html,)], "html string")
+    assert [r.link for r in links.extract_links(df).collect()] == ["one", "two", "x&y"]
+
+
 def test_new_links(spark):
     df = spark.createDataFrame([("good", dataset_page())], "page string, html string")
     held = spark.createDataFrame([("/d/two.zip",), ("/d/x.zip",)], "path string")
