@@ -28,10 +28,10 @@ REACH = 3
 WINDOW = 16
 """Bytes the rolling hash looks back, a power of two."""
 
-MAX_WORDS = 64
+MAX_WORDS = 16
 """Words after which a chunk ends anyway, where hashes tie (the same word over and over)."""
 
-MIN_WORDS = 16
+MIN_WORDS = 24
 """Words of the shortest span that is reported."""
 
 #: One random number for each byte, by rule.
