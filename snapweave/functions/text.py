@@ -23,23 +23,30 @@ def join_name_type(name: str, kind: str, prepend_types: Sequence[str] = ()) -> C
 
     ``prepend_types`` lists types that go before the name.
     """
-    n, t = F.col(name), F.col(kind)
-    joined = F.concat_ws(" ", n, t)
-    if prepend_types:
-        joined = F.when(t.isin(*prepend_types), F.concat_ws(" ", t, n)).otherwise(joined)
-    return F.when(n.isNull(), None).when(t.isNull(), n).otherwise(F.trim(joined))
+    before = F.when(F.col(kind).isin(*prepend_types), F.col(kind)) if prepend_types else F.lit(None)
+    after = F.when(before.isNull(), F.col(kind))
+    parts = F.concat_ws(" ", before, F.col(name), after)
+    return F.when(F.col(name).isNotNull(), F.when(F.col(kind).isNull(), F.col(name)).otherwise(F.trim(parts)))
+
+
+# ---- fixed values: what is set before and after an area's name, by its abbreviated type ----------
+
+AREA_LABELS = {
+    "г": ("Город ", ""),
+    "р-н": ("", " район"),
+    "у": ("", " улус"),
+}
+
+# ---- end of fixed values -------------------------------------------------------------------------
 
 
 def area_label(area: Column, kind: Column) -> Column:
     """Readable name of an area from its name and abbreviated type; null if either is missing."""
-    a, t = area, kind
-    return (
-        F.when(a.isNull() | t.isNull(), None)
-        .when(t == "г", F.concat(F.lit("Город "), a))
-        .when(t == "р-н", F.concat(a, F.lit(" район")))
-        .when(t == "у", F.concat(a, F.lit(" улус")))
-        .otherwise(a)
-    )
+    def around(side: int) -> Column:
+        pairs = [F.lit(cell) for key, label in AREA_LABELS.items() for cell in (key, label[side])]
+        return F.coalesce(F.try_element_at(F.create_map(*pairs), kind), F.lit(""))
+
+    return F.when(kind.isNotNull(), F.concat(around(0), area, around(1)))
 
 
 def text_key(column: str | Column) -> Column:

@@ -93,8 +93,6 @@ DATASET_PAGE_ROWS = {
     16: "Гиперссылки (URL) на предыдущие релизы набора данных",
 }
 
-# ---- schemas ---------------------------------------------------------------------------------
-
 SME = _struct(
     ("kind", _B), ("category", _B), ("reestr_date", _D), ("data_date", _D),
     ("ind_tin", _S), ("ind_number", _S),
@@ -128,6 +126,8 @@ SME_GEOCODED = _struct(
     ("start_date", _D), ("end_date", _D),
 )
 
+# ---- end of fixed values ---------------------------------------------------------------------
+
 
 def check_dataset(dataset: str) -> str:
     """Fail early on a table family that does not exist."""
