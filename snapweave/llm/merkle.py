@@ -4,7 +4,8 @@ Every record is hashed.  Records whose offsets lie in the same range of a file m
 file's tree, over (offset, length, hash) in their order; each level above hashes a fixed number of
 consecutive ranges.  An audit compares the files' roots, then only the children of nodes that
 differ, level by level, and only records of differing leaves: for replicas that agree, nothing but
-their roots is read.  Nodes are rows, so a level is one shuffle whatever the size of a file.
+their roots is read.  Nodes are rows, so a level is one shuffle whatever the size of a file; what differs
+on a level is stored before its children are looked up.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from snapweave.session import scratch_path
+from snapweave.session import scratch_path, store
 
 RANGE = 1 << 16
 """Bytes of a file that make a leaf."""
@@ -160,8 +161,8 @@ def audit(ours: Tree, theirs: Tree, span: int = RANGE, fan_out: int = FAN_OUT) -
     rows.  Rows of one side that repeat file and offset are compared together.
     """
     number = min(ours.levels, theirs.levels) - 1
-    differing = _differing(ours.level(number), theirs.level(number), ["file", "node"], "digest")
-    while number > 0:
+    differing = store(_differing(ours.level(number), theirs.level(number), ["file", "node"], "digest"), "differing")
+    while number > 0 and not differing.isEmpty():
         number -= 1
         parent = differing.select("file", F.col("node").alias("parent"))
 
@@ -169,7 +170,7 @@ def audit(ours: Tree, theirs: Tree, span: int = RANGE, fan_out: int = FAN_OUT) -
             nodes = tree.level(number).withColumn("parent", F.floor(F.col("node") / fan_out))
             return nodes.join(parent, ["file", "parent"], "left_semi").drop("parent")
 
-        differing = _differing(below(ours), below(theirs), ["file", "node"], "digest")
+        differing = store(_differing(below(ours), below(theirs), ["file", "node"], "digest"), "differing")
 
     def among(tree: Tree) -> DataFrame:
         rows = tree.records.withColumn("node", F.floor(F.col("offset") / span))
