@@ -20,6 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from snapweave.llm.common import ship
 from snapweave.session import store
 
 REACH = 3
@@ -112,6 +113,7 @@ def repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_wor
     rows of the same id, are not reported.  Null and empty texts have none.  Other columns are not
     read.  Whole texts are chunked, once; an empty table gives no rows.
     """
+    ship(docs.sparkSession)
     row = F.monotonically_increasing_id()
     rows = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text"), row.alias("row"))
     rows = rows.withColumn("id", F.coalesce("id", F.lit(_NO_ID) + F.col("row")))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +14,26 @@ WORD = r"[^\x20\x09-\x0D]+"
 """A word: a run of anything but the six ASCII white-space characters."""
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once a session, so that their Python can import it.
+
+    Imported modules stay with a worker from task to task, and with them what they remember.
+    """
+    context = spark.sparkContext
+    package = Path(__file__).resolve().parents[1]
+    if context.applicationId in _shipped or not package.is_dir():
+        return
+    _shipped.add(context.applicationId)
+    packed = Path(tempfile.mkdtemp(prefix="code-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(packed, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(packed))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once, also where ``body`` uses it inside a lambda.
 

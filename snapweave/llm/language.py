@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapweave.llm.common import in_share, share_kept
+from snapweave.llm.common import in_share, share_kept, ship
 
 ORDER = 4
 TRAINED_DOCS = 1500
@@ -128,6 +128,7 @@ def train(
     languages = sorted(row["lang"] for row in counts)
     if not languages:
         return Model([], np.zeros(256, np.uint8), [], np.zeros((1, 0), np.int32))
+    ship(docs.sparkSession)
     chosen = F.lit(False)
     for row in counts:
         chosen = chosen | ((F.col("lang") == row["lang"]) & in_share(F.col("id"), share_kept(row["count"], trained)))
@@ -216,6 +217,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", name: str = "pre
     Ties go to the first language by name.  All columns are kept, one called ``name`` is
     replaced.  An empty table gives no rows.
     """
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double, bits double")

@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from snapweave.llm.common import ship
 from snapweave.session import scratch_path, store
 
 RANGE = 1 << 16
@@ -56,6 +57,7 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
                     {"file": file, "offset": [o for o, _ in found], "record": [r for _, r in found]}
                 )
 
+    ship(spark)
     files = spark.read.format("binaryFile").load(path)
     named = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
     return named.mapInPandas(records, "file string, offset long, record binary")

@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from snapweave.llm.common import ship
 from snapweave.llm.tokens import ID_BYTES, WORD_BPE, encoder
 from snapweave.session import store
 
@@ -53,6 +54,7 @@ def pieces(docs: DataFrame, vocabulary: str = WORD_BPE, text: str = "text", doc_
             frame = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
             yield frame.astype({"doc_id": "Int64"})
 
+    ship(docs.sparkSession)
     narrow = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     # ids beyond 2^53 would not survive the doubles that pandas makes of a column with nulls
     narrow = narrow.select(F.col("doc_id").cast("string").alias("doc_id"), "text")

@@ -17,6 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from snapweave.llm.common import ship
 from snapweave.llm.tokens import WORD_BPE, encoder
 from snapweave.session import scratch_path, store
 
@@ -63,6 +64,7 @@ def write_flat(docs: DataFrame, vocabulary: str = WORD_BPE, text: str = "text",
             yield blocks(np.concatenate(held), number)
 
     spark = docs.sparkSession
+    ship(spark)
     path = scratch_path(spark, "tokens")
     written = docs.select(F.col(text).alias("text")).mapInPandas(flat, "file long, block long, tokens binary")
     written.write.option("compression", "zstd").parquet(path)
@@ -86,6 +88,7 @@ def count_tokens(blocks: DataFrame, end: int = END, run: int = RUN) -> DataFrame
                 {"file": batch["file"], "block": batch["block"], "n": [len(i) for i in ids], "ends": ends}
             )
 
+    ship(blocks.sparkSession)
     found = blocks.select("file", "block", "tokens").mapInPandas(
         searched, "file long, block long, n long, ends array<long>"
     )

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from snapweave.llm.common import ship
 from snapweave.llm.components import components
 from snapweave.session import store
 
@@ -127,6 +128,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", bi
     none.  Other columns are not read.  An empty table gives no rows.  Fingerprints are stored
     (two numbers a row), so texts are read once and never shuffled.
     """
+    ship(docs.sparkSession)
     rows = store(docs.select(F.col(key).alias("key"), _fingerprints(F.col(text)).alias("value")), "fingerprints")
     firsts = store(rows.groupBy("value").agg(F.min("key").alias("first")), "distinct_fingerprints")
     linked = components(links(firsts.select("value"), bits))

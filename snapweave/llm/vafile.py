@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapweave.llm.common import let
+from snapweave.llm.common import let, ship
 from snapweave.session import store
 
 SCALE = 256
@@ -165,6 +165,7 @@ def search(
     Scores are exact 64-bit sums; a pair whose sum does not fit is left out.  An empty table gives
     no rows.  Other columns are not read.
     """
+    ship(vectors.sparkSession)
     rows = store(whole_vectors(vectors, key, vector, scale), "vectors")
     entries = store(distinct_vectors(rows, k + 1).withColumn("dim", F.size("v")), "entries")
     asking = store(rows.select("id", *_KEY).withColumn(key, F.col("id")).filter(queries).select("id", *_KEY), "asking")
