@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 ID_BYTES = 4
-CACHED_WORDS = 1_200_000
+CACHED_WORDS = 400_000
 """Words whose ids a worker remembers, about 200 bytes each."""
 
 _MARKS = ".,;:!?"
