@@ -185,8 +185,7 @@ def mix(
     rounded = pivotal_rounding(store(units.select("source", "id", "size", "mass"), "units"))
 
     extra = F.coalesce("__up", F.when(weight == 0, (_uniform(F.col("__row"), F.lit(-2)) < share - whole).cast("int")))
-    # ids compress to almost nothing on disk, by which Spark would take this table for small
-    decided = rounded.select(F.col("id").alias("__row"), F.col("up").alias("__up")).hint("merge")
+    decided = rounded.select(F.col("id").alias("__row"), F.col("up").alias("__up"))
     return (
         rows.join(decided, "__row", "left")
         .join(wanted, F.col(source).eqNullSafe(F.col("__source")))
