@@ -18,12 +18,11 @@ def latest_per(
 ) -> DataFrame:
     """One row per key: the one with the greatest ``order_desc`` (nulls come last).
 
-    Equal ones are told apart by ``tie``, greatest first; by default by every other column.
+    Equal ones are told apart by ``tie``, greatest first, then by every other column.
     Spark keeps one row per key on the map side already, so a hot key shuffles little.
     """
     keys = as_list(keys)
-    rest = [c for c in df.columns if c not in (*keys, order_desc)] if tie is None else as_list(tie)
-    newest = Window.partitionBy(*keys).orderBy(
-        *[F.col(c).desc_nulls_last() for c in (order_desc, *rest)]
-    )
+    first = [order_desc, *(as_list(tie) if tie is not None else [])]
+    rest = [c for c in df.columns if c not in (*keys, *first)]
+    newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in (*first, *rest)])
     return df.withColumn("__rank", F.row_number().over(newest)).filter("__rank = 1").drop("__rank")

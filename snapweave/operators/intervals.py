@@ -12,10 +12,10 @@ from snapweave.operators.skew import HOT_ROWS, as_list, same, segment, split_hot
 
 
 def _order_by(df: DataFrame, key: list[str], order: str, tie: Sequence[str] | None) -> list[str]:
-    """The order column and its tie-breakers: by default every other column, so that rows of
-    one moment always come in the same order."""
-    rest = [c for c in df.columns if c not in (*key, order)] if tie is None else as_list(tie)
-    return [order, *rest]
+    """The order column and its tie-breakers: those given, then every other column, so that rows
+    of one moment always come in the same order, however they are split."""
+    first = [order, *(as_list(tie) if tie is not None else [])]
+    return first + [c for c in df.columns if c not in (*key, *first)]
 
 
 def _next_filled(column: str, window_parts: Sequence[str], order: Sequence[str]) -> Column:
