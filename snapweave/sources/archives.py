@@ -35,6 +35,7 @@ _TEXTS = "path string, member string, part int, xml string"
 _TEXT_COLUMNS = ["path", "member", "part", "xml"]
 _BATCH_CHARACTERS = 8 << 20
 _BATCH_ROWS = 2_000
+_HELD_BYTES = 16 << 20
 
 
 def list_archives(spark: SparkSession, folder: str) -> DataFrame:
@@ -125,9 +126,10 @@ def member_texts(
                 yield path, None, 0, None
                 continue
             with _open(path) as archive:
-                for member in rows["member"].dropna():
+                for member, size in rows.dropna(subset=["member"])[["member", "bytes"]].itertuples(index=False):
                     try:
-                        cut = documents.documents(partial(archive.open, member), record, document_bytes)
+                        opened, hold = partial(archive.open, member), size <= _HELD_BYTES
+                        cut = documents.documents(opened, record, document_bytes, hold=hold)
                         for part, text in enumerate(cut):
                             yield path, member, part, text
                     except documents.DAMAGED:

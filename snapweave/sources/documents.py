@@ -96,26 +96,35 @@ def _cut(stream: BinaryIO, record: str, encoding: str | None) -> Iterator[tuple[
         if used > 0:
             del held[:used]
             base += used
+    parser.Parse(b"", True)
 
 
 def documents(
-    opened: Callable[[], BinaryIO], record: str, size: int = DOCUMENT_BYTES, encoding: str | None = None
+    opened: Callable[[], BinaryIO],
+    record: str,
+    size: int = DOCUMENT_BYTES,
+    encoding: str | None = None,
+    hold: bool = False,
 ) -> Iterator[str]:
     """The records of a file as documents of about ``size`` bytes.
 
     Raises one of ``DAMAGED`` before the first of them if the file is damaged.  A file without
     records gives none.  ``encoding`` overrides what the file says, for text that was decoded once.
+    ``hold`` keeps the records of a file that is known to be small until its end was seen, and so
+    reads it once; the result is the same.
     """
-    with opened() as stream:
-        check(stream, encoding)
+    if not hold:
+        with opened() as stream:
+            check(stream, encoding)
     with opened() as stream:
         tag, parts, waiting = b"", [], 0
+        found = _cut(stream, record, encoding)
 
         def document() -> str:
             name = re.match(rb"<([^\s/>]+)", tag).group(1)
             return (tag + b"".join(parts) + b"</" + name + b">").decode("utf-8")
 
-        for tag, part in _cut(stream, record, encoding):
+        for tag, part in list(found) if hold else found:
             parts.append(part)
             waiting += len(part)
             if waiting >= size:

@@ -74,7 +74,7 @@ def split_texts(texts: DataFrame, record: str, xml: str = "xml") -> DataFrame:
             for text in batch:
                 try:
                     data = (text or "").encode("utf-8")
-                    found.append((True, list(documents.documents(lambda data=data: BytesIO(data), record, encoding="utf-8"))))
+                    found.append((True, list(documents.documents(lambda data=data: BytesIO(data), record, encoding="utf-8", hold=True))))
                 except documents.DAMAGED:
                     found.append((False, None))
             yield pd.DataFrame(found, columns=["good", "parts"])
