@@ -47,9 +47,19 @@ ASSIGN = Rule(
 ACCESS = Rule("access", r"AKIA[A-Z0-9]{12,}")
 HEX = Rule("hex", r"[0-9a-f]{32,}")
 BASE = (ASSIGN, ACCESS, HEX)
+#: A whole key: to its END line, or else over header fields and runs of base64 (a last one may be short, a checksum follow).
+#: Line ends may be escaped, lines quoted or indented.  Possessive loops, as Java recurses in others.
+_GAP = r"""(?:[\x20\x09-\x0D"'+>|*#,;]|\\++[nrt])++"""
+_FIELDS = r"(?:(?:[\x09-\x0D]|\\++[nr])++[A-Za-z][A-Za-z0-9-]*+:\x20[^\n\\]*+)*+"
+PRIVATE_KEY = Rule(
+    "private_key",
+    r"-----BEGIN [A-Z ]*PRIVATE KEY(?: BLOCK)?-----"
+    r"(?:(?:[^-]++|-(?!----))*+-----END [A-Z ]*PRIVATE KEY(?: BLOCK)?-----"
+    rf"|{_FIELDS}(?:{_GAP}[A-Za-z0-9+/=]{{16,}}+)++(?:{_GAP}[A-Za-z0-9+/]++=*+)?+(?:{_GAP}=[A-Za-z0-9+/]{{4}})?+)?+",
+)
 RULES = (
     *BASE,
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    PRIVATE_KEY,
     Rule("code_host", r"gh[pousr]_[A-Za-z0-9]{36}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("cloud_api", r"AIza[0-9A-Za-z_-]{35}"),
