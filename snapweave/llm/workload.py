@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapweave.llm import chunks, language, merkle, mixing, packing, secrets, separators, simhash, vafile
+from snapweave.llm import chunks, language, merkle, mixing, packing, secrets, separators, simhash, vafile, whitening
 from snapweave.llm import quality as quality_rules
 from snapweave.llm.common import read
 from snapweave.session import store
@@ -91,6 +91,10 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.components(read(spark, folder, "embeddings"))
+
+
 QUERIES = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_merkle_audit": op2_merkle_audit,
@@ -102,14 +106,15 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_simhash": op9_simhash,
     "op10_mixing": op10_mixing,
+    "op11_whitening": op11_whitening,
 }
 
 SQL = {
     "op1_exact_top_k": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS x FROM embeddings
+            SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS x FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
         ), distinct_v AS (SELECT DISTINCT vec_id, x FROM v),
         scored AS (
             SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.x, c.x)::BIGINT AS score
