@@ -1,6 +1,7 @@
 """Operators of a training-data pipeline.
 
-Ten operators, each in its own module, over tables of documents, pages and vectors.  They import
+Thirteen operators, each in its own module, over tables of documents, pages, vectors and
+conversations.  They import
 general helpers of the library; nothing else in the library imports them.  ``workload`` holds the
 registered queries with their SQL.
 """

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapweave.llm import chat, chunks, language, merkle, mixing, packing, secrets, separators, simhash, vafile, whitening
+from snapweave.llm import chat, chunks, language, merkle, mixing, packing, repair, secrets, separators, simhash, vafile, whitening
 from snapweave.llm import quality as quality_rules
 from snapweave.llm.common import read
 from snapweave.session import store
@@ -102,6 +102,35 @@ def op12_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.format_windows(turns.union(planted))).withColumnRenamed("conv", "conv_id")
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Turns of which some, by a hash of their place, are lost, emptied, cut, repeated or misattributed."""
+    space = F.lit(" ")
+    place = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    fate, said = F.col("fate"), F.coalesce("text", space)
+    told = turns.withColumn("fate", F.crc32(place.cast("binary")) % 20).filter("fate <> 0").select(
+        "conv_id",
+        "turn",
+        F.when(fate == 4, F.lit("user")).otherwise(F.coalesce("role", space)).alias("role"),
+        F.when(fate == 1, F.lit("")).when(fate == 2, F.regexp_replace(said, "[.!?]", "")).otherwise(said).alias("text"),
+        F.explode(F.when(fate == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    )
+    return told.drop("copy")
+
+
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    turns = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    found = repair.summaries(repair.repair(damaged(turns)))
+    every = turns.select("conv_id").distinct()
+    joined = every.join(found, every["conv_id"].eqNullSafe(found["conv"]), "left")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return joined.select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_merkle_audit": op2_merkle_audit,
@@ -115,6 +144,7 @@ QUERIES = {
     "op10_mixing": op10_mixing,
     "op11_whitening": op11_whitening,
     "op12_chat_windows": op12_chat_windows,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 SQL = {
