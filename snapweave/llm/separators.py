@@ -21,8 +21,8 @@ from snapweave.llm.common import ship
 from snapweave.llm.tokens import WORD_BPE, encoder
 from snapweave.session import scratch_path, store
 
-END = 49407
-"""The vocabulary's own end-of-text id."""
+END = 65535
+"""The separator: no id of the vocabulary, so that no text can contain it, whatever it spells."""
 
 BLOCK = 1 << 16
 """Tokens in a block that is written."""
@@ -31,15 +31,18 @@ RUN = 1024
 """Blocks in a run of the prefix scan."""
 
 ID = "<u2"
-"""How ids are written: the vocabulary has fewer than 65,536."""
+"""How ids are written; a vocabulary that reaches the separator is refused."""
 
 
 def write_flat(docs: DataFrame, vocabulary: str = WORD_BPE, text: str = "text", block: int = BLOCK) -> DataFrame:
     """Whole texts as flat token files ``(file, block, tokens)``, one file a partition, stored.
 
     Documents follow each other in the order of the partition, a null or empty text being its
-    separator alone.  ``tokens`` holds little-endian 16-bit ids.
+    separator alone.  ``tokens`` holds little-endian 16-bit ids.  Text that spells a token of the
+    tokenizer's own, such as its end of text, is text like any.
     """
+    if encoder(vocabulary).size() > END:
+        raise ValueError(f"ids of this vocabulary reach the separator {END}")
 
     def flat(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         file, number, held, waiting = TaskContext.get().partitionId(), 0, [], 0

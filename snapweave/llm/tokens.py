@@ -31,6 +31,10 @@ class WordEncoder:
         self._cached = cached
         self._known: dict[bytes, bytes] = {}
 
+    def size(self) -> int:
+        """One more than the largest id."""
+        return max(self._tokenizer.get_vocab(with_added_tokens=True).values()) + 1
+
     def _letters(self, word: str, raw: bytes) -> bytes:
         """Ids of one run of lower-case letters, which the vocabulary takes as a whole."""
         found = self._known.get(raw)

@@ -6,7 +6,7 @@ import pytest
 
 import cases
 from snapweave.llm import separators, workload
-from test_packing import reference_ids
+from test_packing import ODD, reference_ids
 
 
 def brute(file, ids):
@@ -46,6 +46,20 @@ def test_query(spark, folder):
     assert all(r.ended for r in got)
 
 
+def test_texts_that_spell_the_tokenizers_own_tokens(spark):
+    """The vocabulary's end-of-text token in a text does not end a document."""
+    texts = [*ODD, "<|endoftext|>", "a <|endoftext|> b <|startoftext|><|endoftext|>", "plain", None]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    got = separators.count_tokens(separators.write_flat(docs, block=5)).orderBy("doc_no").collect()
+    assert [r.n_tokens for r in got] == [len(reference_ids(t)) + 1 for t in texts]
+
+
+def test_a_vocabulary_that_reaches_the_separator(spark, docs, monkeypatch):
+    monkeypatch.setattr(separators, "END", 49_407)
+    with pytest.raises(ValueError):
+        separators.write_flat(docs)
+
+
 def test_written_in_order(spark, docs):
     one = docs.coalesce(1)
     blocks = separators.write_flat(one, block=100)
