@@ -56,6 +56,6 @@ def share_kept(rows: int, bound: int) -> int:
     return 1_000_000 if rows <= bound else bound * 1_000_000 // rows
 
 
-def in_share(key: Column, kept: int) -> Column:
+def in_share(key: Column, kept: int | Column) -> Column:
     """Whether a row is in the share: a fixed choice by key, the same in every run."""
     return F.pmod(F.xxhash64(key.cast("string"), F.lit("share")), F.lit(1_000_000)) < kept

@@ -4,14 +4,19 @@ For every language, a tree of byte contexts up to ``ORDER`` long holds how often
 followed.  A byte is coded in the longest context known; if it never followed there, an escape is
 paid and the next shorter context tried, down to all 256 bytes alike.  The statistics are frozen
 after training, so a byte's code length depends on the bytes before it alone and whole texts can
-be coded by table lookups: each position walks down the tree of all languages' contexts, one
-array operation a level.  The language with the shortest code wins.
+be coded by table lookups: each position walks down the language's tree, one array operation a
+level.  The language with the shortest code wins.
+
+Each language has a tree of its own, made in a task of its own from its counts: languages do not
+take contexts from each other, and there is no limit to their number but the memory that all
+trees may take together (``MODEL_BYTES``), beyond which training fails and says so.
 
 Code lengths are whole numbers of 1/65536 bit: sums are exact, results do not depend on batches.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,75 +25,88 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapweave.llm.common import in_share, share_kept, ship
+from snapweave.llm.common import in_share, ship
+from snapweave.session import store
 
 ORDER = 4
 TRAINED_DOCS = 1500
 """About so many documents of a language, by hash of the id, make its statistics at most; whole texts."""
 
-LANGUAGES = 256
-"""Languages learned at most, the most frequent ones."""
-
 SEEN = 3
 """A byte after a context of two or more bytes counts if it was seen so often."""
 
-CONTEXT_SEEN = 12
-"""A context longer than one byte is kept if some language has seen it so often."""
+CONTEXT_SEEN = 6
+"""A context longer than one byte is kept if the language has seen it so often."""
 
-CONTEXTS = 12_000
-"""Contexts kept at most, the most frequent ones."""
+CONTEXTS = 4_000
+"""Contexts kept of a language at most, the most frequent ones."""
+
+MODEL_BYTES = 1 << 30
+"""All trees together: a language takes about a megabyte, and every Python worker holds them."""
 
 UNKNOWN = "und"
 _UNIT = 65536
-_SLICE = 1 << 19
+_SLICE = 1 << 17
 
 
 @dataclass
-class Model:
-    """``classes`` numbers the bytes seen in training from 1, ``steps[d]`` leads from a context of d
-    bytes and the byte before it to the longer context, ``costs`` has a row for each context and
-    byte with the code length in each language."""
+class Tree:
+    """``classes`` numbers the bytes that the language has from 1, and ``width`` is one more than
+    their number.  A context is known by its place times ``width``: ``steps[d]`` leads from a context
+    of d bytes and the byte before it to the longer context, ``costs`` has the code length of each
+    byte in each of the longest ones."""
 
-    languages: list[str]
     classes: np.ndarray
     steps: list[np.ndarray]
     costs: np.ndarray
 
+    def size(self) -> int:
+        return self.costs.nbytes + sum(s.nbytes for s in self.steps)
+
+
+@dataclass
+class Model:
+    languages: list[str]
+    trees: list[Tree]
+
     def code_lengths(self, texts: list[bytes]) -> np.ndarray:
         """Code length of every text in every language, in 1/65536 bit."""
         total = np.zeros((len(texts), len(self.languages)), np.int64)
-        gap = bytes(len(self.steps))
-        sizes = np.array([len(t) for t in texts])
-        group, waiting = [], 0
-        for n, size in enumerate(sizes):
-            if group and waiting + size > _SLICE:
-                self._add(total, group, [texts[g] for g in group], gap)
+        group: list[int] = []
+        waiting = 0
+        for n, text in enumerate(texts):
+            if group and waiting + len(text) > _SLICE:
+                self._add(total, group, [texts[g] for g in group])
                 group, waiting = [], 0
             group.append(n)
-            waiting += size
+            waiting += len(text)
         if group:
-            self._add(total, group, [texts[g] for g in group], gap)
+            self._add(total, group, [texts[g] for g in group])
         return total
 
-    def _add(self, total: np.ndarray, rows: list[int], texts: list[bytes], gap: bytes) -> None:
-        order, width = len(gap), int(self.classes.max()) + 1
-        known = self.classes[np.frombuffer(gap + gap.join(texts), np.uint8)].astype(np.int32)
+    def _add(self, total: np.ndarray, rows: list[int], texts: list[bytes]) -> None:
+        # a gap of no byte's class before each text: no context reaches into the text before
+        gap = bytes(ORDER)
+        data = np.frombuffer(gap + gap.join(texts), np.uint8)
         lengths = np.array([len(t) for t in texts])
-        starts = order + np.concatenate(([0], np.cumsum(lengths + order)[:-1]))
-        for n, start in enumerate(starts):
-            known[start - order : start] = 0  # no context reaches into the text before
+        starts = ORDER + np.concatenate(([0], np.cumsum(lengths + ORDER)[:-1]))
+        inside = np.ones(len(data), bool)
+        for start in starts:
+            inside[start - ORDER : start] = False
         row_of = np.repeat(np.array(rows), lengths)
-        places = np.arange(lengths.sum()) + np.repeat(starts - np.concatenate(([0], np.cumsum(lengths)[:-1])), lengths)
+        places = np.flatnonzero(inside)
         for at in range(0, len(places), _SLICE):
             here, whose = places[at : at + _SLICE], row_of[at : at + _SLICE]
-            if not len(here):
-                continue
-            node = np.zeros(len(here), np.int32)
-            for depth, step in enumerate(self.steps):
-                node = step[node * width + known[here - depth - 1]]
-            costs = self.costs[node.astype(np.int64) * width + known[here]]
             first = np.flatnonzero(np.concatenate(([True], whose[1:] != whose[:-1])))
-            total[whose[first]] += np.add.reduceat(costs, first, axis=0, dtype=np.int64)
+            low, high = here[0] - ORDER, here[-1] + 1
+            window, real, rest = data[low:high], inside[low:high], here - low
+            for n, tree in enumerate(self.trees):
+                known = np.where(real, tree.classes[window], 0)
+                node = tree.steps[0][known[rest - 1]]
+                for depth in range(1, ORDER):
+                    node = tree.steps[depth][node + known[rest - depth - 1]]
+                costs = tree.costs[node + known[rest]]
+                total[whose[first], n] += np.add.reduceat(costs, first, dtype=np.int64)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -119,49 +137,52 @@ def train(
 ) -> Model:
     """The frozen statistics of every language, from a bounded sample of its labelled documents.
 
-    Documents that are held out, or have a null language or text, are not used.  Only the counts
-    of n-grams come to the driver, cut to those seen ``SEEN`` times or more.
+    Documents that are held out, or have a null language or text, are not used.  A language's
+    tree is made in one task, from the counts of its bounded sample; only trees come to the
+    driver, at most ``MODEL_BYTES`` of them.
     """
     named = docs.select(F.col(lang).alias("lang"), F.col(doc_id).alias("id"), F.col(text).alias("text"))
     named = named.filter(~held_out(F.col("id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = named.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    languages = sorted(row["lang"] for row in counts)
-    if not languages:
-        return Model([], np.zeros(256, np.uint8), [], np.zeros((1, 0), np.int32))
     ship(docs.sparkSession)
-    chosen = F.lit(False)
-    for row in counts:
-        chosen = chosen | ((F.col("lang") == row["lang"]) & in_share(F.col("id"), share_kept(row["count"], trained)))
+    kept = named.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+    share = F.greatest(F.lit(1), F.floor(F.lit(trained * 1_000_000) / F.col("rows")))  # a millionth at least
+    kept = kept.select(F.col("lang").alias("of"), share.alias("kept"))
+    chosen = named.join(kept, F.col("lang") == F.col("of")).filter(in_share(F.col("id"), F.col("kept")))
     ngrams = (
-        named.filter(chosen)
-        .select("lang", "text")
+        chosen.select("lang", "text")
         .mapInPandas(_ngrams, "lang string, length int, code long, seen long")
         .groupBy("lang", "length", "code")
         .agg(F.sum("seen").alias("seen"))
         .filter((F.col("length") < 2) | (F.col("seen") >= SEEN))
-        .toArrow()
-        .to_pandas()
     )
-    return compile_model(languages, ngrams)
 
+    def compiled(rows: pd.DataFrame) -> pd.DataFrame:
+        tree = compile_tree(rows)
+        return pd.DataFrame({"lang": rows["lang"].iloc[:1], "size": [tree.size()], "tree": [pickle.dumps(tree)]})
 
-def compile_model(languages: list[str], ngrams: pd.DataFrame) -> Model:
-    """Tables for ``Model`` from n-gram counts ``(lang, length, code, seen)``.
+    trees = store(ngrams.groupBy("lang").applyInPandas(compiled, "lang string, size long, tree binary"), "trees")
+    languages, size = trees.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    if size > MODEL_BYTES:
+        raise ValueError(f"the trees of {languages} languages take {size} bytes, more than {MODEL_BYTES}")
+    found = sorted((row["lang"], bytes(row["tree"])) for row in trees.select("lang", "tree").collect())
+    return Model([lang for lang, _ in found], [pickle.loads(tree) for _, tree in found])
+
+
+def compile_tree(ngrams: pd.DataFrame) -> Tree:
+    """A language's tree from its n-gram counts ``(length, code, seen)``.
 
     ``code`` holds the bytes of the context and then the one that followed, 8 bits each.
     """
     code = ngrams["code"].to_numpy().astype(np.int64)
     byte, context = code & 255, code >> 8
     length, seen = ngrams["length"].to_numpy(), ngrams["seen"].to_numpy()
-    language = np.searchsorted(np.array(languages), ngrams["lang"].to_numpy().astype(str))
-    classes = np.zeros(256, np.uint8)
+    classes = np.zeros(256, np.int32)
     used = np.unique(byte[length == 0])
     classes[used] = np.arange(1, len(used) + 1) if len(used) < 256 else np.minimum(np.arange(1, 257), 255)
     width = int(classes.max()) + 1
 
     # contexts worth keeping; a context's ending was seen at least as often, so none is orphaned
-    sums = pd.DataFrame({"length": length, "context": context, "language": language, "seen": seen})
-    often = sums.groupby(["length", "context", "language"])["seen"].sum().groupby(level=[0, 1]).max()
+    often = pd.DataFrame({"length": length, "context": context, "seen": seen}).groupby(["length", "context"])["seen"].sum()
     often = often[(often.index.get_level_values(0) < 2) | (often >= CONTEXT_SEEN)].reset_index()
     often = often.sort_values(["seen", "length", "context"], ascending=[False, True, True]).head(CONTEXTS)
     number = {(0, 0): 0}
@@ -170,23 +191,20 @@ def compile_model(languages: list[str], ngrams: pd.DataFrame) -> Model:
         if depth == 0 or ending in number:
             number.setdefault((depth, ctx), len(number))
 
-    cost = np.full((len(number), width, len(languages)), 1 / 256)
-    order = np.lexsort((language, context, length))
-    edges = np.flatnonzero(
-        np.diff(length[order], prepend=-1) | np.diff(context[order], prepend=-1) | np.diff(language[order], prepend=-1)
-    )
-    by_node: dict[int, list[tuple[int, np.ndarray]]] = {}
-    for rows in np.split(order, edges[1:]):
-        node = number.get((int(length[rows[0]]), int(context[rows[0]])))
-        if node is not None:
-            by_node.setdefault(node, []).append((int(language[rows[0]]), rows))
+    cost = np.full((len(number), width), 1 / 256)
+    order = np.lexsort((context, length))
+    edges = np.flatnonzero(np.diff(length[order], prepend=-1) | np.diff(context[order], prepend=-1))
+    by_node = {
+        number.get((int(length[rows[0]]), int(context[rows[0]]))): rows for rows in np.split(order, edges[1:]) if len(rows)
+    }
     for (depth, ctx), node in number.items():
         if depth:
             cost[node] = cost[number[depth - 1, ctx & ((1 << 8 * (depth - 1)) - 1)]]
-        for lang, rows in by_node.get(node, ()):
+        rows = by_node.get(node)
+        if rows is not None:
             whole = seen[rows].sum() + len(rows)
-            cost[node, :, lang] *= len(rows) / whole
-            cost[node, classes[byte[rows]], lang] = seen[rows] / whole
+            cost[node] *= len(rows) / whole
+            cost[node, classes[byte[rows]]] = seen[rows] / whole
 
     # levels: a context that has no longer one stays itself to the last level
     level, steps = {0: 0}, []  # node -> place on the level
@@ -202,10 +220,10 @@ def compile_model(languages: list[str], ngrams: pd.DataFrame) -> Model:
         step = np.repeat(np.array([place[n] for n in nodes], np.int32), width)
         for (ending, symbol), node in longer.items():
             step[level[ending] * width + symbol] = place[node]
-        steps.append(step)
+        steps.append(step * np.int32(width))
         nodes, level = following, place
     bits = np.rint(-np.log2(cost[nodes]) * _UNIT).astype(np.int32)
-    return Model(languages, classes, steps, np.ascontiguousarray(bits.reshape(-1, len(languages))))
+    return Tree(classes, steps, np.ascontiguousarray(bits.ravel()))
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", name: str = "predicted") -> DataFrame:

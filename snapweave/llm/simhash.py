@@ -52,10 +52,15 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(ones * 2 > len(parts), bitorder="little").view(np.int64)[0])
 
 
-@F.pandas_udf(T.LongType())
-def _fingerprints(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for batch in texts:
-        yield pd.Series([fingerprint(t) for t in batch], dtype="int64")
+def fingerprints(text: Column, shingle: int = SHINGLE) -> Column:
+    """``fingerprint`` of a column."""
+
+    @F.pandas_udf(T.LongType())
+    def found(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            yield pd.Series([fingerprint(t, shingle) for t in batch], dtype="int64")
+
+    return found(text)
 
 
 def fingerprint_hex(value: Column) -> Column:
@@ -119,7 +124,9 @@ def links(fingerprints: DataFrame, bits: int = BITS, segments: int = SEGMENTS) -
     return cold.union(stars)
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int = BITS) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int = BITS, shingle: int = SHINGLE
+) -> DataFrame:
     """``(key, fingerprint, component)`` of every row: the smallest key its text is connected with.
 
     Fingerprints link at ``bits`` or fewer differing bits; components are transitive.  Texts
@@ -129,7 +136,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", bi
     (two numbers a row), so texts are read once and never shuffled.
     """
     ship(docs.sparkSession)
-    rows = store(docs.select(F.col(key).alias("key"), _fingerprints(F.col(text)).alias("value")), "fingerprints")
+    rows = store(docs.select(F.col(key).alias("key"), fingerprints(F.col(text), shingle).alias("value")), "fingerprints")
     firsts = store(rows.groupBy("value").agg(F.min("key").alias("first")), "distinct_fingerprints")
     linked = components(links(firsts.select("value"), bits))
     linked = linked.withColumnRenamed("node", "value")

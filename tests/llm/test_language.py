@@ -32,13 +32,10 @@ def counted(texts):
 def plain_bits(ngrams, lang, data):
     """Prediction by partial matching from the counts, a byte at a time."""
     followed, best = defaultdict(dict), Counter()
-    each = Counter()
     for row in ngrams.itertuples():
-        each[row.length, row.code >> 8, row.lang] += row.seen
         if row.lang == lang:
+            best[row.length, row.code >> 8] += row.seen
             followed[row.length, row.code >> 8][row.code & 255] = row.seen
-    for (length, context, _), n in each.items():
-        best[length, context] = max(best[length, context], n)
 
     def probability(length, context, byte):
         if length < 0:
@@ -62,10 +59,14 @@ def plain_bits(ngrams, lang, data):
     return total
 
 
+def compiled(ngrams):
+    return language.Model(sorted(SOUNDS), [language.compile_tree(ngrams[ngrams["lang"] == lang]) for lang in sorted(SOUNDS)])
+
+
 def test_tables_give_exact_code_lengths(monkeypatch):
     monkeypatch.setattr(language, "_SLICE", 40)
     ngrams = counted([(lang, text_of(lang, s)) for lang in SOUNDS for s in range(4)])
-    model = language.compile_model(sorted(SOUNDS), ngrams)
+    model = compiled(ngrams)
     texts = [text_of(lang, 50, n) for lang in SOUNDS for n in (1, 7, 60)] + ["", "x", "Ωkalo\x00mi", "ka" * 100]
     got = model.code_lengths([t.encode() for t in texts])
     want = [[plain_bits(ngrams, lang, t.encode()) for lang in sorted(SOUNDS)] for t in texts]
@@ -102,7 +103,8 @@ def test_training_matches_brute_force(spark, spoken):
     path, docs = spoken
     model = language.train(spark.read.parquet(f"{path}/documents.parquet"))
     learned = [(d[2], d[1]) for d in docs if d[1] is not None and d[2] and zlib.crc32(("" if d[0] is None else str(d[0])).encode()) % 3 != 1]
-    want = language.compile_model(sorted(SOUNDS), counted(learned))
+    want = compiled(counted(learned))
+    assert model.languages == want.languages
     text = [text_of("zz", 999).encode()]
     assert np.array_equal(model.code_lengths(text), want.code_lengths(text))
 
@@ -113,3 +115,40 @@ def test_odd_documents(spark, folder):
 
 def test_empty_table(spark, empty_folder):
     assert workload.op6_language_id(spark, empty_folder).count() == 0
+
+
+def many(n, each):
+    """Documents of ``n`` languages of a few syllables each, the last language with two documents only."""
+    rng = random.Random(6)
+    letters = [chr(c) for c in [*range(97, 123), *range(0x430, 0x450), *range(0x3B1, 0x3C9)]]
+    sounds = [["".join(rng.choices(letters, k=rng.randint(2, 3))) for _ in range(5)] for _ in range(n)]
+    rows = []
+    for i in range(n):
+        for k in range(2 * each if i == n - 1 else each):
+            words = ["".join(rng.choices(sounds[i], k=rng.randint(1, 3))) for _ in range(40)]
+            rows.append((i * each + k, " ".join(words), f"l{i:03}", None, None, None, None))
+    return rows
+
+
+def test_hundreds_of_languages(spark):
+    """None is left out for being one of many, or for having few documents."""
+    docs = many(300, 4)
+    table = spark.createDataFrame(docs, cases.COLUMNS).repartition(8)
+    model = language.train(table)
+    learned = {d[2] for d in docs if zlib.crc32(str(d[0]).encode()) % 3 != 1}
+    assert model.languages == sorted(learned) and len(learned) > 290
+    assert sum(t.size() for t in model.trees) < 300 << 20
+    got = language.identify(table.filter("lang >= 'l200'"), model).select("lang", "predicted.lang_pred").collect()
+    known = [r for r in got if r.lang in learned]
+    assert sum(r.lang == r.lang_pred for r in known) >= 0.97 * len(known)
+
+
+def test_trees_beyond_the_memory_set_for_them(spark, docs, monkeypatch):
+    monkeypatch.setattr(language, "MODEL_BYTES", 1000)
+    with pytest.raises(ValueError):
+        language.train(docs)
+
+
+def test_a_share_is_never_nothing(spark, docs):
+    """A bound far below a millionth of the rows still keeps a millionth, not none."""
+    assert set(language.train(docs, trained=0).languages) <= {"en", "fr"}

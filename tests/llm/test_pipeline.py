@@ -10,7 +10,8 @@ from snapweave.llm import language, secrets
 from test_mixing import plain_targets
 from test_packing import checked
 from test_secrets import LITERAL, brute
-from test_simhash import close_pairs, plain_fingerprint, union
+from test_overlap import shingles
+from test_simhash import union
 
 
 @pytest.fixture(scope="module")
@@ -44,12 +45,15 @@ def test_language(staged):
 
 
 def test_near_dedup(staged):
+    """Of the texts that share four fifths of their runs of five words, the first stays."""
     before, after = staged[1][1], staged[1][2]
-    prints = {r: plain_fingerprint(r.text) for r in before}
-    root = union(close_pairs(set(prints.values()), 2), set(prints.values()))
+    kinds = sorted({frozenset(shingles(r.text)) for r in before}, key=sorted)
+    close = [(x, y) for n, x in enumerate(kinds) for y in kinds[:n] if 5 * len(x & y) >= 4 * len(x | y)]
+    numbers = {k: n for n, k in enumerate(kinds)}
+    root = union([(numbers[x], numbers[y]) for x, y in close], range(len(kinds)))
     groups = defaultdict(list)
     for r in before:
-        groups[root[prints[r]]].append(r)
+        groups[root[numbers[frozenset(shingles(r.text))]]].append(r)
     best = [min(g, key=lambda r: (r.doc_id is None, r.doc_id or 0)) for g in groups.values()]
     assert counted(after) == counted(best)
     assert len(after) < len(before) - 3
