@@ -44,6 +44,12 @@ CONTEXTS = 4_000
 MODEL_BYTES = 1 << 30
 """All trees together: a language takes about a megabyte, and every Python worker holds them."""
 
+JUDGED, ABOVE = 256, 1.25
+"""A text of so many bytes is junk at so many times the bits a byte that labelled ones take at most."""
+
+TOLD_BY = 20
+"""Labelled documents of about a length that are needed to tell what is usual for it."""
+
 UNKNOWN = "und"
 _UNIT = 65536
 _SLICE = 1 << 17
@@ -168,6 +174,36 @@ def train(
     return Model([lang for lang, _ in found], [pickle.loads(tree) for _, tree in found])
 
 
+def usual_bits(
+    docs: DataFrame, model: Model, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", sample: int = TRAINED_DOCS
+) -> dict[int, float]:
+    """The most bits a byte that labelled documents take, by the length's power of two.
+
+    From a share of about ``sample`` labelled documents for each language, those held out from
+    training, so that none was learned from.
+    """
+    named = docs.filter(held_out(F.col(doc_id)) & F.col(lang).isin(model.languages)) if model.languages else docs.limit(0)
+    rows = named.count()
+    share = min(1_000_000, max(1, sample * len(model.languages) * 1_000_000 // max(1, rows)))
+    found = identify(named.filter(in_share(F.col(doc_id), share)).select(F.col(text).alias("text")), model, "text")
+    power = F.floor(F.log2(F.octet_length("text"))).cast("int").alias("power")
+    bits = found.filter(F.col("predicted.lang_pred") != UNKNOWN).groupBy(power).agg(
+        F.max("predicted.bits").alias("bits"), F.count(F.lit(1)).alias("seen")
+    )
+    return {row["power"]: row["bits"] for row in bits.collect() if row["seen"] >= TOLD_BY}
+
+
+def is_junk(text: Column, bits: Column, usual: dict[int, float]) -> Column:
+    """Whether a text takes clearly more bits a byte than labelled documents of about its length.
+
+    Texts of less than ``JUDGED`` bytes say too little, and so does a length that few labelled documents have.
+    """
+    bound = F.lit(float("inf"))
+    for power, most in sorted(usual.items()):
+        bound = F.when(F.floor(F.log2(F.octet_length(text))) == power, F.lit(most * ABOVE)).otherwise(bound)
+    return F.coalesce((F.octet_length(text) >= JUDGED) & (bits > bound), F.lit(False))
+
+
 def compile_tree(ngrams: pd.DataFrame) -> Tree:
     """A language's tree from its n-gram counts ``(length, code, seen)``.
 

@@ -1,3 +1,5 @@
+import base64
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -106,9 +108,19 @@ def test_empty_table(spark, empty_folder):
     assert corpus_pipeline.run(spark, empty_folder).count() == 0
 
 
-def test_a_language_nobody_learned(spark, docs, tmp_path):
-    """Without labels nothing can be told, and every document goes."""
+def test_without_labels(spark, docs):
+    """Without labels nothing can be told: that is an error, not an empty corpus."""
     none = docs.withColumn("lang", F.lit(None).cast("string"))
     assert language.train(none).languages == []
-    assert corpus_pipeline.identify_language(spark, none, "").count() == 0
-
+    with pytest.raises(ValueError):
+        corpus_pipeline.identify_language(spark, none, "")
+
+
+def test_junk_goes_and_clean_documents_stay(spark):
+    """Encoded bytes with letters in them go; documents of all lengths, short ones and ones with numbers, stay."""
+    rng = random.Random(4)
+    clean = [(i, cases.prose(i, 3 + i % 400), "en", "a", None, None, None) for i in range(600)]
+    clean += [(700 + i, f"call +1 {rng.randrange(10**9)} token = {rng.randrange(10**20)} {cases.prose(i, 5)}", "en", "a", None, None, None) for i in range(20)]
+    junk = [(900 + i, base64.b64encode(rng.randbytes(900)).decode(), None, "a", None, None, None) for i in range(20)]
+    got = corpus_pipeline.identify_language(spark, spark.createDataFrame(clean + junk, cases.COLUMNS), "")
+    assert sorted(r.doc_id for r in got.collect()) == [r[0] for r in clean]
