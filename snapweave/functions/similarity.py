@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 import sys
 
@@ -79,9 +80,67 @@ def weighted_ratio(a: str, b: str) -> int:
     return round(max(scores))
 
 
-@F.pandas_udf(T.ArrayType(T.DoubleType()))
-def weighted_scores(names: pd.Series, candidates: pd.Series) -> pd.Series:
-    """Scores of one name against a short list of candidates."""
-    return pd.Series(
-        [[float(weighted_ratio(n, c)) for c in listed] for n, listed in zip(names, candidates)]
-    )
+@F.pandas_udf(T.DoubleType())
+def weighted_score(left: pd.Series, right: pd.Series) -> pd.Series:
+    """``weighted_ratio`` of two columns."""
+    return pd.Series([float(weighted_ratio(a, b)) for a, b in zip(left, right)], dtype="float64")
+
+
+PROFILE = T.StructType(
+    [
+        T.StructField("tokens", T.ArrayType(T.StringType())),
+        T.StructField("grams", T.ArrayType(T.StringType())),
+        T.StructField("lengths", T.ArrayType(T.IntegerType())),
+        T.StructField("pairs", T.ArrayType(T.IntegerType())),
+    ]
+)
+
+
+def profile_of(text: str) -> tuple[list[str], list[str], list[int], list[int]]:
+    """What bounds a text's weighted scores: its different words, its pairs of neighbouring letters
+    within words (repetitions numbered), and lengths and numbers of pairs of the three spellings
+    that are compared: as it is, with words in order, with each word once."""
+    clean = re.sub(r"\W", " ", text.lower()).strip()
+    tokens = clean.split()
+    once = sorted(set(tokens))
+    seen: dict[str, int] = {}
+    grams = []
+    for token in tokens:
+        for i in range(len(token) - 1):
+            pair = token[i : i + 2]
+            seen[pair] = seen.get(pair, 0) + 1
+            grams.append(f"{pair}{seen[pair] if seen[pair] > 1 else ''}")
+    spelled = [len(clean), len(" ".join(tokens)), len(" ".join(once))]
+    return once, grams, spelled, [len(grams), len(grams), sum(len(t) - 1 for t in once)]
+
+
+@F.pandas_udf(PROFILE)
+def profiles(texts: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([profile_of(t) for t in texts], columns=PROFILE.names)
+
+
+def shared_pairs(profile: Column, threshold: float, partial_only: bool = False) -> Column:
+    """How many pairs of letters a text shares at least with any other that scores above ``threshold``.
+
+    Holds for others that have no word in common with it.  Of a longest common subsequence, each
+    letter of the text outside it spoils two of the text's pairs at most, each one of the other's
+    inside it one; the score says how many letters are outside.  ``partial_only`` bounds the partial
+    scores, of a text that is the shorter one, alone.  0 or less means that nothing can be said.
+    """
+    need = math.floor(threshold) + 0.5
+    rests = []
+    for i in range(3):
+        length, pairs = F.get(profile["lengths"], i), F.get(profile["pairs"], i)
+        whole = (need if i == 0 else need / 0.95 - 0.5) / 100
+        part = (need / 0.9 if i == 0 else need / 0.9 / 0.95) / 100 - 0.005
+        if part <= 1:
+            rests.append(pairs - 3 * (1 - part) * length)
+        if whole <= 1 and not partial_only:
+            # the other's length may lie between these shares of the text's own
+            slope = 1.5 * whole - 1
+            other = whole / (2 - whole) if slope >= 0 else (2 - whole) / whole if whole > 0 else math.inf
+            rests.append(pairs - (2 - 1.5 * whole) * length + slope * other * length if other < math.inf else F.lit(-1.0))
+    if not rests:
+        return F.lit(1 << 30)
+    least = rests[0] if len(rests) == 1 else F.least(*rests)
+    return F.ceil(least - 1e-6)

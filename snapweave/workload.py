@@ -485,7 +485,90 @@ def fuzzy_match(spark, folder):
     return found.select("name", "how", F.round("score", 6).alias("score"), "candidate.code")
 
 
-@query()
+def _meant_sql(names: str, candidates: str, words: str, threshold: int = 80) -> str:
+    """Common tables up to ``meant (name, how, score, code)``: the weighted match of distinct ``names (name)``.
+
+    ``candidates (code, full, short)`` are in lower case.  Every pair is scored: the longest common
+    subsequence takes one step of big-integer arithmetic for each letter, as a recursive table.
+    """
+    clean = r"trim(regexp_replace({}, '[^\pL\pN_]', ' ', 'g'))"
+    split = "[t FOR t IN string_split({0}, ' ') IF t <> '']"
+    join = "coalesce(array_to_string(list_sort({}), ' '), '')"
+    rest = "[t FOR t IN list_distinct({0}) IF NOT list_contains({1}, t)]"
+    both = "[t FOR t IN list_distinct(ta) IF list_contains(tb, t)]"
+    return f"""
+    asked AS ({names}), cand AS ({candidates}),
+    hits AS (SELECT name, (SELECT max(code) FROM cand WHERE "full" = lower(name)) AS f,
+                    (SELECT max(code) FROM cand WHERE short = lower(name)) AS s FROM asked),
+    pairs AS (SELECT name, code, {clean.format("regexp_replace(lower(name), " + repr(words) + ", ' ', 'g')")} AS a,
+                     {clean.format('short')} AS b
+              FROM hits, cand WHERE f IS NULL AND s IS NULL),
+    cut AS (SELECT *, {split.format('a')} AS ta, {split.format('b')} AS tb,
+                   CAST(greatest(length(a), length(b)) AS DOUBLE) / least(length(a), length(b)) AS proportion
+            FROM pairs WHERE a <> '' AND b <> ''),
+    sets AS (SELECT *, {join.format('ta')} AS sa, {join.format('tb')} AS sb, {join.format(both)} AS shared,
+                    {join.format(rest.format('ta', 'tb'))} AS ra, {join.format(rest.format('tb', 'ta'))} AS rb FROM cut),
+    spelled AS (SELECT *, trim(shared || ' ' || ra) AS first, trim(shared || ' ' || rb) AS second FROM sets),
+    compared AS (
+      SELECT name, code, proportion, unnest([
+        {{'kind': 0, 'x': a, 'y': b}}, {{'kind': CASE WHEN proportion < 1.5 THEN 1 ELSE 2 END, 'x': sa, 'y': sb}},
+        {{'kind': CASE WHEN proportion < 1.5 THEN 3 ELSE 4 END, 'x': shared, 'y': first}},
+        {{'kind': CASE WHEN proportion < 1.5 THEN 3 ELSE 4 END, 'x': shared, 'y': second}},
+        {{'kind': CASE WHEN proportion < 1.5 THEN 3 ELSE 4 END, 'x': first, 'y': second}},
+        {{'kind': CASE WHEN proportion < 1.5 THEN 0 ELSE 5 END, 'x': a, 'y': b}}], recursive := false) AS c
+      FROM spelled),
+    ordered AS (
+      SELECT name, code, proportion, c.kind AS kind, CASE WHEN length(c.x) <= length(c.y) THEN c.x ELSE c.y END AS x,
+             CASE WHEN length(c.x) <= length(c.y) THEN c.y ELSE c.x END AS y FROM compared WHERE c.x <> '' AND c.y <> ''),
+    stretches AS (
+      SELECT name, code, proportion, kind, x, y FROM ordered WHERE kind IN (0, 1, 3)
+      UNION ALL
+      SELECT name, code, proportion, kind, x, substring(y, i, length(x))
+      FROM (SELECT *, unnest(range(1, length(y) - length(x) + 2)) AS i FROM ordered WHERE kind IN (2, 4, 5))),
+    walk AS (
+      SELECT DISTINCT x, y, CAST(0 AS BIGINT) AS i, (CAST(1 AS BIGINT) << length(x)) - 1 AS r FROM stretches
+      UNION ALL
+      SELECT x, y, i + 1, ((r + hit) | (r - hit)) & ((CAST(1 AS BIGINT) << length(x)) - 1)
+      FROM (SELECT *, r & CAST(list_sum([CASE WHEN substring(x, CAST(k AS BIGINT) + 1, 1) = substring(y, i + 1, 1)
+                                              THEN CAST(1 AS BIGINT) << k ELSE 0 END FOR k IN range(0, length(x))]) AS BIGINT) AS hit
+            FROM walk WHERE i < length(y))),
+    lcs AS (SELECT x, y, length(x) - bit_count(r) AS n FROM walk WHERE i = length(y)),
+    ratios AS (SELECT name, code, proportion, kind,
+                      max(CAST(100.0 AS DOUBLE) * 2 * n / (length(x) + length(y))) AS ratio
+               FROM stretches JOIN lcs USING (x, y) GROUP BY ALL),
+    weights AS (SELECT *, CAST(CASE WHEN proportion > 8 THEN 0.6 ELSE 0.9 END AS DOUBLE) AS scale FROM ratios),
+    scored AS (
+      SELECT name, code, round_even(max(CASE kind WHEN 0 THEN ratio
+               WHEN 1 THEN CAST(0.95 AS DOUBLE) * round_even(ratio, 0) WHEN 3 THEN CAST(0.95 AS DOUBLE) * round_even(ratio, 0)
+               WHEN 5 THEN scale * round_even(ratio, 0)
+               ELSE CAST(0.95 AS DOUBLE) * scale * round_even(ratio, 0) END), 0) AS score
+      FROM weights GROUP BY name, code),
+    best AS (SELECT name, max(score) AS score, arg_min(code, (-score, code)) AS code
+             FROM scored WHERE score > {threshold} GROUP BY name),
+    meant AS (
+      SELECT h.name, CASE WHEN f IS NOT NULL THEN 'full' WHEN s IS NOT NULL THEN 'short' WHEN b.code IS NOT NULL THEN 'fuzzy' END AS how,
+             CASE WHEN coalesce(f, s) IS NOT NULL THEN 100.0 ELSE b.score END AS score, coalesce(f, s, b.code) AS code
+      FROM hits h LEFT JOIN best b ON b.name = h.name)
+    """
+
+
+_MISSPELT = """
+    SELECT DISTINCT CASE c_mktsegment WHEN 'BUILDING' THEN 'Nation_' || c_nationkey
+             WHEN 'MACHINERY' THEN 'n' || c_nationkey
+             WHEN 'FURNITURE' THEN 'NATIN_' || c_nationkey
+             WHEN 'HOUSEHOLD' THEN 'state nation_X' || c_nationkey
+             ELSE c_mktsegment || c_nationkey END AS name FROM customer
+"""
+
+
+@query(
+    f"""
+    WITH RECURSIVE {_meant_sql(
+        _MISSPELT, "SELECT n_nationkey AS code, lower(n_name) AS full, 'n' || n_nationkey AS short FROM nation", r'\bstate\b'
+    )}
+    SELECT name, how, CAST(score AS DOUBLE) AS score, code FROM meant
+    """
+)
 def fuzzy_match_weighted(spark, folder):
     customers = table(spark, folder, "customer").select(_misspelt().alias("name"))
     found = fuzzy.fuzzy_match(customers, "name", _nations(spark, folder), words=["state"])
@@ -1106,7 +1189,7 @@ def _key(column: str) -> str:
     return f"replace(upper({column}), 'Ё', 'Е')"
 
 
-def _geo_sql() -> str:
+def _geo_sql(misspelt: bool = False) -> str:
     """Common tables up to ``located``: the aggregated rows with their place columns."""
     parts = ("region", "district", "city", "settlement")
     expand = "(SELECT full_name FROM dictionary d WHERE d.name = upper(coalesce({0}, '')))"
@@ -1136,6 +1219,14 @@ def _geo_sql() -> str:
         [f"{_key(f'{p}_joined')} AS {p}" for p in parts if p != "region"]
         + [f"{_key(f'{p}_name')} AS {p}_name, {_key(f'{p}_full')} AS {p}_type" for p in parts]
     )
+    own, meant = known.format("region_joined", "k.name"), ""
+    if misspelt:
+        own = "(SELECT k.name FROM meant m JOIN regions k ON k.code = m.code WHERE m.name = j.region_joined)"
+        meant = _meant_sql(
+            "SELECT DISTINCT region_joined AS name FROM joined WHERE region_joined IS NOT NULL",
+            "SELECT code, lower(name) AS full, lower(short_name) AS short FROM regions",
+            "область",
+        ) + ","
     return f"""
     nr AS (SELECT * FROM nation JOIN region ON n_regionkey = r_regionkey),
     dictionary AS (SELECT 'R' || r_regionkey AS name, r_name AS full_name FROM region
@@ -1160,9 +1251,8 @@ def _geo_sql() -> str:
     {', '.join(unique)},
     rows_ AS (SELECT row_number() OVER () AS n, * FROM aggregated),
     expanded AS (SELECT n, region_name, district_name, city_name, settlement_name, {types} FROM rows_ a),
-    joined AS (SELECT *, {names} FROM expanded),
-    keyed AS (SELECT n, {known.format('region_joined', 'k.name')} AS own_region,
-                     upper({known.format('region_joined', 'k.name')}) AS region, {keyed} FROM joined j),
+    joined AS (SELECT *, {names} FROM expanded), {meant}
+    keyed AS (SELECT n, {own} AS own_region, upper({own}) AS region, {keyed} FROM joined j),
     found AS (SELECT n, own_region, CASE {first} END AS place, CASE {numbers} END AS rung FROM keyed a {joins}),
     located AS (
       SELECT r.* EXCLUDE (region_code, {', '.join(schemas.ADDRESS_COLUMNS)}), k.iso_code AS region_iso_code,
@@ -1244,6 +1334,32 @@ def geocode_standalone(spark, folder):
     return geocode.geocode(addressed, _geo_lookups(spark, folder))
 
 
+_GARBLED = """CASE c_custkey % 6 WHEN 0 THEN n_name WHEN 1 THEN left(n_name, 3) || 'x' || substring(n_name, 4)
+              WHEN 2 THEN substring(n_name, 2) WHEN 3 THEN replace(n_name, '_', '  ')
+              WHEN 4 THEN 'of ' || lower(n_name) || 'z' ELSE left(n_name, 2) END"""
+_GARBLED_COLUMNS = {
+    **{c: _SME[c].replace("o_orderpriority", "'1'").replace("o_orderstatus", "'F'") for c in schemas.ADDRESS_COLUMNS},
+    "region_name": _GARBLED,
+}
+
+
+@query(
+    f"""
+    WITH RECURSIVE aggregated AS ({_select({
+        'c_custkey': 'c_custkey', 'region_code': "'x'", **_GARBLED_COLUMNS}, 'customer JOIN nation ON c_nationkey = n_nationkey')}),
+    {_geo_sql(misspelt=True)}
+    SELECT * EXCLUDE (n) FROM located
+    """
+)
+def geocode_misspelt(spark, folder):
+    """Addresses whose regions are misspelt, cut short or run on: the weighted score finds what they mean."""
+    placed = table(spark, folder, "customer").join(
+        table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
+    )
+    addressed = _shaped(placed, {"c_custkey": "c_custkey", **_GARBLED_COLUMNS})
+    return geocode.geocode(addressed, _geo_lookups(spark, folder))
+
+
 def _facts_sql(name: str, columns: dict[str, str], measures: list[str]) -> str:
     greatest = ", ".join(f"{m} DESC NULLS LAST" for m in measures)
     return f"""

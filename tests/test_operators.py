@@ -133,6 +133,50 @@ def test_fuzzy_match_meets_every_candidate(spark, scorer, threshold):
         assert got[n] == ((-place, pytest.approx(best)) if best > threshold else (None, None))
 
 
+def names_like(rng, n, letters="абвгдежзиклмнопрст"):
+    made = set()
+    while len(made) < n:
+        made.add(" ".join("".join(rng.choices(letters, k=rng.randint(1, 11))) for _ in range(rng.choice([1, 1, 2, 3]))))
+    return sorted(made)
+
+
+def misspelt(rng, text):
+    found = list(text)
+    for _ in range(rng.choice([0, 1, 1, 2, 3])):
+        i = rng.randrange(len(found) + 1)
+        found[i : i + rng.randint(0, 1)] = rng.choice(["", "ъ", " ", "  ", "-", found[i - 1] if found else ""])
+    rng.random() < 0.3 and found.extend(list(" край край"))
+    return "".join(found)
+
+
+@pytest.mark.parametrize("threshold", [60, 80, 90.5])
+def test_weighted_pairs_lose_nothing(spark, threshold):
+    """Every pair above the threshold is among those that are scored, short and odd texts included."""
+    rng = random.Random(5)
+    words = names_like(rng, 300) + ["а", "б", "аб", "а б в г", "", " - ", "край"]
+    names = sorted({misspelt(rng, rng.choice(words)) for _ in range(250)} | {"а", "я", "аба", "край", "", "в г а"})
+    made = fuzzy.prepare_candidates(
+        spark.createDataFrame([(i, w) for i, w in enumerate(words)], "code int, short_name string"), "short_name"
+    )
+    table = spark.createDataFrame([(n, n) for n in names], "name string, __text string")
+    pairs = fuzzy.weighted_pairs(table, made, threshold).join(made.listed, "__id")
+    got = {(r["name"], r["code"]) for r in pairs.select("name", "candidate.code").collect()}
+    want = {(n, i) for n in names for i, w in enumerate(words) if similarity.weighted_ratio(n, w) > threshold}
+    assert len(want) > 100 and want <= got
+
+
+def test_weighted_pairs_are_few(spark):
+    """Names of ordinary length meet less than a tenth of a long list."""
+    rng = random.Random(8)
+    words = [w for w in names_like(rng, 3000) if len(w) > 5][:1500]
+    names = [misspelt(rng, rng.choice(words)) for _ in range(400)]
+    made = fuzzy.prepare_candidates(
+        spark.createDataFrame([(i, w) for i, w in enumerate(words)], "code int, short_name string"), "short_name"
+    )
+    table = spark.createDataFrame([(n, n) for n in set(names)], "name string, __text string")
+    assert fuzzy.weighted_pairs(table, made, 80).count() < len(set(names)) * len(words) / 10
+
+
 def test_unknown_scorer(spark):
     with pytest.raises(ValueError):
         fuzzy.fuzzy_match(spark.range(1), "id", spark.range(1), scorer="soundex")
