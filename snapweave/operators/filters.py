@@ -84,3 +84,38 @@ def filter_by_codes(
         return df
     allowed = broadcast_if_small(materialize(expand_codes(classifier, codes, group, code)))
     return df.join(allowed, same(df, allowed, [(column, "code")]), "left_semi")
+
+
+_BITMAP_BITS = 32_768  # of one bitmap, as Spark's bitmap functions make them
+MAX_BITS = 1 << 28
+"""Bits of all bitmaps of ``possible_keys`` together: 32 MB that are broadcast."""
+
+
+def possible_keys(df: DataFrame, key: str, keys: DataFrame, key_of: str) -> DataFrame:
+    """Rows of ``df`` whose ``key`` may be among the keys, ahead of any shuffle: all that are, and few others.
+
+    A bit is set for the hash of each key, eight bits for a key; the bitmaps are broadcast and
+    looked up row by row, so that an eighth of the other rows stays.  An exact join follows where
+    that matters.  Beyond ``MAX_BITS`` / 2 keys a bitmap would keep too much, and ``df`` stays as it
+    is.  Null keys go.  ``keys`` is counted, then read by the query.
+    """
+    count = keys.count()
+    if 2 * count > MAX_BITS:
+        return df
+    maps = min(MAX_BITS, 8 * max(1, count)) // _BITMAP_BITS + 1
+
+    def place(c: Column) -> Column:
+        return F.pmod(F.xxhash64(c.cast("string")), F.lit(maps * _BITMAP_BITS))
+
+    at = place(F.col(key_of))
+    bitmaps = (
+        keys.filter(F.col(key_of).isNotNull())
+        .groupBy(F.floor(at / _BITMAP_BITS).alias("__map"))
+        .agg(F.bitmap_construct_agg(at % _BITMAP_BITS).alias("__bits"))
+    )
+    told = df.withColumn("__at", place(F.col(key))).withColumn("__map", F.floor(F.col("__at") / _BITMAP_BITS))
+    bit = F.col("__at") % _BITMAP_BITS
+    byte = F.conv(F.hex(F.substring("__bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.get(F.array(*[byte.bitwiseAND(F.lit(1 << i)) for i in range(8)]), (bit % 8).cast("int")) != 0
+    met = told.filter(F.col(key).isNotNull()).join(F.broadcast(bitmaps), "__map")
+    return met.filter(is_set).select(*df.columns)

@@ -216,7 +216,9 @@ def _read(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFra
         return spark.createDataFrame([], schema)
 
 
-def read_extracted(spark: SparkSession, target: str, dataset: str) -> DataFrame:
-    """What ``extract_new`` has gathered so far."""
-    schema = schemas.EXTRACTED[schemas.check_dataset(dataset)]
+def read_extracted(spark: SparkSession, target: str, dataset: str, archive: bool = False) -> DataFrame:
+    """What ``extract_new`` has gathered so far, with the name of its ``archive`` if asked for."""
+    schema = T.StructType([*schemas.EXTRACTED[schemas.check_dataset(dataset)].fields])
+    if archive:
+        schema = schema.add("archive", T.StringType())
     return _read(spark, target, schema).select(*schema.names)

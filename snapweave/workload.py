@@ -826,12 +826,12 @@ def code_filtered_extract(spark, folder):
     return rows.drop("source")
 
 
-def _zip_rows(rows: DataFrame, target: str) -> None:
+def _zip_rows(rows: DataFrame, target: str, prefix: str = "data") -> None:
     """Write the texts as members of ZIP files, one archive per task, plus one member of no interest."""
 
     def write(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         system, path = fs.FileSystem.from_uri(target)
-        name = f"{path}/data-{TaskContext.get().partitionId()}.zip"
+        name = f"{path}/{prefix}-{TaskContext.get().partitionId()}.zip"
         count = 0
         with system.open_output_stream(name) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
             for batch in batches:
@@ -1419,7 +1419,9 @@ def _element(name: str, paths: dict[str, str], dates: set[str]) -> Column:
     return F.concat(F.lit(f"<{name}"), *parts, F.lit(">"), *children, F.lit(f"</{name}>"))
 
 
-def _archived(rows: DataFrame, dataset: str, by: str, target: str, broken: Column | None = None) -> str:
+def _archived(
+    rows: DataFrame, dataset: str, by: str, target: str, broken: Column | None = None, prefix: str = "data"
+) -> str:
     """Write rows as archives of the dataset's XML, the rows of one ``by`` value as one member."""
     dates = {f.name for f in schemas.EXTRACTED[dataset].fields if f.dataType.typeName() == "date"}
     record = _element(schemas.RECORD_TAG, schemas.ELEMENTS[dataset], dates)
@@ -1428,7 +1430,7 @@ def _archived(rows: DataFrame, dataset: str, by: str, target: str, broken: Colum
         F.array_join(F.collect_list(record), "").alias("records")
     )
     uri = _uri(target)
-    _zip_rows(_spread(texts.select("source", F.concat(F.lit("<Файл>"), "records", "end").alias("xml"))), uri)
+    _zip_rows(_spread(texts.select("source", F.concat(F.lit("<Файл>"), "records", "end").alias("xml"))), uri, prefix)
     return uri
 
 
@@ -1534,6 +1536,26 @@ def process_registry(spark, folder):
     return built.withColumns({c: F.col(c).cast("double") for c in ("revenue", "expenditure")})
 
 
+@query(_PANEL_SQL)
+def process_incremental(spark, folder):
+    """Archives come in two rounds, the second with later years and with some days that come late."""
+    facts = table(spark, folder, "orders")
+    keyed = _snapshots(spark, folder).withColumn("__by", F.coalesce("ind_tin", "org_tin"))
+    parts = {
+        "sme": (keyed, "__by"),
+        "revexp": (_shaped(facts, _REVEXP), "org_tin"),
+        "empl": (_shaped(facts, _EMPL), "org_tin"),
+    }
+    folders = {name: scratch_path(spark, name) for name in parts}
+    work, lookups = scratch_path(spark, "work"), geocode.prepare_lookups(_geo_lookups(spark, folder))
+    first = (F.year("data_date") < 1995) & (F.pmod(F.xxhash64("data_date"), F.lit(40)) != 0)
+    for number, chosen in enumerate((first, ~first)):
+        for name, (rows, by) in parts.items():
+            _archived(rows.filter(chosen), name, by, folders[name], prefix=f"round{number}")
+        built = registry.process_incremental(spark, {n: _uri(f) for n, f in folders.items()}, lookups, work)
+    return built.withColumns({c: F.col(c).cast("double") for c in ("revenue", "expenditure")})
+
+
 @query(
     """
     SELECT page_id, url || '.old' AS link FROM pages
