@@ -36,6 +36,7 @@ _TEXT_COLUMNS = ["path", "member", "part", "xml"]
 _BATCH_CHARACTERS = 8 << 20
 _BATCH_ROWS = 2_000
 _HELD_BYTES = 16 << 20
+_ENCRYPTED = 1
 
 
 def list_archives(spark: SparkSession, folder: str) -> DataFrame:
@@ -49,12 +50,22 @@ def list_archives(spark: SparkSession, folder: str) -> DataFrame:
     return files.select("path")
 
 
+class StorageError(Exception):
+    """A file system that fails to deliver bytes: no fault of the archive, so the task fails and is tried again."""
+
+
 class _Seekable(io.BufferedIOBase):
     """A pyarrow file whose seeks fail as Python's do, as the ZIP reader expects of short files."""
 
     def __init__(self, file):
         self._file = file
-        self.read, self.tell, self.close = file.read, file.tell, file.close
+        self.tell, self.close = file.tell, file.close
+
+    def read(self, *size: int) -> bytes:
+        try:
+            return self._file.read(*size)
+        except OSError as error:
+            raise StorageError(str(error)) from error
 
     def seekable(self) -> bool:
         return True
@@ -111,7 +122,8 @@ def member_texts(
 
     The list of members is stored and dealt to tasks by size, neighbours together, so that a large
     archive is read by many tasks while a task still writes to few archives' partitions.  A damaged
-    member, and an archive that cannot be opened, is one row without xml.
+    member (by any way of compression), one that is encrypted, and an archive that cannot be opened,
+    is one row without xml.
     """
     members = materialize(members)
     total = members.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
@@ -127,6 +139,9 @@ def member_texts(
                 continue
             with _open(path) as archive:
                 for member, size in rows.dropna(subset=["member"])[["member", "bytes"]].itertuples(index=False):
+                    if archive.getinfo(member).flag_bits & _ENCRYPTED:
+                        yield path, member, 0, None
+                        continue
                     try:
                         opened, hold = partial(archive.open, member), size <= _HELD_BYTES
                         cut = documents.documents(opened, record, document_bytes, hold=hold)

@@ -10,6 +10,7 @@ file with a default namespace no element has a bare name, so such a file has no
 from __future__ import annotations
 
 import codecs
+import lzma
 import re
 import sys
 import zipfile
@@ -26,8 +27,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 DOCUMENT_BYTES = 4 << 20
 """About as much of a file as is handed out at a time."""
 
-DAMAGED = (expat.ExpatError, UnicodeError, LookupError, zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError)
-"""What reading a damaged or unreadable file raises."""
+DAMAGED = (
+    expat.ExpatError, UnicodeError, LookupError, zipfile.BadZipFile, zlib.error, lzma.LZMAError, OSError, EOFError,
+    NotImplementedError,
+)
+"""What reading a damaged or unreadable file raises; bzip2 says so by an OSError, storage must not."""
 
 _BLOCK = 1 << 20
 _TAG = re.compile(rb"""<(?:[^>"']|"[^"]*"|'[^']*')*>""")

@@ -5,6 +5,7 @@ A query takes (spark, folder) and returns a DataFrame over the whole tables of t
 
 from __future__ import annotations
 
+import io
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
@@ -1485,6 +1486,56 @@ def extract_rejects(spark, folder):
     return extract.read_rejects(spark, target).select("member")
 
 
+def _damaged_zip(target: str, rows: Iterable[tuple[int, bytes]], number: int) -> None:
+    """An archive whose members are packed in three ways; of each way some are altered or encrypted."""
+    ways = (zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2, zipfile.ZIP_LZMA)
+    raw, altered = io.BytesIO(), []
+    with zipfile.ZipFile(raw, "w") as archive:
+        for key, xml in rows:
+            info = zipfile.ZipInfo(f"part-{key}.xml")
+            info.compress_type = ways[key % 3]
+            archive.writestr(info, xml)
+            if key % 5 == 1:
+                altered.append((info.header_offset + 30 + len(info.filename), info.compress_size))
+            if key % 5 == 2:
+                archive.getinfo(info.filename).flag_bits |= 1
+    data = bytearray(raw.getvalue())
+    for at, size in altered:
+        for i in range(at + size // 3, at + size // 3 + 12):
+            data[i] ^= 0x5A
+    system, path = fs.FileSystem.from_uri(target)
+    with system.open_output_stream(f"{path}/data-{number}.zip") as out:
+        out.write(bytes(data))
+
+
+@query(
+    """
+    SELECT o_custkey, CASE o_custkey % 5 WHEN 1 THEN 'rejected' WHEN 2 THEN 'rejected' ELSE 'read' END AS what,
+           count(*) FILTER (WHERE o_custkey % 5 NOT IN (1, 2)) AS records
+    FROM orders GROUP BY o_custkey
+    """
+)
+def extract_damaged_kinds(spark, folder):
+    """Deflated, bzip2 and LZMA members, altered or encrypted, are rejects; all others are read."""
+    record = _element(schemas.RECORD_TAG, schemas.ELEMENTS["revexp"], {"data_date", "doc_date"})
+    texts = _fact_rows(spark, folder).groupBy("o_custkey").agg(F.array_join(F.collect_list(record), "").alias("records"))
+    uri = _uri(scratch_path(spark, "inbox"))
+    system, path = fs.FileSystem.from_uri(uri)
+    system.create_dir(path, recursive=True)
+
+    def write(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for n, batch in enumerate(batches):
+            members = [(k, f"<Файл>{r}</Файл>".encode()) for k, r in batch.itertuples(index=False)]
+            _damaged_zip(uri, members, 1000 * TaskContext.get().partitionId() + n)
+        yield pd.DataFrame({"n": [1]})
+
+    _spread(texts.select("o_custkey", "records")).mapInPandas(write, "n long").agg(F.sum("n")).first()
+    rows, rejects = extract.extract_archives(archives.list_archives(spark, uri), "revexp")
+    key = F.regexp_extract("member", r"part-(\d+)", 1).cast("long")
+    read = rows.groupBy(F.col("org_tin").cast("long").alias("o_custkey"), F.lit("read").alias("what")).agg(F.count(F.lit(1)).alias("records"))
+    return read.union(rejects.select(key, F.lit("rejected"), F.lit(0)))
+
+
 _TAKEN = {"[-2:]": slice(-2, None), "[:-1]": slice(None, -1), "[::3]": slice(None, None, 3), "[-1]": -1}
 
 

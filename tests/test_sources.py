@@ -276,6 +276,42 @@ def test_damaged_archives_are_rejects(spark, rows, tmp_path):
     assert rows(found) == [("good.zip", "b.xml"), ("no.zip", None), ("torn.zip", "c.xml")]
 
 
+@pytest.mark.parametrize("way", [zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2, zipfile.ZIP_LZMA])
+def test_damaged_members_of_every_kind_are_rejects(spark, rows, tmp_path, way):
+    """An altered and an encrypted member are refused, and those around them are read."""
+    path = tmp_path / "some.zip"
+    with zipfile.ZipFile(path, "w", way) as archive:
+        for name in ("a", "bad", "secret", "z"):
+            archive.writestr(f"{name}.xml", registry_xml(f"F-{name}", [str(i) for i in range(300)]))
+        archive.getinfo("secret.xml").flag_bits |= 1
+        bad = archive.getinfo("bad.xml")
+    data = bytearray(path.read_bytes())
+    middle = bad.header_offset + 40 + bad.compress_size // 2
+    data[middle : middle + 16] = bytes(255 - b for b in data[middle : middle + 16])
+    path.write_bytes(data)
+    good, refused = extract.extract_archives(archives.list_archives(spark, str(tmp_path)), "sme")
+    assert sorted(set(rows(good, "file_id"))) == [("F-a",), ("F-z",)]
+    assert rows(refused, "member") == [("bad.xml",), ("secret.xml",)]
+
+
+def test_storage_that_fails_is_no_damage():
+    """An error of the file system must not pass for a damaged archive."""
+
+    class Broken:
+        def read(self, *size):
+            raise OSError("connection reset")
+
+        def tell(self):
+            return 0
+
+        def close(self):
+            pass
+
+    with pytest.raises(archives.StorageError):
+        archives._Seekable(Broken()).read(1)
+    assert not issubclass(archives.StorageError, documents.DAMAGED)
+
+
 def test_unknown_dataset(spark, zips):
     with pytest.raises(ValueError, match="dataset"):
         extract.extract(spark, zips, "egrul")
