@@ -95,6 +95,7 @@ def _extracted(
     elements: Mapping[str, str] | None = None,
     provenance: bool = True,
     members: slice | int | None = None,
+    rescue: str | None = None,
     **sizes,
 ) -> DataFrame:
     """Typed rows with path, member and ``archive``, and one row, marked ``__rejected``, per reject."""
@@ -115,7 +116,7 @@ def _extracted(
     )
     named = rows.withColumn("archive", F.substring_index("path", "/", -1)).drop("part")
     if elements is None and (provenance or not registry):
-        named = xml.typed(named, schemas.EXTRACTED[dataset], schemas.INPUT_DATE_FORMAT)
+        named = xml.typed(named, schemas.EXTRACTED[dataset], schemas.INPUT_DATE_FORMAT, rescue)
     return named
 
 
@@ -128,6 +129,7 @@ def extract_archives(
     elements: Mapping[str, str] | None = None,
     provenance: bool = True,
     members: slice | int | None = None,
+    rescue: str | None = None,
     **sizes,
 ) -> tuple[DataFrame, DataFrame]:
     """Typed rows of the listed archives with their ``archive``, and what was rejected.
@@ -137,7 +139,7 @@ def extract_archives(
     archive's members, as Python does.  Rejects are damaged members (path, member), and archives
     that cannot be opened (without member).
     """
-    found = _extracted(archives, dataset, codes, classifier, elements, provenance, members, **sizes)
+    found = _extracted(archives, dataset, codes, classifier, elements, provenance, members, rescue, **sizes)
     rows = found.filter("NOT __rejected").drop("path", "member", "__rejected")
     return rows, found.filter("__rejected").select("path", "member").distinct()
 

@@ -136,8 +136,12 @@ def flatten_records(rows: DataFrame, elements: Mapping[str, str]) -> DataFrame:
     )
 
 
-def typed(df: DataFrame, schema: T.StructType, date_format: str) -> DataFrame:
-    """Cast text columns to the schema; text that does not fit becomes null."""
+def typed(df: DataFrame, schema: T.StructType, date_format: str, rescue: str | None = None) -> DataFrame:
+    """Cast text columns to the schema; text that does not fit becomes null.
+
+    With ``rescue`` a column of that name keeps such text: a map from column to text, null for rows
+    in which everything fits.
+    """
 
     def cast(field: T.StructField) -> Column:
         c = F.col(field.name)
@@ -147,5 +151,26 @@ def typed(df: DataFrame, schema: T.StructType, date_format: str) -> DataFrame:
             return c
         return c.try_cast(field.dataType).alias(field.name)
 
-    others = [c for c in df.columns if c not in schema.names]
-    return df.select(*[cast(f) for f in schema.fields], *others)
+    others = [c for c in df.columns if c not in schema.names and c != rescue]
+    values = [cast(f) for f in schema.fields]
+    if rescue:
+        values.append(misfits(schema, {f.name: cast(f) for f in schema.fields}).alias(rescue))
+    return df.select(*values, *others)
+
+
+def misfits(schema: T.StructType, values: Mapping[str, Column]) -> Column:
+    """A map from column to text of the columns that hold text but have no value; null without any."""
+    told = [
+        F.when(F.col(f.name).isNotNull() & values[f.name].isNull(), F.struct(F.lit(f.name).alias("k"), F.col(f.name).alias("v")))
+        for f in schema.fields
+        if not isinstance(f.dataType, T.StringType)
+    ]
+    if not told:
+        return F.lit(None).cast("map<string,string>")
+    kept = F.map_from_entries(F.array_compact(F.array(*told)))
+    return F.when(F.size(kept) > 0, kept)
+
+
+def quarantine(df: DataFrame, rescued: str, *keys: str) -> DataFrame:
+    """A row for each text that did not fit: the ``keys`` of its row, ``column`` and ``value``."""
+    return df.filter(F.col(rescued).isNotNull()).select(*keys, F.explode(rescued).alias("column", "value"))

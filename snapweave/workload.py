@@ -15,6 +15,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from snapweave import schemas
 from snapweave.functions import text
@@ -24,7 +25,7 @@ from snapweave.operators.metrics import observe
 from snapweave.operators.waterfall import Rung, waterfall_match
 from snapweave.plans import aggregate, extract, geocode, registry
 from snapweave.session import scratch_path, store
-from snapweave.sources import archives, links, sinks, tables
+from snapweave.sources import archives, links, sinks, tables, xml
 from snapweave.streaming.ingest import ingest_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +50,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _shaped(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*[f"{e} AS `{c}`" for c, e in columns.items()])
+
+
+def _select(columns: dict[str, str], source: str) -> str:
+    return f"SELECT {', '.join(f'{e} AS {c}' for c, e in columns.items())} FROM {source}"
+
+
 # ---- change intervals ------------------------------------------------------------------------
 
 _CHANGES = """
@@ -873,6 +882,50 @@ def csv_roundtrip(spark, folder):
     return tables.read_csv(spark, target, customers.schema)
 
 
+_ODD_CELLS = {
+    "id": "CAST(c_custkey AS STRING)",
+    "balance": "CASE WHEN c_custkey % 5 = 0 THEN 'about ' || CAST(c_custkey AS STRING) ELSE CAST(c_custkey AS STRING) || '.25' END",
+    "nation": "CASE WHEN c_custkey % 7 = 0 THEN '9999999999' WHEN c_custkey % 7 <> 1 THEN CAST(c_nationkey AS STRING) END",
+    "day": "CASE WHEN c_custkey % 6 = 0 THEN '2020-02-30' ELSE '2020-02-28' END",
+}
+
+
+@query(
+    f"""
+    WITH cells AS ({_select(_ODD_CELLS, 'customer')})
+    SELECT 'csv' AS source, id, 'balance' AS "column", balance AS value FROM cells WHERE starts_with(balance, 'about')
+    UNION ALL SELECT 'csv', id, 'nation', nation FROM cells WHERE nation = '9999999999'
+    UNION ALL SELECT 'csv', id, 'day', day FROM cells WHERE day = '2020-02-30'
+    UNION ALL SELECT 'csv', 'sum', 'line', 'sum,' || count(*) FROM cells
+    UNION ALL SELECT 'xml', CAST(o_custkey AS VARCHAR), 'revenue', o_orderstatus FROM orders WHERE o_orderstatus = 'F'
+    UNION ALL SELECT 'xml', CAST(o_custkey AS VARCHAR), 'doc_date', strftime(o_orderdate, '%Y') FROM orders WHERE o_orderstatus = 'O'
+    """
+)
+def cast_rejects(spark, folder):
+    """Cells and attributes that do not fit their type, and lines of another length, are kept as text."""
+    schema = T.StructType.fromDDL("id string, balance double, nation int, day date")
+    target = scratch_path(spark, "cells") + ".csv"
+    cells = _shaped(table(spark, folder, "customer"), _ODD_CELLS)
+    total = cells.agg(F.concat(F.lit("sum,"), F.count(F.lit(1)).cast("string")).alias("value"))
+    lines = cells.select(F.concat_ws(",", *[F.coalesce(c, F.lit("NA")) for c in cells.columns]).alias("value"))
+    lines.union(total).write.text(target)
+    read = tables.read_csv(spark, target, schema, rescue="rescued", header=False)
+    from_csv = xml.quarantine(read, "rescued", "id").select(F.lit("csv").alias("source"), "*")
+    odd = _fact_rows(spark, folder).withColumns(
+        {
+            "revenue": F.when(F.col("o_orderstatus") == "F", F.col("o_orderstatus")).otherwise(F.lit("1.5")),
+            "doc_date": F.when(F.col("o_orderstatus") == "O", F.date_format("o_orderdate", "yyyy")).otherwise(
+                F.date_format("o_orderdate", "dd.MM.yyyy")
+            ),
+            "data_date": F.date_format("data_date", "dd.MM.yyyy"),
+        }
+    )
+    uri = _archived(odd, "revexp", "o_custkey", scratch_path(spark, "odd"), dates=False)
+    rows, _ = extract.extract_archives(archives.list_archives(spark, uri), "revexp", rescue="rescued")
+    from_xml = xml.quarantine(rows, "rescued", "org_tin").withColumnRenamed("org_tin", "id")
+    return from_csv.union(from_xml.select(F.lit("xml").alias("source"), "*"))
+
+
 @query(
     """
     SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders
@@ -1080,14 +1133,6 @@ _EMPL = {
 }
 
 
-def _shaped(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    return df.selectExpr(*[f"{e} AS `{c}`" for c, e in columns.items()])
-
-
-def _select(columns: dict[str, str], source: str) -> str:
-    return f"SELECT {', '.join(f'{e} AS {c}' for c, e in columns.items())} FROM {source}"
-
-
 def _nation_region(spark, folder):
     region = table(spark, folder, "region")
     return table(spark, folder, "nation").join(region, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -1421,11 +1466,12 @@ def _element(name: str, paths: dict[str, str], dates: set[str]) -> Column:
 
 
 def _archived(
-    rows: DataFrame, dataset: str, by: str, target: str, broken: Column | None = None, prefix: str = "data"
+    rows: DataFrame, dataset: str, by: str, target: str, broken: Column | None = None, prefix: str = "data",
+    dates: bool = True,
 ) -> str:
     """Write rows as archives of the dataset's XML, the rows of one ``by`` value as one member."""
-    dates = {f.name for f in schemas.EXTRACTED[dataset].fields if f.dataType.typeName() == "date"}
-    record = _element(schemas.RECORD_TAG, schemas.ELEMENTS[dataset], dates)
+    as_dates = {f.name for f in schemas.EXTRACTED[dataset].fields if dates and f.dataType.typeName() == "date"}
+    record = _element(schemas.RECORD_TAG, schemas.ELEMENTS[dataset], as_dates)
     end = F.when(broken, "</Фай").otherwise("</Файл>") if broken is not None else F.lit("</Файл>")
     texts = rows.groupBy(F.col(by).alias("source"), end.alias("end")).agg(
         F.array_join(F.collect_list(record), "").alias("records")

@@ -454,3 +454,30 @@ def test_new_links(spark):
     df = spark.createDataFrame([("good", dataset_page())], "page string, html string")
     held = spark.createDataFrame([("/d/two.zip",), ("/d/x.zip",)], "path string")
     assert sorted(r.link for r in new_links(df, held).collect()) == ["http://h/one.zip?a=1&b=2", "http://h/three.zip"]
+
+
+# ---- text that does not fit its type -------------------------------------------------------------------------
+
+
+def test_rescued_cells(spark, rows, tmp_path):
+    """Text that does not fit is kept by column, whole lines of another length too; fitting rows keep nothing."""
+    (tmp_path / "data-1.csv").write_text("id,n,day\n1,5,2020-01-31\n2,five,2020-01-32\n3,NA,\n4,7\n5,8,2020-01-01,more\n")
+    schema = T.StructType.fromDDL("id string, n int, day date")
+    got = tables.read_csv(spark, str(tmp_path), schema, rescue="odd")
+    plain = tables.read_csv(spark, str(tmp_path), schema)
+    assert rows(got.drop("odd")) == rows(plain)
+    assert {r["id"]: r["odd"] for r in got.collect()} == {
+        "1": None, "2": {"n": "five", "day": "2020-01-32"}, "3": None, "4": {"line": "4,7"}, "5": {"line": "5,8,2020-01-01,more"},
+    }
+    assert rows(xml.quarantine(got, "odd", "id")) == [
+        ("2", "day", "2020-01-32"), ("2", "n", "five"), ("4", "line", "4,7"), ("5", "line", "5,8,2020-01-01,more"),
+    ]
+    assert tables.read_csv(spark, str(tmp_path / "none"), schema, rescue="odd").count() == 0
+
+
+def test_rescued_attributes(spark):
+    df = spark.createDataFrame([("1", "x", "31.12.2020"), ("2", "7", "2020"), ("3", None, None)], "id string, n string, day string")
+    schema = T.StructType.fromDDL("id string, n int, day date")
+    got = {r["id"]: r["odd"] for r in xml.typed(df, schema, "dd.MM.yyyy", "odd").collect()}
+    assert got == {"1": {"n": "x"}, "2": {"day": "2020"}, "3": None}
+    assert xml.typed(df, schema, "dd.MM.yyyy").columns == ["id", "n", "day"]
