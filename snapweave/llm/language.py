@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapweave.llm.common import in_share, ship
-from snapweave.session import store
+from snapweave.session import store, store_counted
 
 ORDER = 4
 TRAINED_DOCS = 1500
@@ -50,9 +50,13 @@ JUDGED, ABOVE = 256, 1.25
 TOLD_BY = 20
 """Labelled documents of about a length that are needed to tell what is usual for it."""
 
+MOST_LANGUAGES = 20_000
+"""Names that training takes at most; so many would have 50 kilobytes each, too little for a tree."""
+
 UNKNOWN = "und"
 _UNIT = 65536
 _SLICE = 1 << 17
+_ROWS = 500
 
 
 @dataclass
@@ -152,8 +156,11 @@ def train(
     ship(docs.sparkSession)
     kept = named.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
     share = F.greatest(F.lit(1), F.floor(F.lit(trained * 1_000_000) / F.col("rows")))  # a millionth at least
-    kept = kept.select(F.col("lang").alias("of"), share.alias("kept"))
-    chosen = named.join(kept, F.col("lang") == F.col("of")).filter(in_share(F.col("id"), F.col("kept")))
+    kept, languages = store_counted(kept.select(F.col("lang").alias("of"), share.alias("kept")), "languages")
+    if languages > MOST_LANGUAGES:
+        raise ValueError(f"{languages} languages, more than {MOST_LANGUAGES}")
+    # a name and a number for each language, so that texts stay where they are
+    chosen = named.join(F.broadcast(kept), F.col("lang") == F.col("of")).filter(in_share(F.col("id"), F.col("kept")))
     ngrams = (
         chosen.select("lang", "text")
         .mapInPandas(_ngrams, "lang string, length int, code long, seen long")
@@ -278,15 +285,20 @@ def identify(docs: DataFrame, model: Model, text: str = "text", name: str = "pre
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         frozen = shared.value
         for batch in texts:
-            data = [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in batch]
-            lengths = frozen.code_lengths(data)
+            parts = [batch.iloc[at : at + _ROWS] for at in range(0, len(batch), _ROWS)]
+            encoded = ([b"" if t is None else t.encode("utf-8", "surrogatepass") for t in part] for part in parts)
+            sizes, found = [], []
+            for data in encoded:
+                sizes += [len(d) for d in data]
+                found.append(frozen.code_lengths(data))
+            lengths = np.concatenate(found) if found else np.zeros((0, len(frozen.languages)), np.int64)
             best = lengths.argmin(axis=1)
             behind = (lengths - lengths.min(axis=1, keepdims=True)) / _UNIT
             yield pd.DataFrame(
                 {
                     "lang_pred": [frozen.languages[b] for b in best],
                     "score": 1 / np.exp2(-behind).sum(axis=1),
-                    "bits": lengths.min(axis=1) / _UNIT / [max(1, len(d)) for d in data],
+                    "bits": lengths.min(axis=1) / _UNIT / np.maximum(1, sizes),
                 }
             )
 
