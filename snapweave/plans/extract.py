@@ -12,9 +12,10 @@ from pyspark.sql import types as T
 from snapweave import schemas
 from snapweave.operators.filters import expand_codes
 from snapweave.operators.skew import broadcast_if_small, same
-from snapweave.session import materialize, remove, store
+from snapweave.plans.state import Versions
+from snapweave.session import materialize, remove, remove_partition, store
 from snapweave.sources import xml
-from snapweave.sources.archives import list_archives, manifest, member_texts
+from snapweave.sources.archives import fingerprints, list_archives, manifest, member_texts
 from snapweave.streaming.ingest import ingest_batches
 
 
@@ -172,10 +173,13 @@ def extract_new(
     clear: bool = False,
     files_per_batch: int | None = None,
     rejects: str | None = None,
+    by_content: bool = False,
 ) -> int | None:
     """Extract the archives not processed before into ``target``; returns how many there were.
 
-    Archives are told apart by name, whatever their age.  One Parquet partition per archive; a
+    Archives are told apart by name, whatever their age.  With ``by_content`` one that lists other
+    members, sizes or checksums than when it was taken is taken again, and replaces what it gave
+    (rows and rejects); every call then reads the lists of all archives.  One Parquet partition per archive; a
     repeated batch replaces the partitions it wrote.  ``files_per_batch`` archives are finished
     before the ledger moves on (by default all that are there).  Damaged members and archives are
     kept in the table ``rejects`` (path, member), by default beside the target.  ``clear`` starts
@@ -185,8 +189,9 @@ def extract_new(
     refused = rejects or f"{target.rstrip('/')}_rejects"
     if list_archives(spark, folder).isEmpty():
         return None
+    contents = Versions(spark, f"{ledger.rstrip('/')}_contents")
     if clear:
-        for path in (target, refused, ledger):
+        for path in (target, refused, ledger, contents.path):
             remove(spark, path)
 
     def write(rows: DataFrame, path: str) -> None:
@@ -198,9 +203,24 @@ def extract_new(
         write(found.filter("NOT __rejected").drop("path", "member", "__rejected"), target)
         write(found.filter("__rejected").select("path", "member", "archive"), refused)
 
-    return ingest_batches(
-        spark, folder, ledger, process, pattern="*.zip", files_per_batch=files_per_batch
-    )
+    marks, replaced = None, []
+    if by_content:
+        marks = store(fingerprints(list_archives(spark, folder)), "fingerprints")
+        known = contents.read("archives")
+        if known is not None:
+            same_name = marks.join(known.withColumnRenamed("fingerprint", "before"), "archive")
+            # as many as were repaired since, each with all its rows to be read again
+            replaced = same_name.filter("fingerprint <> before").select("path", "archive").collect()
+    if replaced:
+        for row in replaced:
+            for path in (target, refused):
+                remove_partition(spark, path, "archive", row["archive"])
+        process(spark.createDataFrame([(row["path"],) for row in replaced], "path string"))
+    taken = ingest_batches(spark, folder, ledger, process, pattern="*.zip", files_per_batch=files_per_batch)
+    if marks is not None:
+        # what came while this ran is new to the next call
+        contents.commit({"archives": marks.select("archive", "fingerprint")})
+    return len(replaced) + (taken or 0)
 
 
 def read_rejects(spark: SparkSession, target: str, rejects: str | None = None) -> DataFrame:

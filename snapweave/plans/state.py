@@ -21,11 +21,11 @@ class Versions:
     """Versioned tables below a folder that all executors can reach; one writer at a time."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self._spark, self._path = spark, path.rstrip("/")
+        self._spark, self.path = spark, path.rstrip("/")
 
     def _rows(self) -> list:
         try:
-            found = self._spark.read.schema(_MANIFEST).parquet(f"{self._path}/manifest").collect()
+            found = self._spark.read.schema(_MANIFEST).parquet(f"{self.path}/manifest").collect()
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -43,7 +43,7 @@ class Versions:
         rows = self._rows()
         if not rows or table not in rows[-1]["tables"]:
             return None
-        return self._spark.read.parquet(f"{self._path}/{rows[-1]['folder']}/{table}")
+        return self._spark.read.parquet(f"{self.path}/{rows[-1]['folder']}/{table}")
 
     def commit(self, tables: Mapping[str, DataFrame]) -> int:
         """Write all tables as a new version and put it in force; the one before it stays on disk."""
@@ -51,9 +51,9 @@ class Versions:
         version = rows[-1]["version"] + 1 if rows else 1
         folder = f"v{version}-{uuid.uuid4().hex}"
         for name, df in tables.items():
-            df.write.parquet(f"{self._path}/{folder}/{name}")
+            df.write.parquet(f"{self.path}/{folder}/{name}")
         row = self._spark.createDataFrame([(version, folder, list(tables))], _MANIFEST)
-        row.coalesce(1).write.mode("append").parquet(f"{self._path}/manifest")
+        row.coalesce(1).write.mode("append").parquet(f"{self.path}/manifest")
         for old in rows[:-1]:
-            remove(self._spark, f"{self._path}/{old['folder']}")
+            remove(self._spark, f"{self.path}/{old['folder']}")
         return version

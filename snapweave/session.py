@@ -44,6 +44,12 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def remove_partition(spark: SparkSession, path: str, column: str, value: str) -> None:
+    """Delete the folder of one value of a table's partition column."""
+    escaped = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+    remove(spark, f"{path.rstrip('/')}/{column}={escaped}")
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute a small table once, on reliable storage: no lineage, fixed contents."""
     checkpoint_dir(df.sparkSession)

@@ -8,6 +8,7 @@ knows will do.
 
 from __future__ import annotations
 
+import hashlib
 import io
 import re
 import sys
@@ -111,6 +112,29 @@ def manifest(archives: DataFrame, contains: str = "xml") -> DataFrame:
     return archives.select("path").mapInPandas(members, _MANIFEST)
 
 
+def fingerprints(archives: DataFrame) -> DataFrame:
+    """``(path, archive, fingerprint)``: a digest of the names, sizes and checksums that an archive lists.
+
+    Only the list at an archive's end is read.  A file that is no archive has the fingerprint
+    ``none``.  Order counts, the times of the members do not.
+    """
+
+    def digests(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            marks = []
+            for path in batch["path"]:
+                try:
+                    with _open(path) as archive:
+                        listed = [f"{i.filename}/{i.file_size}/{i.CRC}/{i.flag_bits & _ENCRYPTED}" for i in archive.infolist()]
+                    marks.append(hashlib.sha256("\n".join(listed).encode("utf-8", "surrogatepass")).hexdigest())
+                except zipfile.BadZipFile:
+                    marks.append("none")
+            yield pd.DataFrame({"path": batch["path"], "fingerprint": marks})
+
+    found = archives.select("path").mapInPandas(digests, "path string, fingerprint string")
+    return found.select("path", F.substring_index("path", "/", -1).alias("archive"), "fingerprint")
+
+
 def member_texts(
     members: DataFrame,
     record: str,

@@ -1522,6 +1522,26 @@ def _make_older(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).setTimes(where, 1_000_000_000_000, -1)
 
 
+@query(_FACT_ROWS)
+def extract_replaced(spark, folder):
+    """Archives with members cut off come again under their names, whole: they replace what they gave."""
+    facts = _fact_rows(spark, folder)
+    inbox, target, ledger = (scratch_path(spark, n) for n in ("inbox", "extracted", "ledger"))
+    record = _element(schemas.RECORD_TAG, schemas.ELEMENTS["revexp"], {"data_date", "doc_date"})
+    texts = facts.groupBy(F.col("o_custkey").alias("source")).agg(F.array_join(F.collect_list(record), "").alias("records"))
+    for broken in (F.col("source") % 7 == 2, F.lit(False)):
+        ends = F.when(broken, "</Фай").otherwise("</Файл>")
+        xml_texts = texts.select("source", F.concat(F.lit("<Файл>"), "records", ends).alias("xml"))
+        # by customer, so that an archive of the same name has the same members
+        _zip_rows(xml_texts.repartition(16, "source"), _uri(inbox))
+        taken = extract.extract_new(spark, inbox, target, ledger, "revexp", by_content=True)
+    if not taken or not extract.read_rejects(spark, target).isEmpty():
+        raise AssertionError("a repaired archive was not taken")
+    if extract.extract_new(spark, inbox, target, ledger, "revexp", by_content=True) != 0:
+        raise AssertionError("an archive was taken twice")
+    return _plain_money(extract.read_extracted(spark, target, "revexp"))
+
+
 @query("SELECT DISTINCT 'part-' || o_custkey || '.xml' AS member FROM orders WHERE o_custkey % 7 = 2")
 def extract_rejects(spark, folder):
     """Members that are cut off are kept as rejects, and give no rows."""

@@ -456,6 +456,32 @@ def test_new_links(spark):
     assert sorted(r.link for r in new_links(df, held).collect()) == ["http://h/one.zip?a=1&b=2", "http://h/three.zip"]
 
 
+def test_a_repaired_archive_replaces_what_it_gave(spark, rows, tmp_path):
+    """By content: other members, a mended file, a file that was no archive, a name that has to be escaped."""
+    source, target, ledger = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "ledger")
+    source.mkdir()
+
+    def run():
+        return extract.extract_new(spark, str(source), target, ledger, "sme", by_content=True)
+
+    def found():
+        return rows(extract.read_extracted(spark, target, "sme"), "file_id"), rows(extract.read_rejects(spark, target), "member")
+
+    write_zip(source / "a=1 %.zip", a_xml=registry_xml("F1", ["1"]), b_xml=registry_xml("F2", ["1"]) + b"x")
+    write_zip(source / "b.zip", c_xml=registry_xml("F3", ["1", "2"]))
+    (source / "c.zip").write_bytes(b"not an archive")
+    assert run() == 3
+    assert found() == ([("F1",), ("F3",), ("F3",)], [("b.xml",), (None,)])
+    assert run() == 0
+    write_zip(source / "a=1 %.zip", a_xml=registry_xml("F1", ["1"]), b_xml=registry_xml("F2", ["1"]))
+    write_zip(source / "c.zip", d_xml=registry_xml("F4", ["1"]))
+    assert run() == 2
+    assert found() == ([("F1",), ("F2",), ("F3",), ("F3",), ("F4",)], [])
+    write_zip(source / "b.zip", c_xml=registry_xml("F5", ["1"]))
+    assert run() == 1 and run() == 0
+    assert found() == ([("F1",), ("F2",), ("F4",), ("F5",)], [])
+
+
 # ---- text that does not fit its type -------------------------------------------------------------------------
 
 
