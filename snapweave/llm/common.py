@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+import sys
 import tempfile
 import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +39,20 @@ def ship(spark: SparkSession) -> None:
     context.addPyFile(str(packed))
 
 
+def lean() -> None:
+    """Give back what earlier tasks left in this Python worker: vocabularies, freed memory.
+
+    Called by work that goes through whole texts and needs no vocabulary.
+    """
+    tokens = sys.modules.get("snapweave.llm.tokens")
+    if tokens is not None:
+        tokens.forget()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such function
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once, also where ``body`` uses it inside a lambda.
 

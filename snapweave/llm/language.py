@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapweave.llm.common import in_share, ship
+from snapweave.llm.common import in_share, lean, ship
 from snapweave.session import store, store_counted
 
 ORDER = 4
@@ -283,6 +283,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", name: str = "pre
 
     @F.pandas_udf("lang_pred string, score double, bits double")
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        lean()
         frozen = shared.value
         for batch in texts:
             parts = [batch.iloc[at : at + _ROWS] for at in range(0, len(batch), _ROWS)]

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapweave.llm.common import ship
+from snapweave.llm.common import lean, ship
 from snapweave.llm.components import components
 from snapweave.session import store
 
@@ -57,6 +57,7 @@ def fingerprints(text: Column, shingle: int = SHINGLE) -> Column:
 
     @F.pandas_udf(T.LongType())
     def found(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        lean()
         for batch in texts:
             yield pd.Series([fingerprint(t, shingle) for t in batch], dtype="int64")
 

@@ -82,3 +82,8 @@ def encoder(path: str = WORD_BPE) -> WordEncoder:
     if path not in _encoders:
         _encoders[path] = WordEncoder(path)
     return _encoders[path]
+
+
+def forget() -> None:
+    """Let go of the worker's encoders and the words they remember."""
+    _encoders.clear()
