@@ -47,6 +47,11 @@ def lean() -> None:
     tokens = sys.modules.get("snapweave.llm.tokens")
     if tokens is not None:
         tokens.forget()
+    trim()
+
+
+def trim() -> None:
+    """Give memory that nothing uses any more back to the system."""
     gc.collect()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such function

@@ -14,10 +14,11 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapweave.llm.common import ship
+from snapweave.llm.common import ship, trim
 from snapweave.llm.tokens import ID_BYTES, WORD_BPE, encoder
 from snapweave.session import store
 
@@ -42,23 +43,23 @@ def cut(ids: bytes, capacity: int = CAPACITY) -> list[tuple[int, int, int]]:
 def pieces(docs: DataFrame, vocabulary: str = WORD_BPE, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """All pieces of all documents, from whole texts."""
     end = struct.pack("<I", END)
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
 
-    def tokenised(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def tokenised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
         encode = encoder(vocabulary).encode
         for batch in batches:
             rows = []
-            for key, value in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = encode(value) + end
-                key = None if pd.isna(key) else int(key)
-                rows += [(key, *piece, len(ids) // ID_BYTES) for piece in cut(ids)]
-            frame = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
-            yield frame.astype({"doc_id": "Int64"})
+            # a text at a time, as the bytes that it came in
+            for key, value in zip(batch.column("doc_id"), batch.column("text"), strict=True):
+                ids = encode(value.as_py()) + end
+                rows += [(key.as_py(), *piece, len(ids) // ID_BYTES) for piece in cut(ids)]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names)
 
     ship(docs.sparkSession)
-    narrow = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    # ids beyond 2^53 would not survive the doubles that pandas makes of a column with nulls
-    narrow = narrow.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
-    return narrow.mapInPandas(tokenised, _PIECES)
+    narrow = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("binary").alias("text"))
+    return narrow.mapInArrow(tokenised, _PIECES)
 
 
 def first_fit_decreasing(lengths: list[int], capacity: int = CAPACITY) -> list[tuple[int, int]]:

@@ -26,6 +26,24 @@ def test_words_give_the_ids_of_the_text():
         assert list(struct.unpack(f"<{len(got) // 4}I", got)) == reference_ids(text)
 
 
+def test_words_spelled_otherwise_are_encoded_once():
+    encoder = tokens.WordEncoder()
+    texts = ["House. HOUSE house,, House!? house", "h\u0331 H\u0331. h\u0331 H", "<|ENDOFTEXT|> <|endoftext|>. a.", "x*** X$ don't. 'S."]
+    for text in texts:
+        got = encoder.encode(text.encode())
+        assert list(struct.unpack(f"<{len(got) // 4}I", got)) == reference_ids(text)
+    learned = tokens.WordEncoder()
+    learned.encode(texts[0])
+    assert set(learned._known) == {b"house", b".", b",,", b"!?"}
+
+
+def test_words_met_lately_are_not_forgotten():
+    encoder = tokens.WordEncoder(cached=20)
+    for n in range(100):
+        encoder.encode(f"often {cases.prose(n, 1)} x{n}")
+        assert b"often" in {**encoder._known, **encoder._before} and len(encoder._known) + len(encoder._before) <= 20
+
+
 def plain_first_fit(lengths, capacity):
     rooms, placed = [], [None] * len(lengths)
     for i in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
