@@ -17,6 +17,7 @@ Code lengths are whole numbers of 1/65536 bit: sums are exact, results do not de
 from __future__ import annotations
 
 import pickle
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,9 +30,6 @@ from snapweave.llm.common import in_share, lean, ship
 from snapweave.session import store, store_counted
 
 ORDER = 4
-TRAINED_DOCS = 1500
-"""About so many documents of a language, by hash of the id, make its statistics at most; whole texts."""
-
 SEEN = 3
 """A byte after a context of two or more bytes counts if it was seen so often."""
 
@@ -56,6 +54,8 @@ MOST_LANGUAGES = 20_000
 UNKNOWN = "und"
 _UNIT = 65536
 _SLICE = 1 << 17
+_COUNTED = 1 << 21
+_HELD = 1 << 20
 _ROWS = 500
 
 
@@ -124,38 +124,110 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
+def _merged(codes: list[np.ndarray], seen: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of equal codes as one."""
+    found, which = np.unique(np.concatenate(codes), return_inverse=True)
+    # sums stay far below the 2^53 that a double holds
+    return found, np.bincount(which, np.concatenate(seen), len(found)).astype(np.int64)
+
+
+class _Counts:
+    """How often runs of ``ORDER`` + 1 bytes occur in a language's texts, and the texts' first bytes.
+
+    Shorter runs need no counting of their own: each but the one that begins a text is the end of
+    a longer run.
+    """
+
+    def __init__(self) -> None:
+        self.codes: list[np.ndarray] = []
+        self.seen: list[np.ndarray] = []
+        self.first: Counter[bytes] = Counter()
+
+    def size(self) -> int:
+        return sum(map(len, self.codes)) + len(self.first)
+
+    def add(self, texts: list[bytes]) -> None:
+        self.first.update(t[:ORDER] for t in texts)
+        waiting: list[bytes] = []
+        for text in texts:
+            for at in range(0, len(text), _COUNTED):
+                waiting.append(text[max(0, at - ORDER) : at + _COUNTED])
+                if sum(map(len, waiting)) >= _COUNTED:
+                    self._count(waiting)
+                    waiting = []
+        self._count(waiting)
+
+    def _count(self, texts: list[bytes]) -> None:
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        if len(data) <= ORDER:
+            return
+        code = np.zeros(len(data) - ORDER, np.int64)
+        for k in range(ORDER + 1):
+            code = code * 256 + data[k : len(data) - ORDER + k]
+        inside = np.ones(len(data), bool)
+        for start in np.cumsum([0, *map(len, texts)])[:-1]:
+            inside[start : start + ORDER] = False  # ends of runs that begin in the text before
+        found, seen = np.unique(code[inside[ORDER:]], return_counts=True)
+        self.codes.append(found)
+        self.seen.append(seen)
+
+    def merge(self) -> None:
+        if len(self.codes) > 1:
+            found, seen = _merged(self.codes, self.seen)
+            self.codes, self.seen = [found], [seen]
+
+    def frames(self, lang: str) -> Iterator[pd.DataFrame]:
+        none = np.zeros(0, np.int64)
+        codes, seen = _merged([none, *self.codes], [none, *self.seen])
+        for length in range(ORDER, -1, -1):
+            if len(codes):
+                yield pd.DataFrame({"lang": lang, "length": length, "code": codes, "seen": seen})
+            begun = {t: n for t, n in self.first.items() if len(t) >= length > 0}
+            first = np.array([int.from_bytes(t[:length], "big") for t in begun], np.int64)
+            shorter = codes & ((1 << 8 * length) - 1)
+            codes, seen = _merged([shorter, first], [seen, np.array(list(begun.values()), np.int64)])
+
+
 def _ngrams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Counts of contexts with the byte that follows, by language and context length."""
+    """Counts of contexts with the byte that follows, by language and context length.
+
+    A task adds up what its batches hold, as long as it is not too much.
+    """
+    lean()
+    counts: dict[str, _Counts] = defaultdict(_Counts)
     for batch in batches:
         for lang, rows in batch.groupby("lang"):
-            texts = [np.frombuffer(t.encode("utf-8", "surrogatepass"), np.uint8).astype(np.int64) for t in rows["text"]]
-            for length in range(ORDER + 1):
-                codes = []
-                for t in texts:
-                    if len(t) > length:
-                        code = np.zeros(len(t) - length, np.int64)
-                        for k in range(length + 1):
-                            code = code * 256 + t[k : len(t) - length + k]
-                        codes.append(code)
-                if codes:
-                    found, count = np.unique(np.concatenate(codes), return_counts=True)
-                    yield pd.DataFrame({"lang": lang, "length": length, "code": found, "seen": count})
+            for at in range(0, len(rows), _ROWS):
+                texts = rows["text"].iloc[at : at + _ROWS]
+                counts[lang].add([t.encode("utf-8", "surrogatepass") for t in texts])
+                if sum(c.size() for c in counts.values()) > 2 * _HELD:
+                    for held in counts.values():
+                        held.merge()
+                    if sum(c.size() for c in counts.values()) > _HELD:
+                        for name, held in counts.items():
+                            yield from held.frames(name)
+                        counts.clear()
+    for name, held in counts.items():
+        yield from held.frames(name)
 
 
 def train(
-    docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", trained: int = TRAINED_DOCS
+    docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", trained: int | None = None
 ) -> Model:
-    """The frozen statistics of every language, from a bounded sample of its labelled documents.
+    """The frozen statistics of every language, from all of its labelled documents.
 
-    Documents that are held out, or have a null language or text, are not used.  A language's
-    tree is made in one task, from the counts of its bounded sample; only trees come to the
-    driver, at most ``MODEL_BYTES`` of them.
+    Documents that are held out, or have a null language or text, are not used.  Texts are counted
+    where they are read.  A language's tree is made in one task, from the counts of its byte
+    runs; only trees come to the driver, at most ``MODEL_BYTES`` of them.  ``trained`` settles
+    for about so many documents of each language, by hash of the id.
     """
     named = docs.select(F.col(lang).alias("lang"), F.col(doc_id).alias("id"), F.col(text).alias("text"))
     named = named.filter(~held_out(F.col("id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     ship(docs.sparkSession)
     kept = named.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
-    share = F.greatest(F.lit(1), F.floor(F.lit(trained * 1_000_000) / F.col("rows")))  # a millionth at least
+    share = F.lit(1_000_000)
+    if trained is not None:
+        share = F.greatest(F.lit(1), F.floor(F.lit(trained * 1_000_000) / F.col("rows")))  # a millionth at least
     kept, languages = store_counted(kept.select(F.col("lang").alias("of"), share.alias("kept")), "languages")
     if languages > MOST_LANGUAGES:
         raise ValueError(f"{languages} languages, more than {MOST_LANGUAGES}")
@@ -182,17 +254,14 @@ def train(
 
 
 def usual_bits(
-    docs: DataFrame, model: Model, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", sample: int = TRAINED_DOCS
+    docs: DataFrame, model: Model, text: str = "text", lang: str = "lang", doc_id: str = "doc_id"
 ) -> dict[int, float]:
     """The most bits a byte that labelled documents take, by the length's power of two.
 
-    From a share of about ``sample`` labelled documents for each language, those held out from
-    training, so that none was learned from.
+    From all labelled documents that are held out from training, so that none was learned from.
     """
     named = docs.filter(held_out(F.col(doc_id)) & F.col(lang).isin(model.languages)) if model.languages else docs.limit(0)
-    rows = named.count()
-    share = min(1_000_000, max(1, sample * len(model.languages) * 1_000_000 // max(1, rows)))
-    found = identify(named.filter(in_share(F.col(doc_id), share)).select(F.col(text).alias("text")), model, "text")
+    found = identify(named.select(F.col(text).alias("text")), model)
     power = F.floor(F.log2(F.octet_length("text"))).cast("int").alias("power")
     bits = found.filter(F.col("predicted.lang_pred") != UNKNOWN).groupBy(power).agg(
         F.max("predicted.bits").alias("bits"), F.count(F.lit(1)).alias("seen")

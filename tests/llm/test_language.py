@@ -109,6 +109,25 @@ def test_training_matches_brute_force(spark, spoken):
     assert np.array_equal(model.code_lengths(text), want.code_lengths(text))
 
 
+def test_more_documents_than_a_sample_would_hold(spark, monkeypatch):
+    """What only one document of thousands says counts in the trees, and in what is usual."""
+    monkeypatch.setattr(language, "_HELD", 3000)
+    monkeypatch.setattr(language, "_COUNTED", 700)
+    docs = [(i, text_of("xx", i % 50, 8), "xx", None, None, None, None) for i in range(5000)]
+    free = [i for i in range(10_000, 10_400) if zlib.crc32(str(i).encode()) % 3 != 1]
+    kept = [i for i in range(10_000, 10_400) if zlib.crc32(str(i).encode()) % 3 == 1]
+    docs.append((free[0], "ЖЖЖ" + text_of("xx", 7, 300) + "щ" * 40, "xx", None, None, None, None))
+    table = spark.createDataFrame(docs, cases.COLUMNS).repartition(3)
+    learned = [(d[2], d[1]) for d in docs if zlib.crc32(str(d[0]).encode()) % 3 != 1]
+    want = language.compile_tree(counted(learned))
+    model = language.train(table)
+    probe = [docs[-1][1].encode(), text_of("xx", 99).encode()]
+    assert np.array_equal(model.code_lengths(probe), language.Model(["xx"], [want]).code_lengths(probe))
+    odd = [(i, "щЖ9%" * 100, "xx", None, None, None, None) for i in kept[: language.TOLD_BY]]
+    usual = language.usual_bits(spark.createDataFrame(docs + odd, cases.COLUMNS), model)
+    assert usual[int(math.log2(600))] > 2 * usual[int(math.log2(len(docs[0][1])))]
+
+
 def test_odd_documents(spark, folder):
     assert workload.op6_language_id(spark, folder).count() == len(cases.documents())
 
