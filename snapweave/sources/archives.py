@@ -14,6 +14,7 @@ import re
 import sys
 import zipfile
 from collections.abc import Iterable, Iterator
+from contextlib import ExitStack
 from functools import partial
 
 import pandas as pd
@@ -156,33 +157,38 @@ def member_texts(
     before = Window.partitionBy("path").orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
     dealt = members.withColumn("slot", F.floor(F.sum("bytes").over(before) / share))
 
-    def listed(batch: pd.DataFrame) -> Iterator[tuple[str, str, int, str]]:
-        for path, rows in batch.groupby("path", sort=False):
-            if rows["member"].isna().all():
-                yield path, None, 0, None
-                continue
-            with _open(path) as archive:
-                for member, size in rows.dropna(subset=["member"])[["member", "bytes"]].itertuples(index=False):
-                    if archive.getinfo(member).flag_bits & _ENCRYPTED:
-                        yield path, member, 0, None
+    def listed(batches: Iterable[pd.DataFrame]) -> Iterator[tuple[str, str, int, str]]:
+        # the list of a large archive is read once a task, not once a batch of its members
+        with ExitStack() as held:
+            last, archive = None, None
+            for batch in batches:
+                for path, rows in batch.groupby("path", sort=False):
+                    if rows["member"].isna().all():
+                        yield path, None, 0, None
                         continue
-                    try:
-                        opened, hold = partial(archive.open, member), size <= _HELD_BYTES
-                        cut = documents.documents(opened, record, document_bytes, hold=hold)
-                        for part, text in enumerate(cut):
-                            yield path, member, part, text
-                    except documents.DAMAGED:
-                        yield path, member, 0, None
+                    if path != last:
+                        held.close()
+                        archive, last = held.enter_context(_open(path)), path
+                    for member, size in rows.dropna(subset=["member"])[["member", "bytes"]].itertuples(index=False):
+                        if archive.getinfo(member).flag_bits & _ENCRYPTED:
+                            yield path, member, 0, None
+                            continue
+                        try:
+                            opened, hold = partial(archive.open, member), size <= _HELD_BYTES
+                            cut = documents.documents(opened, record, document_bytes, hold=hold)
+                            for part, text in enumerate(cut):
+                                yield path, member, part, text
+                        except documents.DAMAGED:
+                            yield path, member, 0, None
 
     def texts(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size = [], 0
-        for batch in batches:
-            for row in listed(batch):
-                held.append(row)
-                size += len(row[3] or "")
-                if size >= _BATCH_CHARACTERS or len(held) >= _BATCH_ROWS:
-                    yield pd.DataFrame(held, columns=_TEXT_COLUMNS)
-                    held, size = [], 0
+        for row in listed(batches):
+            held.append(row)
+            size += len(row[3] or "")
+            if size >= _BATCH_CHARACTERS or len(held) >= _BATCH_ROWS:
+                yield pd.DataFrame(held, columns=_TEXT_COLUMNS)
+                held, size = [], 0
         if held:
             yield pd.DataFrame(held, columns=_TEXT_COLUMNS)
 

@@ -507,3 +507,27 @@ def test_rescued_attributes(spark):
     got = {r["id"]: r["odd"] for r in xml.typed(df, schema, "dd.MM.yyyy", "odd").collect()}
     assert got == {"1": {"n": "x"}, "2": {"day": "2020"}, "3": None}
     assert xml.typed(df, schema, "dd.MM.yyyy").columns == ["id", "n", "day"]
+
+
+def test_the_list_of_an_archive_is_read_once_a_task(spark, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    opened, plain = str(tmp_path / "opened"), archives._open
+    for name in "ab":
+        write_zip(tmp_path / "in" / f"{name}.zip", **{f"{name}{n}_xml": registry_xml(f"F{n}", ["47.11"]) for n in range(60)})
+    listed = archives.manifest(archives.list_archives(spark, str(tmp_path / "in"))).collect()
+    members = spark.createDataFrame(listed, "path string, member string, position int, bytes long")
+
+    def noted(path):
+        with open(opened, "a") as out:
+            out.write("x")
+        return plain(path)
+
+    monkeypatch.setattr(archives, "_open", noted)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        texts = archives.member_texts(members, schemas.RECORD_TAG).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(t.member for t in texts) == sorted(r.member for r in listed)
+    # rows of the two archives may take turns within a task
+    assert len(open(opened).read()) <= 2 * 2 * spark.sparkContext.defaultParallelism
