@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
+from functools import partial
 from io import BytesIO
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,17 +68,20 @@ def split_texts(texts: DataFrame, record: str, xml: str = "xml") -> DataFrame:
     Texts without records go.
     """
 
-    @F.pandas_udf(T.StructType([T.StructField("good", T.BooleanType()), T.StructField("parts", T.ArrayType(T.StringType()))]))
-    def split(column: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("good boolean, parts array<string>")
+    def split(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in column:
-            found = []
-            for text in batch:
+            good, parts = [], []
+            for data in batch.cast(pa.binary()).to_pylist():
                 try:
-                    data = (text or "").encode("utf-8")
-                    found.append((True, list(documents.documents(lambda data=data: BytesIO(data), record, encoding="utf-8", hold=True))))
+                    opened = partial(BytesIO, data or b"")
+                    parts.append(list(documents.documents(opened, record, encoding="utf-8", hold=True)))
+                    good.append(True)
                 except documents.DAMAGED:
-                    found.append((False, None))
-            yield pd.DataFrame(found, columns=["good", "parts"])
+                    parts.append(None)
+                    good.append(False)
+            arrays = [pa.array(good, pa.bool_()), pa.array(parts, pa.list_(pa.string()))]
+            yield pa.StructArray.from_arrays(arrays, ["good", "parts"])
 
     none = F.array(F.lit(None).cast("string"))
     kept = [c for c in texts.columns if c != xml]
@@ -109,17 +113,20 @@ def parse_records(
     )
     kept = [c for c in texts.columns if c != xml]
     parsed = texts.select(*kept, F.from_xml(xml, root, _OPTIONS).alias("__doc"))
-    # an outer explode: a filter on the document itself would be moved down and parse it again
+    # an outer explode, and what is filtered later comes out of it: a filter on the document itself
+    # would be moved down and parse it again
     whole = F.col("__doc").isNotNull() & F.col(f"__doc.{_CORRUPT}").isNull()
+    good = F.transform(f"__doc.{record}", lambda one: F.struct(F.lit(False).alias("bad"), one.alias("record")))
+    bad = F.array(F.struct(F.lit(True).alias("bad"), F.lit(None).cast(record_schema(elements)).alias("record")))
     found = parsed.select(
         *kept,
         *[F.col(f"__doc.{_field(a)}").alias(c) for a, c in attributes.items()],
-        F.when(whole, F.col(f"__doc.{record}")).alias("__records"),
-        (~whole).alias("__rejected"),
+        F.when(whole, good).otherwise(bad).alias("__records"),
+    ).select(*kept, *attributes.values(), F.explode_outer("__records").alias("__one"))
+    told = F.coalesce("__one.bad", F.lit(False)).alias("__rejected")
+    return found.select(*kept, *attributes.values(), told, F.col("__one.record").alias("__record")).filter(
+        "__record IS NOT NULL OR __rejected"
     )
-    return found.select(
-        *kept, *attributes.values(), "__rejected", F.explode_outer("__records").alias("__record")
-    ).filter("__record IS NOT NULL OR __rejected")
 
 
 def record_value(elements: Mapping[str, str], column: str) -> Column:

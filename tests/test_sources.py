@@ -3,6 +3,7 @@ import io
 import os
 import zipfile
 from decimal import Decimal
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
@@ -531,3 +532,42 @@ def test_the_list_of_an_archive_is_read_once_a_task(spark, tmp_path, monkeypatch
     assert sorted(t.member for t in texts) == sorted(r.member for r in listed)
     # rows of the two archives may take turns within a task
     assert len(open(opened).read()) <= 2 * 2 * spark.sparkContext.defaultParallelism
+
+
+ODD_FILES = [
+    "<a/>", "<a b='1'></a>", "", "<a>", "<a><r/></a>", "<a><r/><b><r x='>'>t</r ></b></a>", "<a><r><r/></r></a>",
+    "<a><!-- <r/> --><r/></a>", "<a><![CDATA[<r/>]]><r>1</r></a>", "<a><?p <r/>?><r>2</r></a>", "<?p <r/>?><a><r/></a>",
+    "<?xml version='1.0'?><a><r/></a>", "<?xml version='1.0'?>\n<!DOCTYPE a><a><r/></a>", "\ufeff<a><r/></a>",
+    "<a xmlns='u'><r/></a>", "<a xmlns:n='u'><n:r/><r/></a>", "<a><xml:r/><r/></a>", "<a><n:r/></a>", "<r/>", "<r><x/></r>",
+    "<r><r/></r>", "<a><rr/><r-a/><r\n b='/'/></a>", "<a><r b=\"'>\"/><r>\"</r></a>", "<a><r></a></r>", "<a><r/></a><a/>",
+    "<a/ >", "<a><r/ ></a>", "<a><r b='<r/>'/></a>", "<?xml version='1.0' encoding='utf-8' ?><a c='d'\t/>",
+    "<?xml version='1.0'?><?q <r/>?><a><r/></a>", "<a>&lt;r/&gt;<r>&amp;</r>&x;</a>", "<a>]]><r/></a>", " <a><r/></a>",
+    "<?xml-s a='<r/>'?><a><r/></a>", "<a><r/></a>\n",
+]
+
+
+@pytest.mark.parametrize("text", ODD_FILES)
+@pytest.mark.parametrize("encoding", ["utf-8", "utf-16"])
+def test_held_files_are_cut_as_streams_are(text, encoding):
+    def cut(**how):
+        try:
+            return list(documents.documents(lambda: io.BytesIO(text.encode(encoding)), "r", 1, **how))
+        except documents.DAMAGED:
+            return "damaged"
+
+    assert cut(hold=True) == cut(hold=False)
+
+
+def test_a_plain_held_file_needs_no_events(monkeypatch):
+    monkeypatch.setattr(documents, "_cut", None)
+    opened = partial(io.BytesIO, "<Файл n='1'><Док a='>'/>x<Док>1</Док></Файл>".encode())
+    assert list(documents.documents(opened, "Док", hold=True)) == ["<Файл n='1'><Док a='>'/><Док>1</Док></Файл>"]
+
+
+def test_a_document_is_parsed_once(spark, capsys):
+    texts = spark.createDataFrame([(1, "<a><r n='1'/></a>"), (2, "<a>")], "id int, xml string")
+    rows, rejects = extract.read_texts(texts, {"@n": "n"}, record="r")
+    for df, got in ((rows, [("1", 1)]), (rejects, [(2,)])):
+        df.explain()
+        assert capsys.readouterr().out.count("from_xml(") == 1
+        assert [tuple(r) for r in df.collect()] == got
