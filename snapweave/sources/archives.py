@@ -16,8 +16,10 @@ import zipfile
 from collections.abc import Iterable, Iterator
 from contextlib import ExitStack
 from functools import partial
+from itertools import islice
 
 import pandas as pd
+import pyarrow as pa
 from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
@@ -34,10 +36,21 @@ PARTITION_BYTES = 64 << 20
 
 _MANIFEST = "path string, member string, position int, bytes long"
 _TEXTS = "path string, member string, part int, xml string"
-_TEXT_COLUMNS = ["path", "member", "part", "xml"]
+_TEXT_SCHEMA = pa.schema([("path", pa.string()), ("member", pa.string()), ("part", pa.int32()), ("xml", pa.string())])
+_PLACE = {
+    "name": "orig_filename", "at": "header_offset", "packed": "compress_size", "size": "file_size", "crc": "CRC",
+    "method": "compress_type", "flags": "flag_bits", "until": "_end_offset",
+}
+_PLACE_TYPES = ", ".join(f"{k}: {'string' if k == 'name' else 'long'}" for k in _PLACE)
+_LISTED = pa.schema([
+    ("path", pa.string()), ("member", pa.string()), ("position", pa.int32()), ("bytes", pa.int64()),
+    ("place", pa.struct([(k, pa.string() if k == "name" else pa.int64()) for k in _PLACE])),
+])
 _BATCH_CHARACTERS = 8 << 20
 _BATCH_ROWS = 2_000
 _HELD_BYTES = 16 << 20
+_BUFFER_BYTES = 256 << 10
+_MEMBER_WEIGHT = 2 << 10  # opening a member takes as long as reading about so many bytes
 _ENCRYPTED = 1
 
 
@@ -56,21 +69,26 @@ class StorageError(Exception):
     """A file system that fails to deliver bytes: no fault of the archive, so the task fails and is tried again."""
 
 
-class _Seekable(io.BufferedIOBase):
+class _Seekable(io.RawIOBase):
     """A pyarrow file whose seeks fail as Python's do, as the ZIP reader expects of short files."""
 
     def __init__(self, file):
         self._file = file
-        self.tell, self.close = file.tell, file.close
 
-    def read(self, *size: int) -> bytes:
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
         try:
-            return self._file.read(*size)
+            return self._file.readinto(buffer)
         except OSError as error:
             raise StorageError(str(error)) from error
 
-    def seekable(self) -> bool:
-        return True
+    def tell(self) -> int:
+        return self._file.tell()
 
     def seek(self, offset: int, whence: int = 0) -> int:
         try:
@@ -78,8 +96,19 @@ class _Seekable(io.BufferedIOBase):
         except ValueError as error:
             raise OSError(str(error)) from error
 
+    def close(self) -> None:
+        self._file.close()
+        super().close()
+
+
+class _Unlisted(zipfile.ZipFile):
+    """An archive whose list was read before, by ``directory``: members are opened by what it says of them."""
 
-def _open(path: str) -> zipfile.ZipFile:
+    def _RealGetContents(self) -> None:
+        pass
+
+
+def _open(path: str, reader: type[zipfile.ZipFile] = zipfile.ZipFile) -> zipfile.ZipFile:
     """Open an archive by the path Spark gives, in which nothing is escaped."""
     remote = re.match(r"(?!file:)([a-z][a-z0-9+.-]*://[^/]+)/(.*)", path, re.S)
     if remote:
@@ -87,7 +116,8 @@ def _open(path: str) -> zipfile.ZipFile:
         inner = f"{root.rstrip('/')}/{remote.group(2)}"
     else:
         system, inner = fs.LocalFileSystem(), re.sub(r"^file:/*", "/", path)
-    return zipfile.ZipFile(_Seekable(system.open_input_file(inner)))
+    # neighbours are read from one buffer
+    return reader(io.BufferedReader(_Seekable(system.open_input_file(inner)), _BUFFER_BYTES))
 
 
 def manifest(archives: DataFrame, contains: str = "xml") -> DataFrame:
@@ -96,21 +126,33 @@ def manifest(archives: DataFrame, contains: str = "xml") -> DataFrame:
     ``position`` counts them within their archive, to take single ones or a stretch.  A file that
     is no archive is one row without member, at position -1.
     """
+    return directory(archives, contains).drop("place")
+
 
-    def members(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def directory(archives: DataFrame, contains: str = "xml") -> DataFrame:
+    """The ``manifest`` with the ``place`` of each member, by which ``member_texts`` opens it without the list.
+
+    Of members of one name each has the place of the last, the one that Python opens by that name.
+    """
+
+    def rows(path: str) -> Iterator[tuple]:
+        try:
+            with _open(path) as archive:
+                named = (i for i in archive.infolist() if contains in i.filename)
+                for n, i in enumerate(named):
+                    at = archive.getinfo(i.filename)
+                    yield path, i.filename, n, i.file_size, {k: getattr(at, v) for k, v in _PLACE.items()}
+        except zipfile.BadZipFile:
+            yield path, None, -1, 0, None
+
+    def members(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path in batch["path"]:
-                try:
-                    with _open(path) as archive:
-                        named = [i for i in archive.infolist() if contains in i.filename]
-                except zipfile.BadZipFile:
-                    yield pd.DataFrame([(path, None, -1, 0)], columns=["path", "member", "position", "bytes"])
-                    continue
-                listed = [(path, i.filename, n, i.file_size) for n, i in enumerate(named)]
-                if listed:
-                    yield pd.DataFrame(listed, columns=["path", "member", "position", "bytes"])
+            for path in batch.column("path").to_pylist():
+                listed = rows(path)
+                while some := list(islice(listed, _BATCH_ROWS)):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some), _LISTED.types, strict=True)], schema=_LISTED)
 
-    return archives.select("path").mapInPandas(members, _MANIFEST)
+    return archives.select("path").mapInArrow(members, f"{_MANIFEST}, place struct<{_PLACE_TYPES}>")
 
 
 def fingerprints(archives: DataFrame) -> DataFrame:
@@ -151,45 +193,70 @@ def member_texts(
     is one row without xml.
     """
     members = materialize(members)
-    total = members.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
-    tasks = max(members.sparkSession.sparkContext.defaultParallelism, -(-total // partition_bytes))
-    share = max(1, -(-total // tasks))
+    if "place" not in members.columns:
+        members = members.withColumn("place", F.lit(None))
+    weight = F.col("bytes") + _MEMBER_WEIGHT
+    sums = members.groupBy("path").agg(F.sum("bytes").alias("bytes"), F.sum(weight).alias("__all"))
+    sums = materialize(sums)
+    total, heavy = sums.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.coalesce(F.sum("__all"), F.lit(0))).first()
+    tasks = int(max(members.sparkSession.sparkContext.defaultParallelism, -(-total // partition_bytes)))
+    share = max(1, -(-heavy // tasks))
+    # every task gets the same weight: a stretch of the archives, one after the other by path
+    earlier = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+    begins = sums.select("path", F.coalesce(F.sum("__all").over(earlier), F.lit(0)).alias("__begin"))
     before = Window.partitionBy("path").orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
-    dealt = members.withColumn("slot", F.floor(F.sum("bytes").over(before) / share))
-
-    def listed(batches: Iterable[pd.DataFrame]) -> Iterator[tuple[str, str, int, str]]:
-        # the list of a large archive is read once a task, not once a batch of its members
+    at = F.col("__begin") + F.col("__until") - weight
+    dealt = members.withColumn("__until", F.sum(weight).over(before)).join(begins, "path")
+    dealt = dealt.withColumn("__task", F.least(F.floor(at / share), F.lit(tasks - 1)).cast("int"))
+    dealt = dealt.select("path", "member", "bytes", "place", "__task").repartitionById(tasks, "__task").drop("__task")
+
+    def info(archive: zipfile.ZipFile, member: str, place: dict | None) -> zipfile.ZipInfo:
+        if place is None:
+            return archive.getinfo(member)
+        found = zipfile.ZipInfo(place["name"])
+        for key, name in _PLACE.items():
+            if key != "name":
+                setattr(found, name, place[key])
+        return found
+
+    def listed(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, str, int, str]]:
+        # an archive is opened once a task, not once a batch of its members
         with ExitStack() as held:
             last, archive = None, None
             for batch in batches:
-                for path, rows in batch.groupby("path", sort=False):
-                    if rows["member"].isna().all():
+                for path, member, size, place in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    if member is None:
                         yield path, None, 0, None
                         continue
                     if path != last:
                         held.close()
-                        archive, last = held.enter_context(_open(path)), path
-                    for member, size in rows.dropna(subset=["member"])[["member", "bytes"]].itertuples(index=False):
-                        if archive.getinfo(member).flag_bits & _ENCRYPTED:
-                            yield path, member, 0, None
-                            continue
-                        try:
-                            opened, hold = partial(archive.open, member), size <= _HELD_BYTES
-                            cut = documents.documents(opened, record, document_bytes, hold=hold)
-                            for part, text in enumerate(cut):
-                                yield path, member, part, text
-                        except documents.DAMAGED:
-                            yield path, member, 0, None
-
-    def texts(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                        archive = held.enter_context(_open(path, _Unlisted) if place else _open(path))
+                        last = path
+                    found = info(archive, member, place)
+                    if found.flag_bits & _ENCRYPTED:
+                        yield path, member, 0, None
+                        continue
+                    try:
+                        opened, hold = partial(archive.open, found), size <= _HELD_BYTES
+                        cut = documents.documents(opened, record, document_bytes, hold=hold)
+                        for part, text in enumerate(cut):
+                            yield path, member, part, text
+                    except documents.DAMAGED:
+                        yield path, member, 0, None
+
+    def texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def made() -> pa.RecordBatch:
+            columns = zip(zip(*held, strict=True), _TEXT_SCHEMA.types, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], schema=_TEXT_SCHEMA)
+
         held, size = [], 0
         for row in listed(batches):
             held.append(row)
             size += len(row[3] or "")
             if size >= _BATCH_CHARACTERS or len(held) >= _BATCH_ROWS:
-                yield pd.DataFrame(held, columns=_TEXT_COLUMNS)
+                yield made()
                 held, size = [], 0
         if held:
-            yield pd.DataFrame(held, columns=_TEXT_COLUMNS)
+            yield made()
 
-    return dealt.repartition(int(tasks), "path", "slot").drop("slot").mapInPandas(texts, _TEXTS)
+    return dealt.mapInArrow(texts, _TEXTS)

@@ -571,3 +571,28 @@ def test_a_document_is_parsed_once(spark, capsys):
         df.explain()
         assert capsys.readouterr().out.count("from_xml(") == 1
         assert [tuple(r) for r in df.collect()] == got
+
+
+def test_members_are_dealt_evenly_and_opened_by_their_place(spark, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    for n in range(40):
+        write_zip(tmp_path / "in" / f"{n}.zip", **{f"m{i}_xml": registry_xml(f"F{i}", ["47.11"]) for i in range(5)})
+    with zipfile.ZipFile(tmp_path / "in" / "twice.zip", "w") as out, pytest.warns(UserWarning):
+        for text in ("<a><Документ b='1'/></a>", "<a><Документ b='2'/></a>"):
+            out.writestr("m.xml", text)
+    listed = archives.directory(archives.list_archives(spark, str(tmp_path / "in"))).cache()
+    tasks, plain = spark.sparkContext.defaultParallelism, archives._open
+
+    def unlisted(path, reader=zipfile.ZipFile):
+        if reader is zipfile.ZipFile:
+            raise AssertionError("the list was read again")
+        return plain(path, reader)
+
+    assert listed.count() == 202
+    monkeypatch.setattr(archives, "_open", unlisted)
+    texts = archives.member_texts(listed, schemas.RECORD_TAG).withColumn("task", F.spark_partition_id()).collect()
+    assert len(texts) == 202
+    # as Python opens them by their name
+    assert [t.xml for t in texts if t.path.endswith("twice.zip")] == ["<a><Документ b='2'/></a>"] * 2
+    counts = [sum(t.task == n for t in texts) for n in range(tasks)]
+    assert max(counts) - min(counts) <= 3
