@@ -15,7 +15,7 @@ from snapweave.operators.skew import broadcast_if_small, same
 from snapweave.plans.state import Versions
 from snapweave.session import materialize, remove, remove_partition, store
 from snapweave.sources import xml
-from snapweave.sources.archives import fingerprints, list_archives, manifest, member_texts
+from snapweave.sources.archives import directory, fingerprints, list_archives, member_texts
 from snapweave.streaming.ingest import ingest_batches
 
 
@@ -101,7 +101,7 @@ def _extracted(
 ) -> DataFrame:
     """Typed rows with path, member and ``archive``, and one row, marked ``__rejected``, per reject."""
     schemas.check_dataset(dataset)
-    listed = manifest(archives)
+    listed = directory(archives)
     if members is not None:
         listed = _slice(listed, members)
     registry = dataset == "sme"
@@ -138,9 +138,10 @@ def extract_archives(
     Codes apply to the registry only, as do the file's id and record count.  ``elements``
     narrows the map to other columns (then as text), ``members`` takes a member or a slice of each
     archive's members, as Python does.  Rejects are damaged members (path, member), and archives
-    that cannot be opened (without member).
+    that cannot be opened (without member).  Both come from one reading, which is stored.
     """
     found = _extracted(archives, dataset, codes, classifier, elements, provenance, members, rescue, **sizes)
+    found = store(found, "extracted")
     rows = found.filter("NOT __rejected").drop("path", "member", "__rejected")
     return rows, found.filter("__rejected").select("path", "member").distinct()
 
@@ -155,10 +156,8 @@ def extract(
     **options,
 ) -> DataFrame:
     """Typed rows of all archives in a folder; malformed members are left out."""
-    rows, _ = extract_archives(
-        list_archives(spark, folder), dataset, codes=codes, classifier=classifier, **options
-    )
-    return rows
+    found = _extracted(list_archives(spark, folder), dataset, codes, classifier, **options)
+    return found.filter("NOT __rejected").drop("path", "member", "__rejected")
 
 
 def extract_new(
