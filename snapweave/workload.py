@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -836,24 +837,48 @@ def code_filtered_extract(spark, folder):
     return rows.drop("source")
 
 
+_ARCHIVE_ROWS = 200_000
+"""An archive's list is held by the task that writes it, so their number grows with the rows."""
+
+
+def _archive_count(rows: DataFrame) -> int:
+    return max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // _ARCHIVE_ROWS))
+
+
 def _zip_rows(rows: DataFrame, target: str, prefix: str = "data") -> None:
     """Write the texts as members of ZIP files, one archive per task, plus one member of no interest."""
 
-    def write(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    class Sink(io.RawIOBase):
+        """A pyarrow stream that Python can buffer."""
+
+        def __init__(self, stream):
+            self._stream = stream
+
+        def writable(self) -> bool:
+            return True
+
+        def write(self, data) -> int:
+            self._stream.write(data)
+            return len(data)
+
+    def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, path = fs.FileSystem.from_uri(target)
         name = f"{path}/{prefix}-{TaskContext.get().partitionId()}.zip"
         count = 0
-        with system.open_output_stream(name) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+        with (
+            system.open_output_stream(name) as stream, io.BufferedWriter(Sink(stream), 1 << 20) as out,
+            zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive,
+        ):
             for batch in batches:
-                for row in batch.itertuples():
-                    archive.writestr(f"part-{row.source}.xml", row.xml.encode("utf-8"))
+                for source, xml_bytes in zip(*(batch.column(c).to_pylist() for c in ("source", "xml")), strict=True):
+                    archive.writestr(f"part-{source}.xml", xml_bytes)
                     count += 1
             archive.writestr("readme.txt", "not data")
-        yield pd.DataFrame({"n": [count]})
+        yield pa.RecordBatch.from_pydict({"n": pa.array([count], pa.int64())})
 
     system, path = fs.FileSystem.from_uri(target)
     system.create_dir(path, recursive=True)
-    rows.mapInPandas(write, "n long").agg(F.sum("n")).first()
+    rows.withColumn("xml", F.col("xml").cast("binary")).mapInArrow(write, "n long").agg(F.sum("n")).first()
 
 
 def _uri(path: str) -> str:
@@ -1467,17 +1492,19 @@ def _element(name: str, paths: dict[str, str], dates: set[str]) -> Column:
 
 def _archived(
     rows: DataFrame, dataset: str, by: str, target: str, broken: Column | None = None, prefix: str = "data",
-    dates: bool = True,
+    dates: bool = True, count: int | None = None,
 ) -> str:
-    """Write rows as archives of the dataset's XML, the rows of one ``by`` value as one member."""
+    """Write rows as ``count`` archives of the dataset's XML, the rows of one ``by`` value as one member."""
     as_dates = {f.name for f in schemas.EXTRACTED[dataset].fields if dates and f.dataType.typeName() == "date"}
     record = _element(schemas.RECORD_TAG, schemas.ELEMENTS[dataset], as_dates)
     end = F.when(broken, "</Фай").otherwise("</Файл>") if broken is not None else F.lit("</Файл>")
-    texts = rows.groupBy(F.col(by).alias("source"), end.alias("end")).agg(
+    # rows are dealt to archives before they become texts, and not a second time
+    dealt = rows.withColumn("__source", F.col(by)).repartition(count or _archive_count(rows), "__source")
+    texts = dealt.groupBy(F.col("__source").alias("source"), end.alias("end")).agg(
         F.array_join(F.collect_list(record), "").alias("records")
     )
     uri = _uri(target)
-    _zip_rows(_spread(texts.select("source", F.concat(F.lit("<Файл>"), "records", "end").alias("xml"))), uri, prefix)
+    _zip_rows(texts.select("source", F.concat(F.lit("<Файл>"), "records", "end").alias("xml")), uri, prefix)
     return uri
 
 
@@ -1500,9 +1527,9 @@ def extract_incremental(spark, folder):
     """Archives arrive in two rounds, the second with older files; a run takes only what is new."""
     facts = _fact_rows(spark, folder)
     inbox, target, ledger = (scratch_path(spark, n) for n in ("inbox", "extracted", "ledger"))
-    early = F.col("o_custkey") % 3 == 0
+    early, count = F.col("o_custkey") % 3 == 0, _archive_count(facts)
     for number, part in enumerate((facts.filter(early), facts.filter(~early))):
-        fresh = _archived(part, "revexp", "o_custkey", scratch_path(spark, "round"))
+        fresh = _archived(part, "revexp", "o_custkey", scratch_path(spark, "round"), count=count)
         system, source = fs.FileSystem.from_uri(fresh)
         _, there = fs.FileSystem.from_uri(_uri(inbox))
         system.create_dir(there, recursive=True)
@@ -1528,12 +1555,13 @@ def extract_replaced(spark, folder):
     facts = _fact_rows(spark, folder)
     inbox, target, ledger = (scratch_path(spark, n) for n in ("inbox", "extracted", "ledger"))
     record = _element(schemas.RECORD_TAG, schemas.ELEMENTS["revexp"], {"data_date", "doc_date"})
-    texts = facts.groupBy(F.col("o_custkey").alias("source")).agg(F.array_join(F.collect_list(record), "").alias("records"))
+    # by customer, so that an archive of the same name has the same members
+    dealt = facts.repartition(max(16, _archive_count(facts)), "o_custkey")
+    texts = dealt.groupBy(F.col("o_custkey").alias("source")).agg(F.array_join(F.collect_list(record), "").alias("records"))
     for broken in (F.col("source") % 7 == 2, F.lit(False)):
         ends = F.when(broken, "</Фай").otherwise("</Файл>")
         xml_texts = texts.select("source", F.concat(F.lit("<Файл>"), "records", ends).alias("xml"))
-        # by customer, so that an archive of the same name has the same members
-        _zip_rows(xml_texts.repartition(16, "source"), _uri(inbox))
+        _zip_rows(xml_texts, _uri(inbox))
         taken = extract.extract_new(spark, inbox, target, ledger, "revexp", by_content=True)
     if not taken or not extract.read_rejects(spark, target).isEmpty():
         raise AssertionError("a repaired archive was not taken")
@@ -1584,7 +1612,9 @@ def _damaged_zip(target: str, rows: Iterable[tuple[int, bytes]], number: int) ->
 def extract_damaged_kinds(spark, folder):
     """Deflated, bzip2 and LZMA members, altered or encrypted, are rejects; all others are read."""
     record = _element(schemas.RECORD_TAG, schemas.ELEMENTS["revexp"], {"data_date", "doc_date"})
-    texts = _fact_rows(spark, folder).groupBy("o_custkey").agg(F.array_join(F.collect_list(record), "").alias("records"))
+    facts = _fact_rows(spark, folder)
+    dealt = facts.repartition(_archive_count(facts), "o_custkey")
+    texts = dealt.groupBy("o_custkey").agg(F.array_join(F.collect_list(record), "").alias("records"))
     uri = _uri(scratch_path(spark, "inbox"))
     system, path = fs.FileSystem.from_uri(uri)
     system.create_dir(path, recursive=True)
@@ -1595,7 +1625,7 @@ def extract_damaged_kinds(spark, folder):
             _damaged_zip(uri, members, 1000 * TaskContext.get().partitionId() + n)
         yield pd.DataFrame({"n": [1]})
 
-    _spread(texts.select("o_custkey", "records")).mapInPandas(write, "n long").agg(F.sum("n")).first()
+    texts.select("o_custkey", "records").mapInPandas(write, "n long").agg(F.sum("n")).first()
     rows, rejects = extract.extract_archives(archives.list_archives(spark, uri), "revexp")
     key = F.regexp_extract("member", r"part-(\d+)", 1).cast("long")
     read = rows.groupBy(F.col("org_tin").cast("long").alias("o_custkey"), F.lit("read").alias("what")).agg(F.count(F.lit(1)).alias("records"))
@@ -1645,7 +1675,8 @@ def process_registry(spark, folder):
         "empl": (_shaped(facts, _EMPL), "org_tin"),
     }
     folders = {
-        name: _archived(rows, name, by, scratch_path(spark, name)) for name, (rows, by) in parts.items()
+        name: _archived(rows, name, by, scratch_path(spark, name), count=_archive_count(facts))
+        for name, (rows, by) in parts.items()
     }
     work = scratch_path(spark, "work")
     registry.process(spark, folders, _geo_lookups(spark, folder), work)
@@ -1665,10 +1696,11 @@ def process_incremental(spark, folder):
     }
     folders = {name: scratch_path(spark, name) for name in parts}
     work, lookups = scratch_path(spark, "work"), geocode.prepare_lookups(_geo_lookups(spark, folder))
+    count = _archive_count(facts)
     first = (F.year("data_date") < 1995) & (F.pmod(F.xxhash64("data_date"), F.lit(40)) != 0)
     for number, chosen in enumerate((first, ~first)):
         for name, (rows, by) in parts.items():
-            _archived(rows.filter(chosen), name, by, folders[name], prefix=f"round{number}")
+            _archived(rows.filter(chosen), name, by, folders[name], prefix=f"round{number}", count=count)
         built = registry.process_incremental(spark, {n: _uri(f) for n, f in folders.items()}, lookups, work)
     return built.withColumns({c: F.col(c).cast("double") for c in ("revenue", "expenditure")})
 
