@@ -83,9 +83,11 @@ class _Seekable(io.RawIOBase):
 
     def readinto(self, buffer) -> int:
         try:
-            return self._file.readinto(buffer)
+            data = self._file.read(len(buffer))
         except OSError as error:
             raise StorageError(str(error)) from error
+        buffer[: len(data)] = data
+        return len(data)
 
     def tell(self) -> int:
         return self._file.tell()
