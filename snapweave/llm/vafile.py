@@ -8,7 +8,8 @@ alone and the k best scores are certain.
 
 Equal vectors are one entry with the smallest of their ids, so a vector that a third of all rows
 share is scored once, as a candidate and as a query.  Blocks of vectors meet blocks of queries,
-each pair in a task of its own.
+each pair in a task of its own.  Vectors and blocks are shuffled, never broadcast: the driver holds
+none of them.
 """
 
 from __future__ import annotations
@@ -181,13 +182,16 @@ def search(
     )
     every_query_block = F.sequence(F.lit(0).cast("bigint"), F.lit(query_blocks - 1).cast("bigint"))
     every_block = F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))
-    pairs = store(file, "approximations").withColumn("qblock", F.explode(every_query_block)).join(
-        store(ask, "queries").withColumn("block", F.explode(every_block)), ["dim", "block", "qblock"]
-    )
-    # as many tasks as pairs, a task for each: adaptive execution goes by bytes, the work is arithmetic
-    spread = pairs.repartition(min(10_000, max(2, blocks * query_blocks)), "dim", "block", "qblock")
+    # as many tasks as pairs, a task for each: adaptive execution goes by bytes, the work is arithmetic.
+    # Both sides repeat their blocks; a broadcast, chosen by the size of their files, would hold all of that.
+    tasks, pair = min(10_000, max(2, blocks * query_blocks)), ["dim", "block", "qblock"]
+    cells = store(file, "approximations").withColumn("qblock", F.explode(every_query_block)).repartition(tasks, *pair)
+    asks = store(ask, "queries").withColumn("block", F.explode(every_block)).repartition(tasks, *pair)
     raced = store(
-        spread.mapInPandas(_scan(k + 1), "q1 long, q2 long, h1 long, h2 long, low double, high double"), "bounds"
+        cells.join(asks.hint("merge"), pair).mapInPandas(
+            _scan(k + 1), "q1 long, q2 long, h1 long, h2 long, low double, high double"
+        ),
+        "bounds",
     )
 
     by_query = Window.partitionBy("q1", "q2").orderBy(F.desc("low"))
@@ -199,8 +203,9 @@ def search(
         .agg(F.when(F.count(F.lit(1)) > k, F.min("low")).otherwise(F.lit(-math.inf)).alias("least"))
     )
     left_in = raced.join(least, ["q1", "q2"]).filter("high >= least").select("q1", "q2", *_KEY)
-    exact = left_in.join(entries.select(*_KEY, "ids", "v"), _KEY).join(
-        asked.select(F.col("h1").alias("q1"), F.col("h2").alias("q2"), F.col("v").alias("q")), ["q1", "q2"]
+    # vectors are far larger in memory than in files, so their tables are not broadcast either
+    exact = left_in.join(entries.select(*_KEY, "ids", "v").hint("merge"), _KEY).join(
+        asked.select(F.col("h1").alias("q1"), F.col("h2").alias("q2"), F.col("v").alias("q")).hint("merge"), ["q1", "q2"]
     )
     products = F.zip_with("q", "v", lambda a, b: F.try_multiply(a, b))
     score = F.aggregate(products, F.lit(0).cast("bigint"), lambda a, b: F.try_add(a, b))

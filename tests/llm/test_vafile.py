@@ -47,6 +47,22 @@ def test_odd_vectors(spark, tmp_path, monkeypatch, block, query_block):
     assert answer(spark, tmp_path, rows) == brute(rows)
 
 
+def test_blocks_are_not_broadcast(spark, tmp_path, monkeypatch):
+    """The files of a few queries are small, their copies for every block of vectors are not."""
+    monkeypatch.setattr(vafile, "BLOCK", 20)
+    monkeypatch.setattr(vafile, "QUERY_BLOCK", 16)
+    rows = rows_of(3, 600, dim=2048)
+    limits = {"spark.sql.autoBroadcastJoinThreshold": "10m", "spark.sql.maxBroadcastTableSize": "6m"}
+    usual = {name: spark.conf.get(name) for name in limits}
+    try:
+        for name, value in limits.items():
+            spark.conf.set(name, value)
+        assert answer(spark, tmp_path, rows) == brute(rows)
+    finally:
+        for name, value in usual.items():
+            spark.conf.set(name, value)
+
+
 def test_few_candidates(spark, tmp_path):
     rows = rows_of(2, 3)
     assert answer(spark, tmp_path, rows) == brute(rows)
