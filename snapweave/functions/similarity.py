@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import re
 import sys
+from collections.abc import Iterable
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -92,26 +93,35 @@ PROFILE = T.StructType(
         T.StructField("grams", T.ArrayType(T.StringType())),
         T.StructField("lengths", T.ArrayType(T.IntegerType())),
         T.StructField("pairs", T.ArrayType(T.IntegerType())),
+        T.StructField("letters", T.ArrayType(T.StringType())),
+        T.StructField("spaces", T.ArrayType(T.IntegerType())),
     ]
 )
 
 
-def profile_of(text: str) -> tuple[list[str], list[str], list[int], list[int]]:
+def profile_of(text: str) -> tuple[list[str], list[str], list[int], list[int], list[str], list[int]]:
     """What bounds a text's weighted scores: its different words, its pairs of neighbouring letters
-    within words (repetitions numbered), and lengths and numbers of pairs of the three spellings
-    that are compared: as it is, with words in order, with each word once."""
+    within words (repetitions numbered), lengths and numbers of pairs of the three spellings that
+    are compared (as it is, with words in order, with each word once), its letters (repetitions
+    numbered), and the spaces of the three spellings."""
     clean = re.sub(r"\W", " ", text.lower()).strip()
     tokens = clean.split()
     once = sorted(set(tokens))
+    grams = _numbered(token[i : i + 2] for token in tokens for i in range(len(token) - 1))
+    spellings = [clean, " ".join(tokens), " ".join(once)]
+    pairs = [len(grams), len(grams), sum(len(t) - 1 for t in once)]
+    letters = _numbered(letter for token in tokens for letter in token)
+    return once, grams, [len(s) for s in spellings], pairs, letters, [s.count(" ") for s in spellings]
+
+
+def _numbered(parts: Iterable[str]) -> list[str]:
+    """Parts of one length; each beyond the first of its kind with its number."""
     seen: dict[str, int] = {}
-    grams = []
-    for token in tokens:
-        for i in range(len(token) - 1):
-            pair = token[i : i + 2]
-            seen[pair] = seen.get(pair, 0) + 1
-            grams.append(f"{pair}{seen[pair] if seen[pair] > 1 else ''}")
-    spelled = [len(clean), len(" ".join(tokens)), len(" ".join(once))]
-    return once, grams, spelled, [len(grams), len(grams), sum(len(t) - 1 for t in once)]
+    found = []
+    for part in parts:
+        seen[part] = seen.get(part, 0) + 1
+        found.append(f"{part}{seen[part] if seen[part] > 1 else ''}")
+    return found
 
 
 @F.pandas_udf(PROFILE)
@@ -144,3 +154,21 @@ def shared_pairs(profile: Column, threshold: float, partial_only: bool = False)
         return F.lit(1 << 30)
     least = rests[0] if len(rests) == 1 else F.least(*rests)
     return F.ceil(least - 1e-6)
+
+
+def enough_letters(left: Column, right: Column, threshold: float) -> Column:
+    """Whether two profiles have letters enough in common for a score above ``threshold``.
+
+    Holds for texts that have no word in common.  A common subsequence has no more of a letter, and
+    no more spaces, than either text; the scores are shares of the lengths.
+    """
+    need = math.floor(threshold) + 0.5
+    shared = F.size(F.array_intersect(left["letters"], right["letters"]))
+    reached = F.lit(False)
+    for i in range(3):
+        whole = need if i == 0 else need / 0.95 - 0.5
+        part = (need / 0.9 if i == 0 else need / 0.9 / 0.95) - 0.5
+        common = shared + F.least(F.get(left["spaces"], i), F.get(right["spaces"], i))
+        a, b = F.get(left["lengths"], i), F.get(right["lengths"], i)
+        reached = reached | (200 * common >= (whole - 1e-6) * (a + b)) | (100 * common >= (part - 1e-6) * F.least(a, b))
+    return reached

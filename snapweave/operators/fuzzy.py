@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapweave.functions.similarity import levenshtein_score, profiles, shared_pairs, weighted_score
+from snapweave.functions.similarity import enough_letters, levenshtein_score, profiles, shared_pairs, weighted_score
 from snapweave.operators.lookups import attach
 from snapweave.operators.skew import SMALL_ROWS
 from snapweave.session import store, store_counted
@@ -161,7 +161,8 @@ def weighted_pairs(names: DataFrame, made: Candidates, threshold: float, small:
     as ``shared_pairs`` says of one of them.  Of a text that has g pairs and shares r of them, any
     g - r + 1 hold a shared one: so the rarest so many of a name meet the index of all candidates'
     pairs, and the rarest of a candidate meet all of the names'.  Texts too short for a bound meet
-    everything, spread over ``_SALTS`` keys.
+    everything, spread over ``_SALTS`` keys.  Of those that meet without a common word, the ones stay
+    that have letters enough in common.
     """
     p = F.col("__p")
     told = names.select("name", profiles("__text").alias("__p"))
@@ -210,12 +211,13 @@ def weighted_pairs(names: DataFrame, made: Candidates, threshold: float, small:
         F.when(unbounded(F.col("least")), every["!"]).otherwise(none),
     )
     left = ranked(told, "name").withColumn("least", own)
-    left = left.select("name", "least", p["grams"].alias("grams"), p["tokens"].alias("tokens"), F.explode(name_keys).alias("key"))
-    right = listed.select(
-        "__id", F.col("least").alias("part"), p["grams"].alias("pairs"), p["tokens"].alias("words"), F.explode(candidate_keys).alias("key")
+    left = left.select("name", "least", p.alias("own"), F.explode(name_keys).alias("key"))
+    right = listed.select("__id", F.col("least").alias("part"), p.alias("other"), F.explode(candidate_keys).alias("key"))
+    shared = F.size(F.array_intersect("own.grams", "other.grams"))
+    near = (shared >= F.col("least")) | (shared >= F.col("part"))
+    possible = F.arrays_overlap("own.tokens", "other.tokens") | (
+        near & enough_letters(F.col("own"), F.col("other"), threshold)
     )
-    shared = F.size(F.array_intersect("grams", "pairs"))
-    possible = F.arrays_overlap("tokens", "words") | (shared >= F.col("least")) | (shared >= F.col("part"))
     met = left.join(F.broadcast(right) if small else right, "key").filter(possible)
     return met.select("name", "__id").distinct()
 
